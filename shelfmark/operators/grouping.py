@@ -1,0 +1,27 @@
+"""Grouped arrays of bounded size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_GROUP = 100_000
+
+
+def collect_in_parts(df: DataFrame, keys, value, name: str, max_group: int = MAX_GROUP) -> DataFrame:
+    """Sorted arrays per key; a key with more than ``max_group`` values gets several rows.
+
+    ``part`` runs over the rows of a key (0 for ordinary keys). No value is dropped and no task
+    receives more than about ``max_group`` values of one key: the sizes of large keys are counted
+    first (map-side combined), and their values are spread over hash parts.
+    """
+    keys = list(keys)
+    value = F.col(value) if isinstance(value, str) else value
+    rows = df.select(*keys, value.alias("__v"))
+    large = rows.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > max_group)
+    spread = rows.join(large, keys, "left").withColumn(
+        "part",
+        F.when(F.col("__n").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64("__v"), F.ceil(F.col("__n") / F.lit(max_group)))
+        ).cast("bigint"),
+    )
+    return spread.groupBy(*keys, "part").agg(F.array_sort(F.collect_list("__v")).alias(name))
