@@ -49,14 +49,19 @@ def normalize_url(url: Column | str) -> Column:
     return F.coalesce(*attempts, F.rtrim(u, F.lit("/")))
 
 
+def _web(url: Column) -> Column:
+    """A url as parsers read it: no leading blanks, no tabs or line ends."""
+    return F.ltrim(F.translate(url, "\t\r\n", ""))
+
+
 def _clean_path(url: Column) -> Column:
     """Path of a url on the catalog host without edge slashes and one ``.git``; '' off the host."""
-    raw = F.regexp_replace(F.regexp_extract(url, _HOST_PATH, 1), r";[^/]*$", "")
+    raw = F.regexp_replace(F.regexp_extract(_web(url), _HOST_PATH, 1), r";[^/]*$", "")
     return F.regexp_replace(F.btrim(raw, F.lit("/")), r"\.git$", "")
 
 
 def is_catalog_url(url: Column | str) -> Column:
-    return F.coalesce(col(url).rlike(_ON_HOST), F.lit(False))
+    return F.coalesce(_web(col(url)).rlike(_ON_HOST), F.lit(False))
 
 
 def canonical_https(url: Column | str) -> Column:
@@ -67,7 +72,7 @@ def canonical_https(url: Column | str) -> Column:
 
 def id_from_url(url: Column | str) -> Column:
     """Id from any web or ssh url of the catalog host, else null."""
-    u = F.translate(col(url), "\t\r\n", "")
+    u = col(url)
     owner, name = F.regexp_extract(u, _SSH, 1), F.regexp_extract(u, _SSH, 2)
     from_ssh = F.when(owner != "", F.concat(F.lit(ID_PREFIX), F.lower(owner), F.lit("/"), F.lower(name)))
     return F.coalesce(F.when(is_catalog_url(u), _id_from_path(_clean_path(u))), from_ssh)

@@ -21,6 +21,7 @@ def local_session(cores: int | str = 8, app: str = "shelfmark", **conf: str) ->
     settings = {
         **DEFAULTS,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(cores),
         **conf,
     }
