@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from .. import constants as K
 from ..taxonomy import Taxonomy
-from .text import any_of, col, java_quote, literal_alternation, lookup, strip, string_array
+from .text import any_of, bind, col, java_quote, literal_alternation, lookup, strip, string_array
 
 _NONE = "array<string>"
 
@@ -98,12 +98,15 @@ def clean_heading(section: Column | str) -> Column:
 
 def heading_category(section: Column | str, taxonomy: Taxonomy) -> Column:
     """Leaf named by a heading, else the first keyword match, else null."""
-    title = clean_heading(section)
-    by_name = lookup({leaf.lower(): leaf for leaf in taxonomy.leaves}, F.lower(title))
-    guess = _first(by_keywords(title, taxonomy))
-    for parent, leaves in taxonomy.parents.items():
-        guess = F.when(title == parent, _first(by_keywords(title, taxonomy, set(leaves)))).otherwise(guess)
-    return F.when(title != "", F.coalesce(by_name, guess))
+    by_leaf = {leaf.lower(): leaf for leaf in taxonomy.leaves}
+
+    def resolve(title: Column) -> Column:
+        guess = _first(by_keywords(title, taxonomy))
+        for parent, leaves in taxonomy.parents.items():
+            guess = F.when(title == parent, _first(by_keywords(title, taxonomy, set(leaves)))).otherwise(guess)
+        return F.when(title != "", F.coalesce(lookup(by_leaf, F.lower(title)), guess))
+
+    return bind(clean_heading(section), resolve)
 
 
 def with_section(section_leaf: Column, classified: Column) -> Column:

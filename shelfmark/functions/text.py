@@ -16,6 +16,11 @@ def strip(c: Column | str) -> Column:
     return F.btrim(col(c), F.lit(_BLANKS))
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def is_set(c: Column | str) -> Column:
     """Not null and not the empty string."""
     return F.coalesce(col(c) != "", F.lit(False))

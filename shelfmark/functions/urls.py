@@ -10,72 +10,60 @@ from .text import any_of, col, java_quote, strip
 ID_PREFIX = K.PLATFORM + ":"
 WEB_PREFIX = f"https://{K.HOST}/"
 
-_NETLOC = "(?:" + "|".join(java_quote(h) for h in (K.HOST, *K.HOST_ALIASES)) + ")"
-_SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
-_ON_HOST = _SCHEME + _NETLOC + r"(?:[/?#]|$)"
-_HOST_PATH = _SCHEME + _NETLOC + r"/([^?#]*)"
-_SSH = r"^git@" + java_quote(K.HOST) + r":([^/]+)/([^/]+?)(?:\.git)?$"
-
-# The five accepted spellings: prefix, required suffix.
-_FORMS = (
-    (f"git@{K.HOST}:", ".git"),
-    (f"git@ssh.{K.HOST}:/", ""),
-    (f"git://{K.HOST}/", ".git"),
-    (WEB_PREFIX, ".git"),
-    (WEB_PREFIX, ""),
+_HOSTS = "(?:" + "|".join(java_quote(h) for h in (K.HOST, *K.HOST_ALIASES)) + ")"
+_ON_HOST = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//" + _HOSTS
+_H = java_quote(K.HOST)
+
+# Five accepted spellings as one pattern. Spellings that end in .git lose it; the others keep
+# their path. Owner and name are groups 1 and 2, or 3 and 4; a path needs text behind the owner.
+_SPELLINGS = (
+    rf"^(?:(?:git@{_H}:|git://{_H}/|https://{_H}/)([^/]*)/(?=/*[^/].*\.git$)([^/]*?)(?:/.*)?\.git"
+    rf"|(?:git@ssh\.{_H}:/|https://{_H}/)([^/]*)/(?=/*[^/])([^/]*)(?:/.*)?)$"
 )
+_SPELLED_ID = ID_PREFIX + "$1$3/$2$4"
+
+# A web url: first two path parts; edge slashes, one .git at the path's end, parameters of the
+# last part, query and fragment do not count.
+_WEB_URL = (
+    _ON_HOST + r"/+([^/?#]+)/(?:\.git|/+[^/?#][^?#]*?|([^/?#;][^/?#]*?)(?:/[^?#]*?)?(?:\.git)?)"
+    r"/*(?:;[^/?#]*)?(?:[?#].*)?$"
+)
+_SSH_URL = rf"^git@{_H}:([^/]+)/([^/]+?)(?:\.git)?$"
+_TWO_PART_ID = f"^{ID_PREFIX}([^/]*)/([^/]*)$"
 
 
 def repository_id(owner: Column | str, name: Column | str) -> Column:
     return F.concat(F.lit(ID_PREFIX), F.lower(strip(owner)), F.lit("/"), F.lower(strip(name)))
 
 
-def _id_from_path(path: Column) -> Column:
-    parts = F.split(path, "/")
-    return F.when(
-        F.size(parts) >= 2,
-        F.concat(F.lit(ID_PREFIX), F.lower(F.get(parts, 0)), F.lit("/"), F.lower(F.get(parts, 1))),
-    )
-
-
 def normalize_url(url: Column | str) -> Column:
     """Id for the five accepted spellings, else the url without trailing slashes; null -> ''."""
     u = strip(F.coalesce(col(url), F.lit("")))
-    attempts = []
-    for prefix, suffix in _FORMS:
-        body = F.substr(u, F.lit(len(prefix) + 1), F.length(u) - (len(prefix) + len(suffix)))
-        fits = u.startswith(prefix) & u.endswith(suffix) & (F.length(u) > len(prefix) + len(suffix))
-        attempts.append(F.when(fits, _id_from_path(F.rtrim(body, F.lit("/")))))
-    return F.coalesce(*attempts, F.rtrim(u, F.lit("/")))
+    return F.when(u.rlike(_SPELLINGS), F.lower(F.regexp_replace(u, _SPELLINGS, _SPELLED_ID))).otherwise(
+        F.rtrim(u, F.lit("/")))
 
 
-def _web(url: Column) -> Column:
+def _web(url: Column | str) -> Column:
     """A url as parsers read it: no leading blanks, no tabs or line ends."""
-    return F.ltrim(F.translate(url, "\t\r\n", ""))
-
-
-def _clean_path(url: Column) -> Column:
-    """Path of a url on the catalog host without edge slashes and one ``.git``; '' off the host."""
-    raw = F.regexp_replace(F.regexp_extract(_web(url), _HOST_PATH, 1), r";[^/]*$", "")
-    return F.regexp_replace(F.btrim(raw, F.lit("/")), r"\.git$", "")
+    return F.ltrim(F.translate(col(url), "\t\r\n", ""))
 
 
 def is_catalog_url(url: Column | str) -> Column:
-    return F.coalesce(_web(col(url)).rlike(_ON_HOST), F.lit(False))
+    return F.coalesce(_web(url).rlike(_ON_HOST + r"(?:[/?#]|$)"), F.lit(False))
 
 
 def canonical_https(url: Column | str) -> Column:
     """Https url without suffix, query and fragment; foreign urls unchanged."""
-    u = col(url)
-    return F.when(is_catalog_url(u), F.concat(F.lit(WEB_PREFIX), _clean_path(u))).otherwise(u)
+    path = F.regexp_replace(F.regexp_extract(_web(url), _ON_HOST + r"/([^?#]*)", 1), r";[^/]*$", "")
+    bare = F.regexp_replace(F.btrim(path, F.lit("/")), r"\.git$", "")
+    return F.when(is_catalog_url(url), F.concat(F.lit(WEB_PREFIX), bare)).otherwise(col(url))
 
 
 def id_from_url(url: Column | str) -> Column:
     """Id from any web or ssh url of the catalog host, else null."""
-    u = col(url)
-    owner, name = F.regexp_extract(u, _SSH, 1), F.regexp_extract(u, _SSH, 2)
-    from_ssh = F.when(owner != "", F.concat(F.lit(ID_PREFIX), F.lower(owner), F.lit("/"), F.lower(name)))
-    return F.coalesce(F.when(is_catalog_url(u), _id_from_path(_clean_path(u))), from_ssh)
+    web, ssh = _web(url), col(url)
+    to_id = lambda u, pattern: F.when(u.rlike(pattern), F.lower(F.regexp_replace(u, pattern, ID_PREFIX + "$1/$2")))
+    return F.coalesce(to_id(web, _WEB_URL), to_id(ssh, _SSH_URL))
 
 
 def id_from_link(url: Column | str) -> Column:
@@ -87,18 +75,15 @@ def id_from_link(url: Column | str) -> Column:
 
 def split_id(rid: Column | str) -> Column:
     """``struct(owner, name)``; null when malformed."""
-    pattern = f"^{ID_PREFIX}([^/]*)/([^/]*)$"
     c = col(rid)
-    return F.when(
-        c.rlike(pattern),
-        F.struct(F.regexp_extract(c, pattern, 1).alias("owner"), F.regexp_extract(c, pattern, 2).alias("name")),
-    )
+    part = lambda i: F.regexp_extract(c, _TWO_PART_ID, i)
+    return F.when(c.rlike(_TWO_PART_ID), F.struct(part(1).alias("owner"), part(2).alias("name")))
 
 
 def url_from_id(rid: Column | str) -> Column:
     """Canonical url; null when the id is malformed."""
-    parts = split_id(rid)
-    return F.when(parts.isNotNull(), F.concat(F.lit(WEB_PREFIX), parts["owner"], F.lit("/"), parts["name"]))
+    c = col(rid)
+    return F.when(c.rlike(_TWO_PART_ID), F.regexp_replace(c, f"^{ID_PREFIX}", WEB_PREFIX))
 
 
 def display_path(owner: Column | str, name: Column | str) -> Column:
@@ -111,14 +96,12 @@ def is_list_name(name: Column | str) -> Column:
 
 
 def is_list_url(url: Column | str) -> Column:
-    """Url of a curated list, judged by its repository name."""
-    u = col(url)
-    parts = F.split(_clean_path(u), "/")
-    name = F.lower(F.get(parts, 1))
-    return F.when(
-        is_catalog_url(u) & (F.size(parts) >= 2),
-        is_list_name(name) | F.coalesce(F.array_contains(F.split(name, "-"), K.LIST_WORD), F.lit(False)),
-    ).otherwise(False)
+    """Url of a curated list, judged by its repository name.
+
+    A name with the list word as one of its dashed tokens starts with it or has it behind a dash.
+    """
+    name = F.lower(F.regexp_extract(_web(url), _WEB_URL, 2))
+    return F.coalesce(name.rlike(f"(?:^|-){K.LIST_WORD}"), F.lit(False))
 
 
 def is_list_hit(name, description, topics) -> Column:

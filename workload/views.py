@@ -239,3 +239,32 @@ def advisories(d):
         case {k} % 4 when 0 then p_brand when 1 then replace(p_name, ' ', '_') else 'Nobody' end as vendor,
         '2024-01-' || cast(10 + {k} % 20 as string) as date_added
         from part"""
+
+
+@view("docs_md")
+def docs_md(d):
+    """Documents with Markdown structure added to some."""
+    k = "doc_id"
+    return f"""select doc_id, case when {k} % 3 = 0 then '[![b](x)](y) ' else '' end || text || case when {k} % 4 = 0 then chr(10) || '| a | b |' else '' end
+        || case when {k} % 5 = 0 then chr(10) || '```' else '' end || case when {k} % 6 = 0 then chr(10) || '[Toc]: #part' else '' end as text from documents"""
+
+
+@view("headings")
+def headings(d):
+    """Decorated headings made of part words, with the fields classification reads."""
+    k = "p_partkey"
+    shapes = [
+        "'## ' || p_name", "'[Rings]'", "'**cold work**'", "'  -- Bolts: --  '", "'Fasteners'", "'Machines 🔐'", "''", "cast(null as string)",
+        "'(' || upper(p_name) || ') → more'", "p_type", "'workshop'", "'Workshop'", "'Red Bolt | corner'",
+    ]
+    cases = " ".join(f"when {i} then {s}" for i, s in enumerate(shapes))
+    return f"""select cast({k} as bigint) as n, case {k} % {len(shapes)} {cases} end as heading, 'The ' || p_name as description,
+        {d.arr("lower(p_type)")} as topics, p_brand as name, case when {k} % 2 = 0 then 'go' end as language from part"""
+
+
+@view("member_facts")
+def member_facts(d):
+    """Catalog facts of list members, keyed by their id."""
+    k = "p_partkey"
+    return f"""select 'github:' || lower(replace(p_brand, '#', '-')) || '/' || replace(p_name, ' ', '-') || '-' || cast({k} % 40 as string) as id,
+        max('The ' || p_name || ' toolkit') as description, cast(sum(p_size) as bigint) as stars from part group by 1"""
