@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 from .. import constants as K
@@ -11,6 +14,13 @@ from .text import any_of, bind, col, java_quote, literal_alternation, lookup, st
 _NONE = "array<string>"
 
 
+def without_nulls(values: list[Column]) -> Column:
+    """Distinct non-null values in order. Unlike a filter with a lambda this stays compiled."""
+    if not values:
+        return F.array().cast(_NONE)
+    return F.array_except(F.array(*values), F.array(F.lit(None).cast("string")))
+
+
 def _first(names: Column) -> Column:
     return F.get(names, 0)
 
@@ -27,13 +37,12 @@ def by_topics(topics: Column | str, taxonomy: Taxonomy) -> Column:
 
 def by_language(language: Column | str, table: dict[str, str] = K.LANGUAGE_CATEGORIES) -> Column:
     """Zero or one category."""
-    found = lookup(table, F.lower(strip(language)))
-    return F.array_compact(F.array(found))
+    return without_nulls([lookup(table, F.lower(strip(language)))])
 
 
 def by_exact_language(language: Column | str) -> Column:
     """The older table: eleven names, not trimmed."""
-    return F.array_compact(F.array(lookup(K.LEGACY_LANGUAGE_CATEGORIES, F.lower(col(language)))))
+    return without_nulls([lookup(K.LEGACY_LANGUAGE_CATEGORIES, F.lower(col(language)))])
 
 
 def keyword_text(description, topics, name) -> Column:
@@ -45,21 +54,28 @@ def keyword_text(description, topics, name) -> Column:
 
 
 def keyword_pattern(words) -> str:
-    """One pattern for a leaf: ASCII words need a free edge, other words match anywhere."""
-    plain = [java_quote(w) for w in words if w.isascii()]
-    wide = [java_quote(w) for w in words if not w.isascii()]
+    """One pattern over lower-cased text: ASCII words need free edges, other words match anywhere."""
+    lowered = [w.lower() for w in words]
+    plain = [java_quote(w) for w in lowered if w.isascii()]
+    wide = [java_quote(w) for w in lowered if not w.isascii()]
     parts = [f"(?<![a-z0-9])(?:{'|'.join(plain)})(?![a-z0-9])"] if plain else []
-    return "(?iu)" + "|".join(parts + wide)
+    return "|".join(parts + wide)
 
 
 def by_keywords(text: Column, taxonomy: Taxonomy, leaves=None) -> Column:
-    """Leaves whose keyword occurs in the text, in taxonomy order: one narrow pass, no join."""
-    hits = [
-        F.when(text.rlike(keyword_pattern(words)), F.lit(leaf))
-        for leaf, words in taxonomy.keywords.items()
-        if leaves is None or leaf in leaves
-    ]
-    return F.array_compact(F.array(*hits)) if hits else F.array().cast(_NONE)
+    """Leaves whose keyword occurs in the text, in taxonomy order: one narrow pass, no join.
+
+    A plain substring test runs first, so the pattern is tried only on texts that hold the word.
+    """
+    lowered = F.lower(text)
+
+    def leaf_hit(leaf: str, words) -> Column:
+        present = reduce(or_, [lowered.contains(w.lower()) for w in words])
+        return F.when(present & lowered.rlike(keyword_pattern(words)), F.lit(leaf))
+
+    return without_nulls([
+        leaf_hit(leaf, words) for leaf, words in taxonomy.keywords.items() if leaves is None or leaf in leaves
+    ])
 
 
 def by_substrings(description, topics, name, keywords: dict[str, list[str]]) -> Column:
@@ -69,7 +85,7 @@ def by_substrings(description, topics, name, keywords: dict[str, list[str]]) ->
         F.when(any_of([text.contains(w.lower()) for w in words]), F.lit(category))
         for category, words in keywords.items()
     ]
-    return F.array_compact(F.array(*hits)) if hits else F.array().cast(_NONE)
+    return without_nulls(hits)
 
 
 def declared(names: Column, taxonomy: Taxonomy) -> Column:

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as K
-from ..functions.scoring import record_health, record_score
+from ..functions.scoring import record_health, record_parts, weigh
 from ..operators import activity, content, findings, refresh
 from ..schemas import REPOSITORY
 
 
 def score_all(records: DataFrame, facts: DataFrame | None, as_of, weights: dict | None = None,
               strict_reference: bool = False) -> DataFrame:
-    """Records with activity, score and health filled: one join, then one projection."""
+    """Records with activity, score and health filled: one join, then narrow projections.
+
+    The components are computed one projection before they are weighed. Each is used twice there,
+    so the projections stay apart and each is compiled to a method the JVM still optimizes.
+    """
     filled = activity.attach(records, facts, as_of)
-    return filled.withColumns({
-        "score": record_score(as_of, weights, strict_reference), "health": record_health(),
-    }).select(*records.columns)
+    parts = record_parts(strict_reference)
+    staged = filled.withColumns({f"__{name}": units for name, units in parts.items()})
+    named = {name: F.col(f"__{name}") for name in parts}
+    return staged.withColumns({"score": weigh(named, weights), "health": record_health()}).select(*records.columns)
 
 
 def refresh_due(records: DataFrame, fresh: DataFrame, as_of, policy=None, limit: int | None = None) -> dict[str, DataFrame]:

@@ -6,15 +6,24 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# The JVM does not optimize methods beyond 8,000 bytes of bytecode; wide score and classification
+# projections exceed that when a whole stage is one method, and then run several times slower.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings above to an existing session."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = 8, app: str = "shelfmark", **conf: str) -> SparkSession:
     """A local session for tests and measurements."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

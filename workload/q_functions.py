@@ -356,7 +356,7 @@ def exact_language(t):
     return t("partrepos").select("id", csv(C.by_exact_language("language"), "categories"))
 
 
-# --- scores; every component is a decimal in both engines
+# --- scores; the second engine computes them in decimals
 
 _dec = lambda c: f"cast(coalesce({c}, 0) as decimal(18, 0))"
 _POP = lambda p: (f"case when {_dec('stars')} = 0 then cast(0 as decimal(18, 6)) else cast(least({_dec('stars')} * 0.00001, 1.0) * 40 + least({_dec('forks')} * 0.0001, 1.0) * 30 + least({_dec(p)} * 0.05, 1.0) * 30 as decimal(18, 6)) end")
@@ -374,7 +374,7 @@ _low = "lower(coalesce({}, ''))"
 _TOOL = f"({_any(_low.format('name'), K.VULNERABILITY_TOOLS)} or {_any(_low.format('description'), K.VULNERABILITY_TOOLS)})"
 _SEC = f"cast(case when {_topic('security')} then 30 else 0 end + case when {_TOOL} then 30 else 0 end + case when {_topic('copilot')} then 20 else 0 end + case when {_topic('dependabot')} then 20 else 0 end as decimal(18, 6))"
 _one = lambda e: f"cast(round({e}, 1) as double)"
-_out = lambda c: F.round(c, 1).cast("double")
+_out = S.points
 _AGE = f"floor(({AS_OF_S} - epoch(pushed_at)) / 86400.0)"
 
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.session import tune
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -114,6 +116,7 @@ def query(key: str, sql: str | None = None, views: tuple[str, ...] = ()):
     """Register a query ``fn(t)`` where ``t(name)`` gives a table or view."""
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
             return fn(lambda name: table(spark, sf_dir, name))
         run.__name__ = key
         QUERIES[key] = run
