@@ -8,7 +8,7 @@ from .. import constants as K
 from ..functions.files import capped_text, decode_base64, file_kind
 from ..schemas import DOCUMENT
 from .catalog import min_score
-from .keyed import top_per_key
+from .keyed import with_rank
 
 _SLOT = "struct<listing_no:int,file_order:bigint>"
 # A broadcast of kept keys is allowed up to this many rows; the bound is computed, not guessed.
@@ -43,14 +43,15 @@ def within_budget(
     """Files kept by the greedy rule: in reading order, each file that still fits is taken.
 
     Input ``(repository_id, listing_no, file_order, bytes)``, output the kept keys. A file can be
-    taken only if fewer than ``per_listing`` earlier files of its listing have the same size:
-    if one of those had been refused for lack of room this one would be too, and if all had been
-    taken the listing would be full. Keeping the first ``per_listing`` files of each size is
-    therefore exact, is done on the map side, and bounds the array of one repository by
-    listings x per_listing x distinct sizes however many files it has.
+    taken only if every earlier file of its listing and size was taken: had one been refused for
+    lack of room, this one would be too. So of each size only the first ``per_listing`` files, and
+    the first ``budget / size``, matter. Keeping those is exact, and bounds the array of one
+    repository by listings x (sum over sizes of that minimum) however many files it has; the first
+    limit is applied on the map side.
     """
     fits = sizes.filter(F.col("bytes") <= budget)
-    useful = top_per_key(fits, ["repository_id", "listing_no", "bytes"], [F.asc("file_order")], per_listing)
+    ranked = with_rank(fits, ["repository_id", "listing_no", "bytes"], [F.asc("file_order")], per_listing)
+    useful = ranked.filter(F.col("rank") * F.col("bytes") <= budget).drop("rank")
     queued = useful.groupBy("repository_id").agg(
         F.array_sort(F.collect_list(F.struct("listing_no", "file_order", "bytes"))).alias("queue"))
     start = F.struct(

@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_RANK = "__rank"
-
-
 def _columns(keys) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
-def top_per_key(df: DataFrame, keys, order, n: int = 1) -> DataFrame:
-    """The first ``n`` rows of each key in the given order. Null is a key value of its own."""
+def with_rank(df: DataFrame, keys, order, n: int, name: str = "rank") -> DataFrame:
+    """The first ``n`` rows of each key with their position. Null is a key value of its own."""
     window = Window.partitionBy(*_columns(keys)).orderBy(*_columns(order))
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) <= n).drop(_RANK)
+    return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+
+
+def top_per_key(df: DataFrame, keys, order, n: int = 1) -> DataFrame:
+    return with_rank(df, keys, order, n, "__rank").drop("__rank")
 
 
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:

@@ -10,6 +10,7 @@ from ..functions.urls import (
     WEB_PREFIX, id_from_url, normalize_url, repository_id, split_id,
 )
 from ..schemas import REPOSITORY
+from .grouping import MAX_GROUP, collect_in_parts
 from .keyed import first_per_key
 
 def _typed(name: str) -> Column:
@@ -156,13 +157,14 @@ def merge_sources(existing: Column | str, new: Column | str) -> Column:
     return F.array_distinct(F.concat(F.coalesce(col(existing), none), F.coalesce(col(new), none)))
 
 
-def fold_sources(df: DataFrame) -> DataFrame:
+def fold_sources(df: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     """Distinct provenance pairs per id, of the primary and all its duplicates.
 
-    ``collect_set`` combines on the map side, so copies of one record ship each pair once.
+    The pairs are made distinct first, combined on the map side, so copies of one record ship each
+    pair once. An id with more than ``max_group`` pairs gets several rows.
     """
-    pairs = df.select("id", F.explode_outer("sources").alias("s")).groupBy("id").agg(F.collect_set("s").alias("sources"))
-    return pairs.withColumn("sources", F.array_sort("sources"))
+    pairs = df.select("id", F.explode("sources").alias("pair")).distinct()
+    return collect_in_parts(pairs, ["id"], "pair", "sources", max_group)
 
 
 def attach_facts(hits: DataFrame, topics: DataFrame, licenses: DataFrame, contributors: DataFrame) -> DataFrame:

@@ -167,10 +167,14 @@ def url_rows(d):
         union all select cast(-1 - page_id as bigint) as n, cast(-1 as bigint) as form, url from pages"""
 
 
+# A list holds the parts of one brand among a thousand, so lists grow in number, not in size.
+_LIST = "lower(replace(p_brand, '#', '-')) || '-' || cast(cast(floor(p_partkey / 1000) as bigint) as string)"
+
+
 @view("md_lines")
 def md_lines(d):
     k = "p_partkey"
-    brand = "lower(replace(p_brand, '#', '-'))"
+    brand = _LIST
     slug = f"replace(p_name, ' ', '-') || '-' || cast({k} % 40 as string)"
     label = f"p_name || ' ' || cast({k} as string)"
     lines = [
@@ -266,5 +270,5 @@ def headings(d):
 def member_facts(d):
     """Catalog facts of list members, keyed by their id."""
     k = "p_partkey"
-    return f"""select 'github:' || lower(replace(p_brand, '#', '-')) || '/' || replace(p_name, ' ', '-') || '-' || cast({k} % 40 as string) as id,
+    return f"""select 'github:' || {_LIST} || '/' || replace(p_name, ' ', '-') || '-' || cast({k} % 40 as string) as id,
         max('The ' || p_name || ' toolkit') as description, cast(sum(p_size) as bigint) as stars from part group by 1"""
