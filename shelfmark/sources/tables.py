@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from ..operators.grouping import MAX_GROUP, collect_in_parts
 from ..operators.keyed import latest_per_key, upsert_daily_metrics
@@ -18,13 +19,14 @@ def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     return reader.json(path).filter("id is not null")
 
 
-def read_rejects(spark: SparkSession, path: str, schema, multi_line: bool = False) -> DataFrame:
-    """Rows of a JSON source that do not parse, for error tables."""
-    from pyspark.sql.types import StringType, StructType
+def read_rejects(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """Documents of a JSON source that do not parse, for error tables.
 
+    The first schema column comes along: a query on the raw text alone is not allowed.
+    """
     wide = StructType(schema.fields).add("_corrupt_record", StringType())
     rows = spark.read.schema(wide).option("multiLine", multi_line).json(path)
-    return rows.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
+    return rows.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record", schema.fieldNames()[0])
 
 
 def write_records(df: DataFrame, path: str, order: str | None = "seq") -> None:
