@@ -23,13 +23,18 @@ def classified(normalized: DataFrame, taxonomy: Taxonomy) -> DataFrame:
         "categories", F.col("awesome.categories"))
 
 
-def collect(hits: DataFrame, taxonomy: Taxonomy, collected_at, category: str | None = None) -> dict[str, DataFrame]:
+def collect(
+    hits: DataFrame, taxonomy: Taxonomy, collected_at, category: str | None = None,
+    facts: tuple[DataFrame, DataFrame, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
     """Hits -> records, provenance, category rows, bridge, and the run summary.
 
-    The category filter limits what is saved, not what is counted. Sources of duplicates end in
+    ``facts`` are tables of topics, licenses and contributor counts by id. The category filter limits what is saved, not what is counted. Sources of duplicates end in
     the provenance table, one row per edge; no list per record is built.
     """
     raw = records.normalize(records.from_payload(discover.dedupe_hits(hits), collected_at))
+    if facts:
+        raw = records.attach_facts(raw, *facts)
     survivors = classified(records.dedupe(raw), taxonomy)
     saved = catalog.in_categories(survivors, taxonomy, category)
     edges = keyed.source_edges(raw.join(saved.select("id"), "id", "left_semi"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import catalog, content, keyed, records, reports
 from shelfmark.operators.ranking import best_first
-from shelfmark.plans import collect, maintain, publish
+from shelfmark.plans import collect, maintain, publish, store
 from shelfmark.schemas import REPOSITORY
 from shelfmark.sources import tables
 from shelfmark.streaming import ingest
@@ -152,6 +152,36 @@ def run_collect_summary(t):
     return collect.collect(hits(t("hits_flat")), PARTS, AS_OF, "Machines")["summary"]
 
 
+_RUNS = f"""
+    firsts as (select * from (select *, 'github:' || lower(owner) || '/' || lower(name) as id, row_number() over (partition by source, lower(owner), lower(name) order by seq) as pos from hits_flat
+        where owner <> '' and name <> '') where pos = 1),
+    latest as (select * replace (lower(name) as name) from (select *, row_number() over (partition by id order by case source when 'topic' then 0 else 1 end) as run from firsts) where run = 1)"""
+
+
+@query("w01_collect_saved", f"with {_RUNS} select id, stars, array_to_string({CLASSIFIED_SQL}, ',') as categories from latest", ("hits_flat",))
+def run_collect_saved(t):
+    """Two saved runs; the second replaces the records both found."""
+    rows = hits(t("hits_flat"))
+    spark = rows.sparkSession
+    first, second = scratch(spark, "w01a"), scratch(spark, "w01b")
+    run = lambda kind: collect.collect(rows.filter(F.col("source") == kind), PARTS, AS_OF)
+    store.save(spark, run("search_pattern"), first)
+    store.save(spark, run("topic"), second, first)
+    return spark.read.parquet(f"{second}/records").select("id", "stars", csv("awesome.categories"))
+
+
+@query("w01_collect_with_facts", f"""
+    with {_FIRST_HITS} select id, array_to_string(topics, ',') || ',fresh' as topics, coalesce(license, 'none') as license from classified""", ("hits_flat",))
+def run_collect_with_facts(t):
+    rows = hits(t("hits_flat"))
+    ids = collect.collect(rows, PARTS, AS_OF)["records"]
+    topics = ids.select("id", F.concat("topics", F.array(F.lit("fresh"))).alias("topics"))
+    licenses = ids.filter("license is null").select("id", F.lit("none").alias("key"), F.lit(None).cast("string").alias("spdx_id"))
+    counts = ids.select("id", F.lit(1).cast("bigint").alias("contributors"))
+    made = collect.collect(rows, PARTS, AS_OF, facts=(topics, licenses, counts))
+    return made["records"].select("id", F.when(F.size("topics") == 1, ",fresh").otherwise(F.array_join("topics", ",")).alias("topics"), "license")
+
+
 _MEMBERS = f"""{REFS_SQL.strip()}, {SECTIONS_SQL.strip()},
     per_list as (select * from (select *, row_number() over (partition by list_id, repo_id order by gen, pos) as rn from refs where repo_id <> 'github:lists/' || list_id) where rn = 1),
     members as (select p.list_id, p.gen, p.pos, p.repo_id as id, coalesce(m.section, '') as section, split_part(p.repo_id, '/', 2) as name, f.description, f.stars, cast([] as varchar[]) as topics,
