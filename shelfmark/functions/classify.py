@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 
 from .. import constants as K
 from ..taxonomy import Taxonomy
-from .text import any_of, bind, col, java_quote, literal_alternation, lookup, strip, string_array
+from .text import any_of, bind, col, java_quote, lookup, strip, string_array
 
 _NONE = "array<string>"
 
@@ -139,7 +139,3 @@ def parents_of(categories: Column | str, taxonomy: Taxonomy) -> Column:
             lambda leaf: F.struct(leaf.alias("key"), lookup(table, leaf).alias("value")),
         )
     )
-
-
-def spam_pattern(phrases) -> str:
-    return "(?i)" + literal_alternation(phrases)

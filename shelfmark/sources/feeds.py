@@ -15,9 +15,9 @@ def read_osv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.OSV_RESPONSE).json(path)
 
 
-def read_kev(spark: SparkSession, path: str) -> DataFrame:
-    """The feed file is one JSON document."""
-    return spark.read.schema(S.KEV_FEED).option("multiLine", True).json(path)
+def read_kev(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A feed file is one JSON document; pass False for one document per line."""
+    return spark.read.schema(S.KEV_FEED).option("multiLine", multi_line).json(path)
 
 
 def read_cve(spark: SparkSession, path: str) -> DataFrame:

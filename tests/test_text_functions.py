@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark import constants as K
 from shelfmark.functions import classify as C, clock, files, markdown as M, scoring as S
 from shelfmark.operators import lists
-from shelfmark.taxonomy import EXAMPLE, Taxonomy, TaxonomyError, build
+from shelfmark.taxonomy import EXAMPLE, TaxonomyError, build
 
 DOC = """before https://github.com/too/early
 # Title

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import markdown as M
 from shelfmark.functions.urls import repository_id
-from shelfmark.operators import activity, catalog, content, diff, discover, findings, keyed, ranking, records, refresh, reports
+from shelfmark.operators import activity, catalog, content, diff, discover, findings, ranking, records, refresh, reports
 
-from .common import csv, duck_id_from_link, epoch, hits, nested, text
+from .common import hits, nested, text
 from .q_findings import RECURSIVE_KEPT, FILE_VIEWS, FINDINGS_SQL, LIMITS, part_findings, repo_files
 from .q_joins import DUE_SQL, FRESH_SQL, OWNERS_SQL, fresh_rows, part_records, raw_records, two_snapshots
 from .q_sources import ENTRY_VIEWS, entries, entries_sql

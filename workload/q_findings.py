@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfmark.functions.files import capped_text, decode_base64, file_kind
+from shelfmark.functions.files import decode_base64, file_kind
 from shelfmark.functions.urls import package_candidates
 from shelfmark.operators import content, findings
 from shelfmark.plans import maintain

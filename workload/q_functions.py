@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from shelfmark import constants as K
 from shelfmark.functions import classify as C, markdown as M, scoring as S, text as X, urls as U
 from shelfmark.functions.clock import days_since
-from shelfmark.operators import activity, lists, records, refresh
+from shelfmark.operators import lists, records, refresh
 from shelfmark.plans import maintain
 
-from .common import csv, duck_id_from_link, duck_id_from_url, epoch, nested, text
+from .common import csv, duck_id_from_link, duck_id_from_url, nested
 from .q_aggregates import DAYS, ROLLUP_SQL
 from .q_joins import DUE_SQL, INTERVAL_SQL, REFS_SQL, SECTIONS_SQL, duck_package
 from .registry import query

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from shelfmark.operators import catalog, diff, discover, findings, lists, records, refresh
+from shelfmark.operators import catalog, diff, findings, lists, records, refresh
 
-from .common import csv, duck_id_from_link, duck_id_from_url, epoch, nested, text
+from .common import csv, duck_id_from_link, nested, text
 from .q_sources import kev_documents
 from .registry import query
 from .views import AS_OF, AS_OF_S, DATE1, DATE2

@@ -2,22 +2,22 @@
 
 from pyspark.sql import functions as F
 
-from shelfmark.operators import catalog, content, keyed, records, reports
+from shelfmark.operators import catalog, keyed, records, reports
 from shelfmark.operators.ranking import best_first
 from shelfmark.plans import collect, maintain, publish, store
 from shelfmark.schemas import REPOSITORY
 from shelfmark.sources import tables
 from shelfmark.streaming import ingest
 
-from .common import csv, duck_list_hit, hits, nested, scratch, text
+from .common import csv, duck_list_hit, hits, nested, scratch
 from .q_aggregates import GAIN, OLD_NEW, SUMMARY_SQL, changed
 from .q_findings import LIMITS, RECURSIVE_KEPT, FILE_VIEWS, FINDINGS_SQL, cve_entries, repo_files
-from .q_functions import CLASSIFIED_SQL, SCORE_INPUT_SQL, PUSH_SQL, clean_sql, duck_keywords, duck_unique, heading_sql, scored
+from .q_functions import CLASSIFIED_SQL, SCORE_INPUT_SQL, PUSH_SQL, duck_unique, heading_sql, scored
 from .q_joins import DUE_SQL, FRESH_SQL, OWNERS_SQL, REFS_SQL, SECTIONS_SQL, fresh_rows, osv_responses, part_records, raw_records
 from .q_sources import ENTRY_VIEWS, entries, entries_sql, kev_documents
 from .registry import query
 from .taxonomy import PARTS
-from .views import AS_OF, AS_OF_S, DATE1, DATE2, DIFF_AS_OF, FACTS_AS_OF
+from .views import AS_OF, DATE1, DATE2, DIFF_AS_OF, FACTS_AS_OF
 
 LINE = ["block", "parent", "leaf", "slot", "line"]
 _SCORE = "case when score = 0 then '0' else cast(score as varchar) end"

@@ -303,7 +303,7 @@ def kev_feed(t):
     df = kev_documents(t)
     path = scratch(df.sparkSession, "s21")
     df.drop("seq").write.json(path)
-    feed = df.sparkSession.read.schema(df.drop("seq").schema).json(path)
+    feed = feeds.read_kev(df.sparkSession, path, multi_line=False)
     return findings.kev_entries(feed).select(
         F.col("cveID").alias("cve_id"), "product_key", "vendor_key", F.col("dateAdded").alias("date_added"))
 
