@@ -180,9 +180,9 @@ def category_summary(placed_rows: DataFrame) -> DataFrame:
         F.countDistinct("parent").alias("parents"))
 
 
-def run_summary(classified: DataFrame, duplicate_groups: DataFrame) -> DataFrame:
-    """Collected, duplicate groups merged, categorized."""
-    groups = duplicate_groups.agg(F.count("*")).scalar()
+def run_summary(classified: DataFrame, duplicate_groups: DataFrame | None = None) -> DataFrame:
+    """Collected, duplicate groups merged (none when the ids are known to be unique), categorized."""
+    groups = F.lit(0).cast("bigint") if duplicate_groups is None else duplicate_groups.agg(F.count("*")).scalar()
     return classified.agg(
         F.count("*").alias("collected"),
         F.count_if(F.size("categories") > 0).alias("categorized"),

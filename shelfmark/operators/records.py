@@ -124,7 +124,13 @@ def match_key(fields: list[str]) -> Column:
 
 
 def dedupe(df: DataFrame, fields: list[str] | None = None, order: str = "seq") -> DataFrame:
-    """One row per key, the first in ``order``."""
+    """One row per key, the first in ``order``.
+
+    On the id alone the rows are partitioned by the id itself, so later joins and windows on it
+    need no further shuffle.
+    """
+    if fields in (None, ["id"]):
+        return first_per_key(df, ["id"], [F.col(order).asc()])
     keyed = df.withColumn("__key", match_key(fields or ["id"]))
     return first_per_key(keyed, ["__key"], [F.col(order).asc()]).drop("__key")
 

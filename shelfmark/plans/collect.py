@@ -23,28 +23,38 @@ def classified(normalized: DataFrame, taxonomy: Taxonomy) -> DataFrame:
         "categories", F.col("awesome.categories"))
 
 
+def _staged(df: DataFrame, folder: str | None) -> DataFrame:
+    if folder is None:
+        return df
+    df.write.mode("errorifexists").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def collect(
     hits: DataFrame, taxonomy: Taxonomy, collected_at, category: str | None = None,
-    facts: tuple[DataFrame, DataFrame, DataFrame] | None = None,
+    facts: tuple[DataFrame, DataFrame, DataFrame] | None = None, staging: str | None = None,
 ) -> dict[str, DataFrame]:
     """Hits -> records, provenance, category rows, bridge, and the run summary.
 
-    ``facts`` are tables of topics, licenses and contributor counts by id. The category filter limits what is saved, not what is counted. Sources of duplicates end in
-    the provenance table, one row per edge; no list per record is built.
+    Hits are de-duplicated on the id that records get, so the records need no second pass and no
+    duplicate groups remain. ``facts`` are tables of topics, licenses and contributor counts by id.
+    The category filter limits what is saved, not what is counted. Provenance is one row per edge.
+    With a ``staging`` folder the classified records are written there once and every output reads
+    them; without one each output runs the whole chain.
     """
     raw = records.normalize(records.from_payload(discover.dedupe_hits(hits), collected_at))
     if facts:
         raw = records.attach_facts(raw, *facts)
-    survivors = classified(records.dedupe(raw), taxonomy)
+    survivors = _staged(classified(raw, taxonomy), staging)
     saved = catalog.in_categories(survivors, taxonomy, category)
-    edges = keyed.source_edges(raw.join(saved.select("id"), "id", "left_semi"))
+    edges = keyed.source_edges(saved)
     assigned = assigned_categories(saved, taxonomy)
     return {
         "records": saved.select(*REPOSITORY.fieldNames(), "seq"),
         "sources": edges,
         "categories": keyed.category_rows(assigned),
         "bridge": keyed.category_bridge(assigned),
-        "summary": catalog.run_summary(survivors, records.duplicate_counts(raw)),
+        "summary": catalog.run_summary(survivors),
     }
 
 
@@ -57,7 +67,7 @@ def assigned_categories(saved: DataFrame, taxonomy: Taxonomy) -> DataFrame:
 
 
 def collect_from_lists(
-    docs: DataFrame, facts: DataFrame, taxonomy: Taxonomy, collected_at
+    docs: DataFrame, facts: DataFrame, taxonomy: Taxonomy, collected_at, staging: str | None = None
 ) -> dict[str, DataFrame]:
     """Members of curated lists, joined to their catalog facts.
 
@@ -74,7 +84,7 @@ def collect_from_lists(
             F.concat(F.lit("github:"), F.col("parent_list")).alias("repository"), F.col("section").alias("section"),
         )).alias("sources"),
         "section", order.alias("seq"), F.lit(collected_at).cast("timestamp").alias("collected_at"))
-    raw = records.normalize(records.complete(found))
+    raw = _staged(records.normalize(records.complete(found)), staging)
     survivors = records.dedupe(raw)
     own = classify("description", "topics", "name", "language", taxonomy)
     categories = with_section(heading_category("section", taxonomy), own)

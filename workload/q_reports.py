@@ -164,9 +164,9 @@ def run_collect_saved(t):
     rows = hits(t("hits_flat"))
     spark = rows.sparkSession
     first, second = scratch(spark, "w01a"), scratch(spark, "w01b")
-    run = lambda kind: collect.collect(rows.filter(F.col("source") == kind), PARTS, AS_OF)
-    store.save(spark, run("search_pattern"), first)
-    store.save(spark, run("topic"), second, first)
+    run = lambda kind, staging: collect.collect(rows.filter(F.col("source") == kind), PARTS, AS_OF, staging=staging)
+    store.save(spark, run("search_pattern", f"{first}-staged"), first)
+    store.save(spark, run("topic", f"{second}-staged"), second, first)
     return spark.read.parquet(f"{second}/records").select("id", "stars", csv("awesome.categories"))
 
 
@@ -192,7 +192,8 @@ _MEMBERS = f"""{REFS_SQL.strip()}, {SECTIONS_SQL.strip()},
 
 def _from_lists(t):
     facts = records.complete(t("member_facts"))
-    return collect.collect_from_lists(t("lists_md"), facts, PARTS, AS_OF)
+    staging = scratch(facts.sparkSession, "w02")
+    return collect.collect_from_lists(t("lists_md"), facts, PARTS, AS_OF, staging)
 
 
 @query("w02_collect_from_lists", f"with {_MEMBERS} select id, coalesce(stars, -1) as stars, array_to_string(categories, ',') as categories from saved", ("lists_md", "member_facts"))
