@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import extraction, fingerprints, languages, packing, shards, tokens, toxicity
+from . import duplicates, extraction, fingerprints, languages, packing, shards, tokens, toxicity
 from .common import documents
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicates.near_duplicates(documents(spark, sf_dir))
+
+
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -39,6 +43,6 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_main_text, op3_toxicity, op4_packing, op5_fingerprints, op6_token_counts, op7_language, op9_shards)
+    f.__name__: f for f in (op1_near_duplicates, op2_main_text, op3_toxicity, op4_packing, op5_fingerprints, op6_token_counts, op7_language, op9_shards)
 }
 ORACLES: dict[str, str] = {}
