@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import duplicates, extraction, fingerprints, languages, packing, shards, tokens, toxicity
+from . import decontamination, duplicates, extraction, fingerprints, languages, packing, shards, tokens, toxicity
 from .common import documents
 
 
@@ -42,7 +42,11 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(documents(spark, sf_dir))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_main_text, op3_toxicity, op4_packing, op5_fingerprints, op6_token_counts, op7_language, op9_shards)
+    f.__name__: f for f in (op1_near_duplicates, op2_main_text, op3_toxicity, op4_packing, op5_fingerprints, op6_token_counts, op7_language, op9_shards, op10_decontamination)
 }
 ORACLES: dict[str, str] = {}
