@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import utf8_blocks, word_hashes
@@ -22,7 +23,7 @@ _SENTENCE = re.compile(r"(?<=[.?!:\n])\s+")
 
 def _hashes(texts: list[str]) -> list[np.ndarray]:
     out: list[np.ndarray] = []
-    for first, last, data, offsets in utf8_blocks(pa.array(texts, pa.string())):
+    for first, last, data, offsets in utf8_blocks(pc.utf8_lower(pa.array(texts, pa.string()))):
         words, at = word_hashes(data, offsets)
         out += [words[at[i] : at[i + 1]] for i in range(last - first)]
     return out
@@ -135,7 +136,7 @@ def search(index: Index, words: np.ndarray, at: np.ndarray) -> Iterator[tuple[in
 
 def leaks(index: Index, column: pa.Array, overlap: float = OVERLAP) -> Iterator[tuple[int, int, float, float, float]]:
     """(row, item position, best score, question overlap, answer overlap) of confirmed items of each text, once each."""
-    for first, _, data, offsets in utf8_blocks(column):
+    for first, _, data, offsets in utf8_blocks(pc.utf8_lower(column)):
         words, at = word_hashes(data, offsets)
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
         for row, start, item, score in search(index, words, at):
