@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, duplicates, extraction, fingerprints, languages, packing, shards, tokens, toxicity
+from . import decontamination, duplicates, extraction, fingerprints, languages, packing, shards, substrings, tokens, toxicity
 from .common import documents
 
 
@@ -38,6 +39,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.identify(documents(spark, sf_dir))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_bytes(documents(spark, sf_dir))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(documents(spark, sf_dir))
 
@@ -46,7 +51,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_main_text, op3_toxicity, op4_packing, op5_fingerprints, op6_token_counts, op7_language, op9_shards, op10_decontamination)
+    f.__name__: f for f in (op1_near_duplicates, op2_main_text, op3_toxicity, op4_packing, op5_fingerprints, op6_token_counts, op7_language, op8_repeats, op9_shards, op10_decontamination, pipeline)
 }
 ORACLES: dict[str, str] = {}
