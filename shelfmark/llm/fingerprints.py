@@ -99,7 +99,7 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
     source = source.withColumn("_key", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
     n = slices(spark)
     cuts = source.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10000)).first()[0] or []
-    splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    splits = [float("-inf"), *sorted({float(c) for c in cuts} or {0.0}), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="_key", outputCol="_range", handleInvalid="keep").transform(source)
     ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
     starts = ranged.groupBy("_range").agg(F.min("doc_id").alias("least"), F.max(F.col("doc_id").isNull()).alias("null")).orderBy("_range").collect()

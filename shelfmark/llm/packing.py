@@ -146,7 +146,7 @@ def solve(histogram: dict[int, int], room: int, rounds: int = 120, rate: float =
             use = min(bins, need // fit)
             if use < bins:
                 open_bins.setdefault(space, []).append((pattern, bins - use))
-            open_bins.setdefault(space - fit * size, []).append((pattern | {size: fit}, use))
+            open_bins.setdefault(space - fit * size, []).append((pattern | {size: pattern.get(size, 0) + fit}, use))
             need -= fit * use
     made += [entry for entries in open_bins.values() for entry in entries]
     return [(pattern, times) for pattern, times in made if times]

@@ -22,7 +22,7 @@ def features(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None =
     """
     data = _LOWER[data]
     starts, ends, _ = word_spans(data, offsets)
-    letter = ((data >= 97) & (data <= 122)) | (data >= 128)
+    letter = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 128)
     for _ in range(3):  # outer quotes, brackets, stops
         live = ends > starts
         starts = starts + (live & ~letter[np.minimum(starts, len(data) - 1)]) if len(data) else starts
