@@ -85,20 +85,25 @@ def fit(sample: list[tuple[int, bytes]], prior: float, rounds: int = 150, keep:
     kinds = np.array([k for k, _ in sample])
     if not len(kinds) or not kinds.any() or kinds.all() or not 0 < prior < 1:
         return np.zeros(0, np.int64), np.zeros(0), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
-    arrays = [np.frombuffer(f, "<u4").astype(np.int64) for _, f in sample]
-    row, feature = np.repeat(np.arange(len(arrays)), [len(a) for a in arrays]), np.concatenate(arrays)
+    arrays = [np.frombuffer(f, "<u4") for _, f in sample]
     positive, unlabelled = kinds == 1, kinds == 0
-    in_positive = np.bincount(feature[positive[row]], minlength=1 << BITS) / positive.sum()
-    in_all = np.bincount(feature[unlabelled[row]], minlength=1 << BITS) / unlabelled.sum()
+
+    def share(members: np.ndarray) -> np.ndarray:  # of documents with each feature
+        seen = np.zeros(1 << BITS)
+        for i in np.flatnonzero(members):
+            seen[arrays[i]] += 1
+        return seen / members.sum()
+
+    in_positive, in_all = share(positive), share(unlabelled)
     # features that tell: several times as frequent among the positives as in all, beyond chance
     spread = np.sqrt((in_all * (1 - in_all) + 1e-4) * (1 / positive.sum() + 1 / unlabelled.sum()))
     surprise = np.where(in_positive > 2.5 * in_all + 0.002, (in_positive - in_all) / spread, 0)
     ids = np.sort(np.argsort(-surprise, kind="stable")[:keep])
     ids = ids[surprise[ids] > 6]
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, np.int32)
     place[ids] = np.arange(len(ids))
-    use = place[feature] >= 0
-    row, column = row[use], place[feature[use]]
+    known = [place[x][place[x] >= 0] for x in arrays]
+    row, column = np.repeat(np.arange(len(known)), [len(x) for x in known]), np.concatenate(known)
     scale = 1 / np.sqrt(in_all[ids] + 0.05)
     value = scale[column]
     weights, bias = np.zeros(len(ids)), float(np.log(prior / (1 - prior)))
