@@ -96,7 +96,7 @@ def declared(names: Column, taxonomy: Taxonomy) -> Column:
 
 def classify(description, topics, name, language, taxonomy: Taxonomy, limit: int = K.MAX_CATEGORIES) -> Column:
     """Strongest signal first: topics, language, keywords."""
-    known = {k: v for k, v in K.LANGUAGE_CATEGORIES.items() if taxonomy.has(v)}
+    known = {k: v for k, v in K.LANGUAGE_CATEGORIES.items() if v in taxonomy.leaf_parent}
     ranked = F.concat(
         by_topics(topics, taxonomy),
         by_language(language, known),

@@ -11,7 +11,7 @@ from ..functions.clock import fractional_days_since
 from ..functions.compare import is_archived, is_stale, snapshot_status
 from ..functions.text import any_of, literal_alternation, string_array
 from ..taxonomy import Taxonomy
-from .grouping import MAX_GROUP, collect_in_parts
+from .ranking import position_in_group
 
 
 def by_id(df: DataFrame, rid: str) -> DataFrame:
@@ -149,9 +149,11 @@ def placed(records: DataFrame, bridge: DataFrame, categories: DataFrame) -> Data
     })
 
 
-def sources_per_record(edges: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
-    pair = F.struct(F.col("source_repository").alias("repository"), F.col("source_section").alias("section"))
-    return collect_in_parts(edges, ["repository_id"], pair, "sources", max_group)
+def sources_per_record(edges: DataFrame) -> DataFrame:
+    """``(repository_id, position, repository, section)``: the edges of each record, numbered in order from 1."""
+    rows = edges.select(
+        "repository_id", F.col("source_repository").alias("repository"), F.col("source_section").alias("section"))
+    return position_in_group(rows, ["repository_id"], [F.asc("repository"), F.asc("section")], "position")
 
 
 def stats(df: DataFrame) -> DataFrame:

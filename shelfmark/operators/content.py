@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as K
+from ..functions.urls import WEB_PREFIX
 from ..functions.files import capped_text, decode_base64, file_kind
 from ..schemas import DOCUMENT
 from .catalog import min_score
 from .keyed import with_rank
 
 _SLOT = "struct<listing_no:int,file_order:bigint>"
-# A broadcast of kept keys is allowed up to this many rows; the bound is computed, not guessed.
-BROADCAST_ROWS = 200_000
 
 
 def select_records(records: DataFrame, least_score: float = 0.0, n: int = K.MAX_REPOSITORIES) -> DataFrame:
@@ -29,12 +28,18 @@ def listing_number(column: str = "listing"):
 
 
 def stored_candidates(files: DataFrame, max_bytes: int = K.MAX_BYTES_PER_FILE, **include: bool) -> DataFrame:
-    """Files of a stored kind with decoded, capped, non-empty text."""
+    """Files of a stored kind with decoded, capped, non-empty text.
+
+    A readme goes by its name, and links to the page of its repository where it has no url of its own.
+    """
+    readme = F.col("listing") == K.README_LISTING
+    page = F.concat(F.lit(WEB_PREFIX), F.substr("repository_id", F.lit(len(K.PLATFORM) + 2)))
     kinds = files.withColumn("kind", file_kind("listing", "type", "name", **include)).filter("kind is not null")
     texts = kinds.withColumn("t", capped_text(decode_base64("content_base64"), max_bytes)).filter("t.bytes > 0")
     return texts.select(
         "repository_id", listing_number().alias("listing_no"), "file_order", "kind",
-        F.coalesce("path", "name").alias("path"), F.coalesce("html_url", F.lit("")).alias("url"), "t.*")
+        F.when(readme, F.coalesce("name", F.lit("README"))).otherwise(F.coalesce("path", "name")).alias("path"),
+        F.coalesce("html_url", F.when(readme, page), F.lit("")).alias("url"), "t.*")
 
 
 def within_budget(
@@ -77,23 +82,19 @@ def usable_id(column: str = "id"):
 
 
 def documents(
-    selected: DataFrame, files: DataFrame, selected_bound: int | None = None,
-    max_bytes: int = K.MAX_BYTES_PER_FILE, budget: int = K.MAX_BYTES_PER_REPOSITORY,
+    selected: DataFrame, files: DataFrame, max_bytes: int = K.MAX_BYTES_PER_FILE, budget: int = K.MAX_BYTES_PER_REPOSITORY,
     per_listing: int = K.MAX_FILES_PER_LISTING, **include: bool,
 ) -> DataFrame:
     """Documents of the selected records.
 
-    Only sizes are grouped; texts are fetched again by key. ``selected_bound`` is the known upper
-    limit of selected records: where it keeps the keys small they are broadcast, so that no text
-    is shuffled; otherwise the joins stay ordinary ones.
+    Only sizes are grouped; texts are fetched again by key. Spark broadcasts the keys where they are
+    small by its own check of their size.
     """
-    kept_bound = None if selected_bound is None else selected_bound * (len(K.LISTINGS) * per_listing + 1)
-    small = lambda df, bound: F.broadcast(df) if bound is not None and bound <= BROADCAST_ROWS else df
     wanted = selected.filter(usable_id()).select(F.col("id").alias("repository_id"))
-    mine = files.join(small(wanted, selected_bound), "repository_id", "left_semi")
+    mine = files.join(wanted, "repository_id", "left_semi")
     ready = stored_candidates(mine, max_bytes, **include)
     kept = within_budget(ready.select("repository_id", "listing_no", "file_order", "bytes"), budget, per_listing)
-    return ready.join(small(kept, kept_bound), ["repository_id", "listing_no", "file_order"], "left_semi").select(
+    return ready.join(kept, ["repository_id", "listing_no", "file_order"], "left_semi").select(
         *DOCUMENT.fieldNames(), "listing_no", "file_order")
 
 

@@ -11,7 +11,7 @@ from .keyed import latest_per_key
 
 def _packed(df: DataFrame, order: str | None, name: str) -> DataFrame:
     rows = latest_per_key(df, ["id"], order) if order else df
-    star = F.struct(*[c for c in C.comparable(rows.columns)])
+    star = F.struct(*C.comparable(rows.columns), F.col("name") if "name" in rows.columns else F.lit(None).cast("string").alias("name"))
     return rows.select(F.col("id"), star.alias(name), C.snapshot_status(
         F.col("health_status") if "health_status" in rows.columns else F.lit(None).cast("string"),
         F.col("health.status") if "health" in rows.columns else F.lit(None).cast("string"),

@@ -31,11 +31,16 @@ def latest_per_key(df: DataFrame, keys, order: str = "seq") -> DataFrame:
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys, order: str = "seq") -> DataFrame:
-    """Whole-row replacement by key; among incoming rows the highest ``order`` wins."""
-    old = existing.withColumn("__round", F.lit(0)).withColumn(order, F.lit(None).cast("bigint"))
-    new = incoming.withColumn("__round", F.lit(1))
-    both = old.unionByName(new, allowMissingColumns=True)
-    return top_per_key(both, keys, [F.desc("__round"), F.col(order).desc_nulls_last()]).drop("__round", order)
+    """Whole-row replacement by key; among incoming rows the highest ``order`` wins.
+
+    Only the incoming rows are ranked. The existing ones, unique by key, pass an anti join with the incoming keys,
+    which Spark broadcasts where they are few; they are neither sorted nor windowed.
+    """
+    new = latest_per_key(incoming, keys, order).drop(order)
+    touched = new.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    kept = existing.drop(order).join(touched, same, "left_anti")
+    return kept.unionByName(new, allowMissingColumns=True)
 
 
 def insert_absent(existing: DataFrame, incoming: DataFrame, keys) -> DataFrame:
@@ -78,16 +83,16 @@ def upsert_findings(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 def category_rows(assigned: DataFrame) -> DataFrame:
     """Category table ``(name, parent)`` from ``(repository_id, category, parent, seq)``.
 
-    Parents become rows of their own without a parent; a leaf keeps the first parent it got.
-    A parent row is written before the leaves of the same record, hence the half step.
+    Parents become rows of their own without a parent; a leaf keeps the first parent it got. A parent row is written
+    before the leaves of the same record, hence the step. ``seq`` may be of any ordered type.
     """
     has_parent = F.coalesce((F.col("parent") != "") & (F.col("parent") != F.col("category")), F.lit(False))
     leaves = assigned.select(
         F.col("category").alias("name"), F.when(has_parent, F.col("parent")).alias("parent"),
-        (F.col("seq") * 2 + 1).alias("step"))
+        "seq", F.lit(1).alias("step"))
     roots = assigned.filter("parent is not null").select(
-        F.col("parent").alias("name"), F.lit(None).cast("string").alias("parent"), (F.col("seq") * 2).alias("step"))
-    everything = leaves.unionByName(roots).groupBy("name").agg(F.min(F.struct("step", "parent")).alias("f"))
+        F.col("parent").alias("name"), F.lit(None).cast("string").alias("parent"), "seq", F.lit(0).alias("step"))
+    everything = leaves.unionByName(roots).groupBy("name").agg(F.min(F.struct("seq", "step", "parent")).alias("f"))
     return everything.select("name", "f.parent")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions.text import col, is_set, strip
@@ -10,8 +10,11 @@ from ..functions.urls import (
     WEB_PREFIX, id_from_url, normalize_url, repository_id, split_id,
 )
 from ..schemas import REPOSITORY
-from .grouping import MAX_GROUP, collect_in_parts
 from .keyed import first_per_key
+from .ranking import position_in_group
+
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
 
 def _typed(name: str) -> Column:
     return F.lit(None).cast(REPOSITORY[name].dataType)
@@ -109,8 +112,8 @@ def normalize(df: DataFrame) -> DataFrame:
     })
 
 
-def match_key(fields: list[str]) -> Column:
-    """Dedupe key over the given fields, joined by a bar."""
+def match_key(fields: list[str], types: dict[str, str] | None = None) -> Column:
+    """Dedupe key over the given fields, joined by a bar; null, zero, false and empty are the same."""
     parts = []
     for f in fields:
         if f == "id":
@@ -118,7 +121,9 @@ def match_key(fields: list[str]) -> Column:
         elif f == "url":
             part = normalize_url("url")
         else:
-            part = F.lower(F.col(f).cast("string"))
+            kind = (types or {}).get(f, "string")
+            empty = F.col(f) == F.lit(False) if kind == "boolean" else F.col(f) == 0 if kind in _NUMBERS or kind.startswith("decimal") else F.lit(False)
+            part = F.when(~F.coalesce(empty, F.lit(False)), F.lower(F.col(f).cast("string")))
         parts.append(F.coalesce(part, F.lit("")))
     return F.concat_ws("|", *parts)
 
@@ -131,7 +136,7 @@ def dedupe(df: DataFrame, fields: list[str] | None = None, order: str = "seq") -
     """
     if fields in (None, ["id"]):
         return first_per_key(df, ["id"], [F.col(order).asc()])
-    keyed = df.withColumn("__key", match_key(fields or ["id"]))
+    keyed = df.withColumn("__key", match_key(fields or ["id"], dict(df.dtypes)))
     return first_per_key(keyed, ["__key"], [F.col(order).asc()]).drop("__key")
 
 
@@ -139,20 +144,23 @@ def duplicates(df: DataFrame, fields: list[str] | None = None, order: str = "seq
     """Every dropped row as ``(primary_id, match_type, <row>)``: rows, not one list per group.
 
     The first row of each key is found by a map-side combined aggregate and joined back, so
-    a group of any size is spread by the skew handling of the join.
+    a group of any size is spread by the skew handling of the join. Of rows that tie with the
+    first one, all but one are dropped rows too; only those are numbered.
     """
-    keyed = df.withColumn("__key", match_key(fields or ["id"]))
+    keyed = df.withColumn("__key", match_key(fields or ["id"], dict(df.dtypes)))
     primary = keyed.groupBy("__key").agg(
         F.min_by("id", order).alias("primary_id"), F.min(order).alias("__first"), F.count("*").alias("__n")
     ).filter("__n > 1").drop("__n")
-    return keyed.join(primary, "__key").filter(F.col(order) > F.col("__first")).select(
-        "primary_id", F.lit("id").alias("match_type"), *df.columns
-    )
+    members = keyed.join(primary, "__key").withColumn("__tied", F.col(order).eqNullSafe(F.col("__first")))
+    later = members.filter(~F.col("__tied") & F.coalesce(F.col(order) > F.col("__first"), F.lit(True)))
+    nth = F.row_number().over(Window.partitionBy("__key").orderBy(F.asc("id")))
+    tied = members.filter("__tied").withColumn("__nth", nth).filter("__nth > 1").drop("__nth")
+    return later.unionByName(tied).select("primary_id", F.lit("id").alias("match_type"), *df.columns)
 
 
 def duplicate_counts(df: DataFrame, fields: list[str] | None = None, order: str = "seq") -> DataFrame:
     """``(primary_id, duplicates)`` per primary id with at least one duplicate."""
-    keyed = df.withColumn("__key", match_key(fields or ["id"]))
+    keyed = df.withColumn("__key", match_key(fields or ["id"], dict(df.dtypes)))
     groups = keyed.groupBy("__key").agg(F.min_by("id", order).alias("primary_id"), (F.count("*") - 1).alias("n"))
     return groups.filter("n > 0").groupBy("primary_id").agg(F.sum("n").alias("duplicates"))
 
@@ -163,14 +171,14 @@ def merge_sources(existing: Column | str, new: Column | str) -> Column:
     return F.array_distinct(F.concat(F.coalesce(col(existing), none), F.coalesce(col(new), none)))
 
 
-def fold_sources(df: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
-    """Distinct provenance pairs per id, of the primary and all its duplicates.
+def fold_sources(df: DataFrame) -> DataFrame:
+    """``(id, position, repository, section)``: distinct provenance pairs of the primary and all its duplicates.
 
     The pairs are made distinct first, combined on the map side, so copies of one record ship each
-    pair once. An id with more than ``max_group`` pairs gets several rows.
+    pair once; positions count from 1 in order of the pairs.
     """
-    pairs = df.select("id", F.explode("sources").alias("pair")).distinct()
-    return collect_in_parts(pairs, ["id"], "pair", "sources", max_group)
+    pairs = df.select("id", F.inline("sources")).select("id", "repository", "section").distinct()
+    return position_in_group(pairs, ["id"], [F.asc("repository"), F.asc("section")], "position")
 
 
 def attach_facts(hits: DataFrame, topics: DataFrame, licenses: DataFrame, contributors: DataFrame) -> DataFrame:

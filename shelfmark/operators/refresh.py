@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .. import constants as K
 from ..functions.clock import days_since
 from ..functions.scoring import is_due, push_health
+from ..functions.urls import WEB_PREFIX
 from ..schemas import REPOSITORY
+from .keyed import first_per_key
 
 
 def with_due(records: DataFrame, as_of, policy: dict[str, int] | None = None) -> DataFrame:
@@ -22,13 +25,19 @@ def select_due(records: DataFrame, as_of, policy=None, limit: int | None = None)
 def merge(old: DataFrame, fresh: DataFrame, as_of) -> DataFrame:
     """Fresh facts replace the row; id, owner, name, curated info, sources and score stay.
 
-    Health comes from the push date. Rows without fresh data are not returned.
+    Health comes from the push date, the url from the id, and ``collected_at`` is the time of the refresh. Of several
+    fresh rows of an id the one collected last is taken. Rows without fresh data are not returned.
     """
+    fresh = first_per_key(fresh, ["id"], [F.col("collected_at").desc_nulls_last(), F.col("pushed_at").desc_nulls_last()])
     kept = ["owner", "name", "awesome", "sources", "score"]
     health = F.struct(
         push_health("f.pushed_at", as_of).alias("status"), days_since("f.pushed_at", as_of).alias("last_commit_days"),
         F.lit(None).cast("bigint").alias("release_days"), F.lit(None).cast("bigint").alias("contributors_90d"))
-    pick = lambda n: F.col(f"o.{n}") if n in kept or n == "id" else health if n == "health" else F.col(f"f.{n}")
+    made = {
+        "health": health, "collected_at": F.lit(as_of).cast("timestamp"),
+        "url": F.concat(F.lit(WEB_PREFIX), F.substr("o.id", F.lit(len(K.PLATFORM) + 2))),
+    }
+    pick = lambda n: made[n] if n in made else F.col(f"o.{n}") if n in kept or n == "id" else F.col(f"f.{n}")
     return old.alias("o").join(fresh.alias("f"), F.col("o.id") == F.col("f.id")).select(
         *[pick(n).alias(n) for n in REPOSITORY.fieldNames()])
 
@@ -36,12 +45,11 @@ def merge(old: DataFrame, fresh: DataFrame, as_of) -> DataFrame:
 def report(records: DataFrame, fresh: DataFrame, as_of, policy=None, limit: int | None = None) -> DataFrame:
     """checked, updated, skipped (not due or cut by the limit), failed, due."""
     chosen = select_due(records, as_of, policy, limit).select("id")
-    found = fresh.select("id", F.lit(True).alias("ok"))
+    found = fresh.select("id").distinct().withColumn("ok", F.lit(True))
     counted = chosen.join(found, "id", "left").agg(
         F.count("*").alias("checked"), F.count_if(F.col("ok")).alias("updated"))
     flagged = with_due(records, as_of, policy)
-    total = flagged.agg(F.count("*")).scalar()
-    due = flagged.agg(F.count_if("due")).scalar()
-    return counted.select(
-        "checked", "updated", (total - F.col("checked")).alias("skipped"),
-        (F.col("checked") - F.col("updated")).alias("failed"), due.alias("due"))
+    whole = flagged.agg(F.struct(F.count("*").alias("total"), F.count_if("due").alias("due"))).scalar()
+    return counted.withColumn("__whole", whole).select(
+        "checked", "updated", (F.col("__whole.total") - F.col("checked")).alias("skipped"),
+        (F.col("checked") - F.col("updated")).alias("failed"), F.col("__whole.due").alias("due"))

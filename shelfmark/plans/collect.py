@@ -13,7 +13,7 @@ from ..taxonomy import Taxonomy
 def _awesome(is_list: Column, categories: Column) -> Column:
     return F.struct(
         is_list.alias("is_awesome_list"), categories.alias("categories"),
-        F.array().cast("array<string>").alias("package_names"))
+        F.coalesce(F.col("awesome.package_names"), F.array().cast("array<string>")).alias("package_names"))
 
 
 def classified(normalized: DataFrame, taxonomy: Taxonomy) -> DataFrame:
@@ -90,8 +90,7 @@ def collect_from_lists(
     categories = with_section(heading_category("section", taxonomy), own)
     saved = survivors.withColumn("awesome", _awesome(F.lit(True), categories)).withColumn(
         "categories", F.col("awesome.categories"))
-    numbered = saved.withColumn("seq", F.xxhash64("id"))
-    assigned = assigned_categories(numbered, taxonomy)
+    assigned = assigned_categories(saved, taxonomy)  # in list order: seq is (list_id, gen, pos)
     return {
         "records": saved.select(*REPOSITORY.fieldNames()),
         "sources": keyed.source_edges(raw),

@@ -43,7 +43,7 @@ def extract(records: DataFrame, files: DataFrame, min_score: float = 0.0,
             max_repositories: int = K.MAX_REPOSITORIES, **limits) -> dict[str, DataFrame]:
     """Documents and statuses of the best records."""
     selected = content.select_records(records, min_score, max_repositories)
-    docs = content.documents(selected, files, selected_bound=max_repositories, **limits)
+    docs = content.documents(selected, files, **limits)
     status = content.statuses(selected, docs)
     return {"documents": docs, "statuses": status, "report": content.report(status)}
 

@@ -18,9 +18,11 @@ DEFAULTS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings above to an existing session."""
+    """Apply those of the settings above that the session does not set itself."""
+    given = dict(spark.sparkContext.getConf().getAll()) | dict(spark.conf.getAll)
     for key, value in DEFAULTS.items():
-        spark.conf.set(key, value)
+        if key not in given:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -42,11 +44,16 @@ def local_session(cores: int | str = 8, app: str = "shelfmark", **conf: str) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder named by ``spark.checkpoint.dir``; make one only where none is set."""
+    """The shared folder named by ``spark.checkpoint.dir``. A local session without one gets a temporary folder; a
+    cluster must name one, since executors do not see each other's disks."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shelfmark-")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not (context.master == "local" or context.master.startswith("local[")):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="shelfmark-")
         context.setCheckpointDir(folder)
         current = context.getCheckpointDir()
     return current

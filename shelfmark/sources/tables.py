@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ..operators.grouping import MAX_GROUP, collect_in_parts
 from ..operators.keyed import latest_per_key, upsert_daily_metrics
+from ..operators.ranking import best_first, position_in_group
+from ..operators.records import complete
 from ..schemas import FINDING, REPOSITORY
 from ..session import ensure_checkpoint_dir
 
@@ -14,9 +15,9 @@ CONTENT_BUCKETS = 256
 
 
 def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Repository JSON documents; unreadable ones are dropped, unknown fields ignored."""
+    """Repository JSON documents; unreadable ones are dropped, unknown fields ignored, absent ones take their defaults."""
     reader = spark.read.schema(REPOSITORY).option("mode", "DROPMALFORMED").option("multiLine", multi_line)
-    return reader.json(path).filter("id is not null")
+    return complete(reader.json(path).filter("id is not null"))
 
 
 def read_rejects(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
@@ -98,9 +99,24 @@ def index_members(entries: DataFrame) -> DataFrame:
     return entries.select("parent", F.col("category").alias("leaf"), "id")
 
 
-def index_lists(entries: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
-    """Id arrays per parent and leaf; a large leaf gets several parts."""
-    return collect_in_parts(index_members(entries), ["parent", "leaf"], "id", "ids", max_group)
+def index_lists(entries: DataFrame) -> DataFrame:
+    """``(parent, leaf, position, id)``: the ids of each leaf, best score first, numbered from 1."""
+    rows = entries.select("parent", F.col("category").alias("leaf"), "id", "score", "stars")
+    return position_in_group(rows, ["parent", "leaf"], best_first(), "position").select("parent", "leaf", "position", "id")
+
+
+def index_parents(entries: DataFrame) -> DataFrame:
+    """``(parent, position, id)``: the distinct ids under each parent, best score first."""
+    rows = entries.select("parent", "id", "score", "stars").dropDuplicates(["parent", "id"])
+    return position_in_group(rows, ["parent"], best_first(), "position").select("parent", "position", "id")
+
+
+def read_index(spark: SparkSession, path: str, parent: str, leaf: str | None = None) -> DataFrame:
+    """``(position, id)`` of one parent, or of one of its leaves; other parents are not read."""
+    if leaf is None:
+        return spark.read.parquet(f"{path}/parents").filter(F.col("parent") == parent).select("position", "id")
+    rows = spark.read.parquet(f"{path}/members").filter((F.col("parent") == parent) & (F.col("leaf") == leaf))
+    return rows.select("position", "id")
 
 
 def slim_records(flat: DataFrame) -> DataFrame:
@@ -110,7 +126,8 @@ def slim_records(flat: DataFrame) -> DataFrame:
 
 
 def write_index(entries: DataFrame, flat: DataFrame, path: str) -> None:
-    index_members(entries).write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
+    index_lists(entries).repartition("parent", "leaf").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
+    index_parents(entries).repartition("parent").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/parents")
     slim_records(flat).write.mode("overwrite").parquet(f"{path}/repositories")
     flat.agg(F.count("*").alias("total")).write.mode("overwrite").json(f"{path}/totals")
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import catalog, content, diff, discover, findings, grouping, keyed, ranking, records, refresh, reports
+from shelfmark.operators import catalog, content, diff, discover, findings, keyed, ranking, records, refresh, reports
 from shelfmark.plans import collect, publish
 from shelfmark.schemas import REPOSITORY, SEARCH_HIT
 from shelfmark.sources import tables
@@ -41,13 +41,35 @@ def test_hot_key_ships_one_row_per_task(spark):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
-def test_collect_in_parts_keeps_every_value(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 10)).alias("k"), "id")
-    parts = grouping.collect_in_parts(df, ["k"], "id", "ids", max_group=100).collect()
-    hot = [r for r in parts if r["k"] == "hot"]
-    assert len(hot) > 5 and max(len(r["ids"]) for r in hot) < 200
-    assert sorted(x for r in hot for x in r["ids"]) == list(range(900))
-    assert all(r["part"] == 0 for r in parts if r["k"] != "hot")
+def test_large_groups_are_rows_like_small_ones(spark):
+    pairs = [(i, f"list{j}", "s") for i in range(3) for j in range(400 if i == 0 else 3)]
+    rows = spark.createDataFrame([(i, [{"repository": r, "section": s}]) for i, r, s in pairs + pairs[:5]], "id int, sources array<struct<repository:string,section:string>>")
+    got = records.fold_sources(rows).collect()
+    expected = {(i, n + 1, r, s) for i in range(3) for n, (_, r, s) in enumerate(sorted(p for p in pairs if p[0] == i))}
+    assert {(r["id"], r["position"], r["repository"], r["section"]) for r in got} == expected and len(got) == len(pairs)
+
+
+def test_ties_with_the_first_row_are_duplicates(spark):
+    rows = spark.createDataFrame([("a", 1, 0), ("a", 1, None), ("a", 1, 0), ("a", 2, 0), ("b", 1, 0)], "id string, seq bigint, stars bigint")
+    assert sorted(r["seq"] for r in records.duplicates(rows).collect()) == [1, 1, 2]
+    assert records.dedupe(rows, ["stars"]).count() == 1  # null and zero are one key
+
+
+def test_upsert_reads_the_stored_side_without_a_window(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    new = spark.createDataFrame([("b", 5, 1), ("b", 6, 2), ("c", 7, 1), (None, 8, 1)], "k string, v int, seq bigint")
+    out = keyed.upsert(old, new, ["k"])
+    assert {tuple(r) for r in out.collect()} == {("a", 1), ("b", 6), ("c", 7), (None, 8)}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Window ") <= 2  # only over incoming rows
+
+
+def test_refresh_stamps_and_takes_one_fresh_row(spark):
+    old = records.complete(spark.createDataFrame([("github:a/b", "a", "b", "old")], "id string, owner string, name string, url string"))
+    fresh = records.complete(spark.createDataFrame([("github:a/b", 1, "2026-01-01"), ("github:a/b", 2, "2026-01-05")], "id string, stars bigint, day string").withColumn(
+        "pushed_at", F.col("day").cast("timestamp")).drop("day"))
+    got = refresh.merge(old, fresh, "2026-02-01 00:00:00").collect()
+    assert [(r["stars"], r["url"], str(r["collected_at"])[:10]) for r in got] == [(2, "https://github.com/a/b", "2026-02-01")]
+    assert refresh.report(old, fresh, "2026-02-01 00:00:00").first()["skipped"] == 0
 
 
 def test_position_in_group_equals_window(spark):
@@ -187,7 +209,7 @@ def test_json_scan_skips_broken_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text('{\n"id": "github:a/b", "stars": 3, "nope": 1\n}')
     (tmp_path / "b.json").write_text("{broken")
     got = tables.read_records(spark, str(tmp_path)).collect()
-    assert [(r["id"], r["stars"], r["archived"]) for r in got] == [("github:a/b", 3, None)]
+    assert [(r["id"], r["stars"], r["archived"]) for r in got] == [("github:a/b", 3, False)]
     rejects = tables.read_rejects(spark, str(tmp_path), REPOSITORY, multi_line=True).collect()
     assert [r["_corrupt_record"] for r in rejects] == ["{broken"]
 

@@ -4,10 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from workload.registry import TABLES
+from workload.registry import ORACLES, QUERIES, TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -43,3 +42,4 @@ def test_entry_runs(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())

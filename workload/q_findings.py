@@ -94,7 +94,8 @@ def capped_sql(n: int) -> str:
     return f"""
     hexed as (select *, octet_length(encode(text)) as full_bytes, hex(encode(text)) as h from files_text where {_STORED} and text <> ''),
     measured as (select *, case when full_bytes > {n} then {split} else 0 end as p from hexed),
-    capped as (select repository_id, {_LISTING} as listing_no, {_KIND} as kind, file_order, path, coalesce(html_url, '') as url, full_bytes > {n} as truncated,
+    capped as (select repository_id, {_LISTING} as listing_no, {_KIND} as kind, file_order, case when listing = 'readme' then coalesce(name, 'README') else coalesce(path, name) end as path,
+        coalesce(html_url, case when listing = 'readme' then 'https://github.com/' || substr(repository_id, 8) else '' end) as url, full_bytes > {n} as truncated,
         cast(case when full_bytes > {n} then {n} - p + case when p > 0 then 3 else 0 end else full_bytes end as bigint) as bytes,
         case when full_bytes > {n} then decode(unhex(substr(h, 1, 2 * ({n} - p)))) || case when p > 0 then '�' else '' end else text end as content from measured)"""
 

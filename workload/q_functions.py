@@ -250,7 +250,7 @@ def duck_unique(a: str) -> str:
 
 
 def duck_language(table=K.LANGUAGE_CATEGORIES, known=True, expr="lower(trim(language))") -> str:
-    cases = " ".join(f"when '{k}' then '{v}'" for k, v in table.items() if not known or PARTS.has(v))
+    cases = " ".join(f"when '{k}' then '{v}'" for k, v in table.items() if not known or v in PARTS.leaf_parent)
     return f"list_filter([case {expr} {cases} end], lambda x: x is not null)"
 
 

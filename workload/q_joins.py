@@ -168,11 +168,10 @@ def raw_records(t):
 
 
 @query("j11_fold_sources", """
-    select rid as id, string_agg(source_repository || '|' || source_section, ',' order by source_repository, source_section) as sources
-    from (select distinct rid, source_repository, source_section from raw_ids) group by rid""", ("raw_ids",))
+    select rid as id, row_number() over (partition by rid order by source_repository, source_section) as position, source_repository as repository, source_section as section
+    from (select distinct rid, source_repository, source_section from raw_ids)""", ("raw_ids",))
 def fold_sources(t):
-    return records.fold_sources(raw_records(t)).select("id", F.array_join(
-        F.transform("sources", lambda s: F.concat_ws("|", s["repository"], s["section"])), ",").alias("sources"))
+    return records.fold_sources(raw_records(t))
 
 
 def fresh_rows(t):
@@ -191,7 +190,7 @@ DUE_SQL = f"(collected_at is null or floor(({AS_OF_S} - epoch(collected_at)) / 8
 
 
 @query("j12_refresh_merge", f"""
-    with {FRESH_SQL} select r.id, r.owner, r.name, 'fresh' as url, f.stars, coalesce(r.score_overall, 0.0) as overall,
+    with {FRESH_SQL} select r.id, r.owner, r.name, 'https://github.com/' || substr(r.id, 8) as url, f.stars, coalesce(r.score_overall, 0.0) as overall,
         case when floor(({AS_OF_S} - epoch(f.pushed_at)) / 86400.0) <= 7 then 'ACTIVE' when floor(({AS_OF_S} - epoch(f.pushed_at)) / 86400.0) <= 30 then 'MAINTAINED'
             when floor(({AS_OF_S} - epoch(f.pushed_at)) / 86400.0) <= 90 then 'SLOW' else 'STALE' end as status
     from repos r join fresh f on f.id = r.id""", ("repos",))

@@ -9,7 +9,7 @@ from shelfmark.schemas import REPOSITORY
 from shelfmark.sources import tables
 from shelfmark.streaming import ingest
 
-from .common import csv, duck_list_hit, hits, nested, scratch
+from .common import csv, duck_list_hit, hits, nested, scratch, text
 from .q_aggregates import GAIN, OLD_NEW, SUMMARY_SQL, changed
 from .q_findings import LIMITS, RECURSIVE_KEPT, FILE_VIEWS, FINDINGS_SQL, cve_entries, repo_files
 from .q_functions import CLASSIFIED_SQL, SCORE_INPUT_SQL, PUSH_SQL, duck_unique, heading_sql, scored
@@ -100,8 +100,8 @@ _DIFF_LINES = " union all ".join(
 
 @query("r06_change_report", f"""
     with {OLD_NEW}, counts as ({SUMMARY_SQL}) select 0 as block, 0 as slot, '' as id, '# Daily Change Report' as line union all {_DIFF_LINES}
-    union all select 1, 2, id, '  - ' || substr(id, 8) || ' (' || format('{{:,}}', coalesce(stars, 0)) || ' stars)' from b where id not in (select id from a)
-    union all select 2, 2, b.id, '  - ' || substr(b.id, 8) || ' (+' || format('{{:,}}', {GAIN}) || ')' from a join b on a.id = b.id where {GAIN} >= 500""", ("snapshots",))
+    union all select 1, 2, id, '  - ' || coalesce(name, substr(id, 8)) || ' (' || format('{{:,}}', coalesce(stars, 0)) || ' stars)' from b where id not in (select id from a)
+    union all select 2, 2, b.id, '  - ' || coalesce(b.name, substr(b.id, 8)) || ' (+' || format('{{:,}}', {GAIN}) || ')' from a join b on a.id = b.id where {GAIN} >= 500""", ("snapshots",))
 def change_report(t):
     return reports.change_report_lines(changed(t)).select("block", "slot", "id", "line")
 
@@ -206,6 +206,31 @@ def list_sources(t):
     return _from_lists(t)["sources"]
 
 
+@query("w02_list_bridge", f"with {_MEMBERS} select distinct id as repository_id, unnest(categories) as category from saved", ("lists_md", "member_facts"))
+def list_bridge(t):
+    return _from_lists(t)["bridge"]
+
+
+_PLACES = ", ".join(f"('{leaf}', '{parent}')" for leaf, parent in PARTS.leaf_parent.items())
+
+
+@query("w02_list_categories", f"""
+    with {_MEMBERS}, used as (select distinct unnest(categories) as leaf from saved), places(leaf, parent) as (values {_PLACES})
+    select leaf as name, parent from used left join places using (leaf) union select parent, null from used join places using (leaf)""", ("lists_md", "member_facts"))
+def list_categories(t):
+    return _from_lists(t)["categories"]
+
+
+@query("w02_saved", f"with {_MEMBERS} select id, coalesce(stars, -1) as stars from saved", ("lists_md", "member_facts"))
+def saved_lists(t):
+    """The run saved and read back."""
+    made = _from_lists(t)
+    spark = made["records"].sparkSession
+    path = scratch(spark, "w02")
+    store.save(spark, made, path)
+    return spark.read.parquet(f"{path}/records").select("id", F.coalesce("stars", F.lit(-1)).alias("stars"))
+
+
 @query("w02_list_summary", f"""
     with {_MEMBERS} select count(*) as collected, count(*) filter (where len(categories) > 0) as categorized,
         (select count(*) from (select id from members group by id having count(*) > 1)) as duplicates_merged from saved""", ("lists_md", "member_facts"))
@@ -228,10 +253,10 @@ def score_all(t):
 
 @query("w05_refresh", f"""
     with {FRESH_SQL}, chosen as (select * from repos where {DUE_SQL} order by collected_at asc nulls first, id limit 1000)
-    select c.id, c.owner, f.stars, {PUSH_SQL.replace('pushed_at', 'f.pushed_at')} as status from chosen c join fresh f on f.id = c.id""", ("repos",))
+    select c.id, c.owner, f.stars, 'https://github.com/' || substr(c.id, 8) as url, '{AS_OF}' as collected_at, {PUSH_SQL.replace('pushed_at', 'f.pushed_at')} as status from chosen c join fresh f on f.id = c.id""", ("repos",))
 def run_refresh(t):
     made = maintain.refresh_due(nested(t("repos")), fresh_rows(t), AS_OF, limit=1000)
-    return made["records"].select("id", "owner", "stars", "health.status")
+    return made["records"].select("id", "owner", "stars", "url", text("collected_at"), "health.status")
 
 
 @query("w06_generate", f"""

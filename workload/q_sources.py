@@ -73,7 +73,7 @@ def list_records(t):
     select path, octet_length(encode(text)) as bytes, md5(text) as hash from files_text
     where repository_id = 'github:docs/src3' and listing in ('docs', 'doc', 'documentation', 'wiki', '') and type = 'file'
       and name not in ('e.py') and text <> ''
-    union all select path, octet_length(encode(text)), md5(text) from files_text where repository_id = 'github:docs/src3' and listing = 'readme'""",
+    union all select name as path, octet_length(encode(text)), md5(text) from files_text where repository_id = 'github:docs/src3' and listing = 'readme'""",
        ("files_text",))
 def content_lookup(t):
     files = t("files_text").withColumn("content_base64", F.base64(F.encode("text", "UTF-8")))
@@ -102,11 +102,27 @@ def entries(t):
 
 
 @query("s06_index_lists", f"""
-    with {entries_sql()} select parent, category as leaf, count(*) as n, md5(string_agg(id, ',' order by id)) as hash
-    from entries group by parent, category""", ENTRY_VIEWS)
+    with {entries_sql()} select parent, category as leaf, row_number() over (partition by parent, category order by coalesce(score, 0) desc, coalesce(stars, 0) desc, id) as position, id
+    from entries""", ENTRY_VIEWS)
 def index_lists(t):
-    return tables.index_lists(entries(t)).select(
-        "parent", "leaf", F.size("ids").cast("bigint").alias("n"), F.md5(F.array_join("ids", ",")).alias("hash"))
+    return tables.index_lists(entries(t))
+
+
+@query("s06_index_parents", f"""
+    with {entries_sql()} select parent, row_number() over (partition by parent order by coalesce(score, 0) desc, coalesce(stars, 0) desc, id) as position, id
+    from (select distinct parent, id, score, stars from entries)""", ENTRY_VIEWS)
+def index_parents(t):
+    return tables.index_parents(entries(t))
+
+
+@query("s06_read_index", f"""
+    with {entries_sql()} select row_number() over (order by coalesce(score, 0) desc, coalesce(stars, 0) desc, id) as position, id from entries
+    where parent = 'Fasteners' and category = 'Bolts'""", ENTRY_VIEWS)
+def read_index(t):
+    rows = entries(t)
+    spark, path = rows.sparkSession, scratch(rows.sparkSession, "s06")
+    tables.write_index(rows, t("repos"), path)
+    return tables.read_index(spark, path, "Fasteners", "Bolts")
 
 
 @query("s06_index_members", f"""
@@ -201,14 +217,14 @@ def insert_sources(t):
 
 @query("s15_upsert_daily_metrics", """
     with incoming as (select 'github:users/u' || user_id as repository_id, cast(cast(ts as date) as varchar) as date, max(event_id) as stars
-        from events where event_type = 'error' group by 1, 2)
+        from events group by 1, 2)
     select coalesce(i.repository_id, s.id) as repository_id, coalesce(i.date, s.date) as date,
         cast(case when i.date is null then s.stars else i.stars end as varchar) as stars,
         case when i.date is null then s.forks else 1 end as forks, case when i.date is null then s.issues else 0 end as issues
     from snapshots s full join incoming i on i.repository_id = s.id and i.date = s.date""", ("snapshots",))
 def upsert_daily_metrics(t):
     existing = t("snapshots").select(F.col("id").alias("repository_id"), "date", "stars", "forks", "issues")
-    incoming = t("events").filter("event_type = 'error'").select(
+    incoming = t("events").select(
         F.concat(F.lit("github:users/u"), "user_id").alias("repository_id"), F.to_date("ts").cast("string").alias("date"),
         F.col("event_id").alias("stars"), F.lit(1).cast("bigint").alias("forks"), F.lit(0).cast("bigint").alias("issues"),
         F.col("event_id").alias("seq"))

@@ -104,7 +104,7 @@ def assigned(d):
             when 5 then 'Anvils' when 6 then 'Cold Work' else 'Loose' end as category,
         case l_partkey % 8 when 0 then 'Fasteners' when 1 then 'Fasteners' when 2 then 'Fasteners' when 3 then 'Machines' when 4 then 'Machines'
             when 5 then 'Workshop' when 6 then 'Workshop' end as parent, l_orderkey as seq
-        from lineitem where l_quantity > 25"""
+        from lineitem"""
 
 
 @view("bridge", "assigned")
@@ -127,7 +127,7 @@ def provenance(d):
 @view("snapshots")
 def snapshots(d):
     e = "max(event_id)"
-    return f"""select 'github:users/u' || cast(user_id as string) as id, cast(cast(ts as date) as string) as date,
+    return f"""select 'github:users/u' || cast(user_id as string) as id, cast(cast(ts as date) as string) as date, 'User ' || cast(user_id as string) as name,
         case when {e} % 19 = 0 then null else count(*) * 300 end as stars, cast({e} % 50 as bigint) as forks,
         cast(sum(case when event_type = 'error' then 1 else 0 end) as bigint) as issues, max(event_type) as language,
         case when {e} % 5 = 0 then null else min(event_type) end as description,
@@ -145,7 +145,7 @@ def snapshots(d):
 def activity_facts(d):
     return f"""select {rid("user_id")} as id,
         case event_type when 'view' then 'commit' when 'click' then 'commit' when 'purchase' then 'release' else 'contributor' end as kind,
-        cast(ts as timestamp) as ts, 'p' || cast(event_id % 17 as string) as who from events where user_id % 3 <> 0"""
+        cast(ts as timestamp) as ts, 'p' || cast(event_id % 17 as string) as who from events"""
 
 
 @view("url_rows")
@@ -216,7 +216,7 @@ def files_text(d):
         case when {k} % 13 = 0 then 'dir' else 'file' end as type, {name} as name, {path} as path,
         case when {k} % 3 = 0 then null else 'https://github.com/docs/' || source || '/' || cast({k} as string) end as html_url,
         case when {k} % 41 = 0 then '' else text end as text from documents
-        union all select 'github:docs/' || source, 'readme', min(doc_id), 'file', 'README.md', 'README.md', cast(null as string), min(text)
+        union all select 'github:docs/' || source, 'readme', min(doc_id), 'file', 'README.md', 'docs/README.md', cast(null as string), min(text)
         from documents group by source"""
 
 
