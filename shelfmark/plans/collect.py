@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import constants as K
 from ..functions.classify import classify, heading_category, parents_of, with_section
 from ..operators import catalog, discover, keyed, lists, records
 from ..schemas import REPOSITORY
@@ -100,6 +101,29 @@ def collect_from_lists(
     }
 
 
+def as_hits(found: DataFrame) -> DataFrame:
+    """Catalog rows with source and query -> search hits ``(source, query, seq, repository)``.
+
+    ``seq`` orders by kind of search, query, stars and id.
+    """
+    have = set(found.columns)
+    pick = lambda name: F.col(name) if name in have else F.lit(None).cast(REPOSITORY[name].dataType)
+    payload = F.struct(
+        pick("name").alias("name"), F.struct(pick("owner").alias("login")).alias("owner"), pick("url").alias("html_url"),
+        pick("description").alias("description"), pick("stars").alias("stargazers_count"), pick("forks").alias("forks_count"),
+        pick("forks").alias("forks"), pick("issues").alias("open_issues_count"), pick("language").alias("language"),
+        pick("topics").alias("topics"), F.struct(pick("license").alias("key")).alias("license"), pick("archived").alias("archived"),
+        *[pick(n).alias(n) for n in ("created_at", "updated_at", "pushed_at")])
+    seq = F.struct(F.col("source") == "topic", F.col("query"), -F.coalesce(pick("stars"), F.lit(0)), F.col("id"))
+    return found.select("source", "query", seq.alias("seq"), payload.alias("repository"))
+
+
+def discover_hits(table: DataFrame, patterns=K.LIST_NAME_PATTERNS, topics=K.LIST_TOPICS, cap: int = K.HITS_PER_QUERY) -> DataFrame:
+    """Searches of a catalog table by name pattern and by topic, each query capped at its best hits, in hit shape."""
+    found = discover.union_hits(discover.search_names(table, patterns), discover.search_topics(table, topics))
+    return as_hits(discover.cap_hits(found, cap))
+
+
 def discover_lists(hits: DataFrame, collected_at) -> DataFrame:
     """Curated lists among search hits, as list records."""
     return discover.list_records(discover.curated_lists(hits), collected_at)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import catalog, diff, reports
 from ..operators.ranking import trending
@@ -35,6 +35,7 @@ def publish(flat: DataFrame, bridge: DataFrame, categories: DataFrame, path: str
             reports.write_lines(made[name], f"{path}/{name}")
         tables.write_index(entries, flat, f"{path}/index")
         tables.write_snapshot(flat, f"{path}/daily", date)
+        tables.write_snapshot(entries, f"{path}/daily_entries", date)
     finally:
         entries.unpersist()
     return True
@@ -45,6 +46,12 @@ def daily_report(flat: DataFrame, bridge: DataFrame, categories: DataFrame, date
     return reports.daily_report_lines(entries, catalog.category_summary(entries), date)
 
 
+def stored_report(spark: SparkSession, path: str, date: str) -> DataFrame:
+    """The daily report of an earlier date, from the placement stored with its snapshot."""
+    entries = tables.read_snapshot(spark, f"{path}/daily_entries", date).drop("date")
+    return reports.daily_report_lines(entries, catalog.category_summary(entries), date)
+
+
 def diff_report(snapshots: DataFrame, date1: str, date2: str, as_of) -> dict[str, DataFrame]:
     changed = diff.between(snapshots, date1, date2, as_of)
     return {"changes": changed, "summary": diff.summary(changed), "lines": reports.change_report_lines(changed)}

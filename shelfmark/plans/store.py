@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.keyed import insert_absent, upsert
+from ..operators.keyed import insert_absent, latest_per_key, upsert, upsert_findings
 
 _KEYS = {
     "sources": ["repository_id", "source_repository", "source_section"],
@@ -13,6 +13,22 @@ _KEYS = {
 }
 
 
+def save_records(spark: SparkSession, records: DataFrame, new_path: str, old_path: str | None = None) -> int:
+    """Scored or refreshed records by id over the stored ones; returns how many were processed."""
+    incoming = records if "seq" in records.columns else records.withColumn("seq", F.lit(0).cast("bigint"))
+    merged = upsert(spark.read.parquet(f"{old_path}/records"), incoming, ["id"]) if old_path else latest_per_key(incoming, ["id"]).drop("seq")
+    merged.write.mode("errorifexists").parquet(f"{new_path}/records")
+    return records.count()
+
+
+def save_findings(spark: SparkSession, findings: DataFrame, new_path: str, old_path: str | None = None) -> int:
+    """Findings over the stored ones, on a conflict only with new severity, summary and time; returns how many were processed."""
+    incoming = findings.withColumn("seq", F.lit(0).cast("bigint"))
+    stored = spark.read.parquet(f"{old_path}/findings") if old_path else findings.limit(0)
+    upsert_findings(stored, incoming).write.mode("errorifexists").parquet(f"{new_path}/findings")
+    return findings.count()
+
+
 def save(spark: SparkSession, made: dict[str, DataFrame], new_path: str, old_path: str | None = None) -> None:
     """Records are replaced by id; edges, categories and bridge rows are added when absent.
 

@@ -15,7 +15,7 @@ from .q_findings import LIMITS, RECURSIVE_KEPT, FILE_VIEWS, FINDINGS_SQL, cve_en
 from .q_functions import CLASSIFIED_SQL, SCORE_INPUT_SQL, PUSH_SQL, duck_unique, heading_sql, scored
 from .q_joins import DUE_SQL, FRESH_SQL, OWNERS_SQL, REFS_SQL, SECTIONS_SQL, fresh_rows, osv_responses, part_records, raw_records
 from .q_sources import ENTRY_VIEWS, entries, entries_sql, kev_documents
-from .registry import query
+from .registry import ORACLES, query
 from .taxonomy import PARTS
 from .views import AS_OF, DATE1, DATE2, DIFF_AS_OF, FACTS_AS_OF
 
@@ -125,6 +125,15 @@ def table_rows(t):
     return t("repos").select("id", reports.table_row("id", "stars", "language", "score_overall").alias("line"))
 
 
+@query("r05_from_snapshot", ORACLES["r05_daily_report"])
+def stored_daily_report(t):
+    """Written with the snapshot of the date and read back from there."""
+    flat = t("repos")
+    spark, path = flat.sparkSession, scratch(flat.sparkSession, "r05")
+    publish.publish(flat, t("bridge"), t("categories"), path, "2001-08-02")
+    return publish.stored_report(spark, path, "2001-08-02").select(LINE)
+
+
 # --- compositions
 
 _FIRST_HITS = f"""
@@ -139,6 +148,17 @@ def run_collect(t):
     return made["records"].select("id", "stars", csv("awesome.categories"), "archived", "seq")
 
 
+@query("w01_discover_collect", """
+    with found as (select 'search_pattern' as source, p.query, id, stars from repos join (values ('order-1*', 'order-1%'), ('*7', '%7')) p(query, pat) on lower(name) like p.pat
+        union all select 'topic', unnest(list_filter(['gear', 'ring'], lambda x: list_contains(topics, x))), id, stars from repos),
+    capped as (select *, row_number() over (partition by source, query order by stars desc nulls last, id) as n from found)
+    select distinct id from capped where n <= 40""", ("repos",))
+def discover_collect(t):
+    """From a catalog table to saved records: searches, cap per query, union, de-duplication."""
+    found = collect.discover_hits(t("repos"), ["order-1*", "*7"], ["gear", "ring"], 40)
+    return collect.collect(found, PARTS, AS_OF)["records"].select("id")
+
+
 @query("w01_collect_filtered", f"""
     with {_FIRST_HITS} select id, unnest(categories) as category from classified where list_has_any(categories, ['Gears', 'Plates', 'Gizmos'])""", ("hits_flat",))
 def run_collect_filtered(t):
@@ -259,6 +279,31 @@ def run_refresh(t):
     return made["records"].select("id", "owner", "stars", "url", text("collected_at"), "health.status")
 
 
+@query("w05_saved", f"""
+    with {FRESH_SQL}, chosen as (select * from repos where {DUE_SQL} order by collected_at asc nulls first, id limit 1000)
+    select r.id, case when f.id is null then coalesce(r.stars, -1) else coalesce(f.stars, -1) end as stars
+    from repos r left join (select c.id, f.stars from chosen c join fresh f on f.id = c.id) f on f.id = r.id""", ("repos",))
+def saved_refresh(t):
+    """Refreshed records saved over the stored ones, and the whole catalog read back."""
+    stored = nested(t("repos"))
+    spark = stored.sparkSession
+    old, new = scratch(spark, "w05"), scratch(spark, "w05")
+    store.save_records(spark, stored, old)
+    store.save_records(spark, maintain.refresh_due(stored, fresh_rows(t), AS_OF, limit=1000)["records"], new, old)
+    return spark.read.parquet(f"{new}/records").select("id", F.coalesce("stars", F.lit(-1)).alias("stars"))
+
+
+@query("w07_enrich_saved", f"with {OWNERS_SQL}, {FINDINGS_SQL} select source, count(*) as n from found group by source", ("partrepos", "advisories"))
+def saved_findings(t):
+    """Findings saved twice: a repeated run replaces, it does not add."""
+    found = maintain.enrich(part_records(t), osv_responses(t), kev_documents(t), cve_entries(t), AS_OF)["findings"]
+    spark = found.sparkSession
+    first, second = scratch(spark, "w07"), scratch(spark, "w07")
+    store.save_findings(spark, found, first)
+    store.save_findings(spark, found, second, first)
+    return spark.read.parquet(f"{second}/findings").groupBy("source").agg(F.count("*").alias("n"))
+
+
 @query("w06_generate", f"""
     with {entries_sql()} select 'members' as dataset, count(*) as n from entries union all select 'repositories', count(*) from repos
     union all select 'sitemap', 2 + count(distinct parent) + count(distinct case when category <> parent then parent || '|' || category end) + count(*) from entries
