@@ -14,7 +14,7 @@ from .components import components
 
 RETAINED = 32  # values of a sketch
 FEW = 16  # a list up to this length is compared pair by pair in SQL; longer ones in blocks
-BLOCK = 1024  # members of a long list that one task compares with as many others
+BLOCK = 1 << 18  # shingles of a long list's members that one task compares with as many others
 LEAST = 0.375  # estimated likeness below which a pair is dropped: at a likeness of 0.8 about once in 10**8 pairs
 
 
@@ -109,57 +109,89 @@ def star_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return joined.filter(_near_size(F.col("n"), F.col("head.n"), percent)).select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def rest_pairs(lists: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, least: float = LEAST) -> DataFrame:
-    """Pairs inside one list whose members are still in different components.
-
-    Short lists are joined with themselves. A long list is cut into blocks of members by hash, and each pair of blocks is
-    compared in one task by the overlap of sketches, so only likely pairs leave it.
-    """
+def mixed_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, size, weight, node, n, root): the lists whose members are still in different components."""
     rooted = lists.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("key", "size").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low <> _high").select("key", "size")
-    rooted = stage(rooted.join(mixed, ["key", "size"]), "mixed")
-    few = rooted.filter(F.col("size") <= FEW)
-    a, b = (few.select("key", "size", *[F.col(c).alias(c + s) for c in ("node", "n", "root")]) for s in ("_a", "_b"))
-    short = a.join(b, ["key", "size"]).filter((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")))
-    short = short.filter(_near_size(F.col("n_a"), F.col("n_b"), percent)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    mixed = rooted.groupBy("key", "size").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.sum("n").alias("weight"))
+    return stage(rooted.join(mixed.filter("_low <> _high").select("key", "size", "weight"), ["key", "size"]), "mixed")
 
-    many = rooted.filter(F.col("size") > FEW).join(classes.select(F.col("set_id").alias("node"), "sketch"), "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+
+def short_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components inside each short list."""
+    few = mixed.filter(F.col("size") <= FEW)
+    a, b = (few.select("key", "size", *[F.col(c).alias(c + s) for c in ("node", "n", "root")]) for s in ("_a", "_b"))
+    pairs = a.join(b, ["key", "size"]).filter((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")))
+    return pairs.filter(_near_size(F.col("n_a"), F.col("n_b"), percent)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, from products of 0/1 matrices, ``width`` values at a time."""
+    values, place = np.unique(np.concatenate(left + right), return_inverse=True)
+    often = np.flatnonzero(np.bincount(place) > 1)  # a value of one set alone is in no intersection
+    column = np.full(len(values), -1)
+    column[often] = np.arange(len(often))
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in left + right])
+    use = column[place] >= 0
+    owner, column = owner[use], column[place[use]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, len(often), width):
+        a, b = np.searchsorted(column, [low, low + width])
+        grid = np.zeros((len(left) + len(right), min(width, len(often) - low)), np.float32)
+        grid[owner[a:b], column[a:b] - low] = 1
+        out += grid[: len(left)] @ grid[len(left) :].T
+    return out.astype(np.int64)
+
+
+def block_links(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links between components inside long lists.
+
+    A list is cut by hash into blocks of bounded weight; each pair of blocks is one task, which counts all intersections of
+    its full sets and returns a spanning forest of the links: never more edges than members, however many pairs are linked.
+    """
+    many = mixed.filter(F.col("size") > FEW).join(sets.select(F.col("set_id").alias("node"), "shingles"), "node")
+    blocks = F.ceil(F.col("weight") / F.lit(BLOCK)).cast("int")
     many = many.withColumn("_own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     many = many.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), (F.col("_own") <= F.col("_other")).alias("left"),
-                       (F.col("_own") >= F.col("_other")).alias("right"), "node", "n", "root", "sketch")
+                       (F.col("_own") >= F.col("_other")).alias("right"), "node", "root", "shingles")
 
     def run(group: pa.Table) -> pa.Table:
-        names = np.array(group.column("node").to_pylist(), object)
-        n = group.column("n").to_numpy()
+        names = group.column("node").to_pylist()
         _, root = np.unique(np.array(group.column("root").to_pylist(), object), return_inverse=True)
-        values = [np.array(s, np.int64) for s in group.column("sketch").to_pylist()]
-        owner = np.repeat(np.arange(len(values)), [len(v) for v in values])
-        # overlap of sketches through 1,024 columns: clashes can only raise it
-        grid = np.zeros((len(values), 1024), np.float32)
-        np.add.at(grid, (owner, np.concatenate(values).view(np.uint64) % np.uint64(1021)), 1)
-        x, y = np.flatnonzero(group.column("left").to_numpy(zero_copy_only=False)), np.flatnonzero(group.column("right").to_numpy(zero_copy_only=False))
-        overlap = grid[x] @ grid[y].T
-        size = np.array([len(v) for v in values])
-        good = overlap >= least * np.maximum(size[x][:, None], size[y][None])
-        good &= root[x][:, None] != root[y][None]
-        good &= np.minimum(n[x][:, None], n[y][None]) * 100 >= np.maximum(n[x][:, None], n[y][None]) * percent
-        p, q = np.nonzero(good)
-        first, second = names[x[p]], names[y[q]]
-        swap = first > second if len(first) else np.zeros(0, bool)
-        first, second = np.where(swap, second, first), np.where(swap, first, second)
-        return pa.table({"a": pa.array(first.tolist(), pa.binary()), "b": pa.array(second.tolist(), pa.binary())})
-
-    long = many.groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
-    return short.unionByName(long).distinct()
+        values = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+        x, y = (np.flatnonzero(group.column(c).to_numpy()) for c in ("left", "right"))
+        if not len(x) or not len(y) or root.max() == 0:
+            return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+        common = overlaps([values[k] for k in x], [values[k] for k in y])
+        n = np.array([len(v) for v in values])
+        linked = (100 * common >= percent * (n[x][:, None] + n[y][None] - common)) & (root[x][:, None] != root[y][None])
+        parent = list(range(int(root.max()) + 1))
+
+        def find(k: int) -> int:
+            while parent[k] != k:
+                parent[k] = parent[parent[k]]
+                k = parent[k]
+            return k
+
+        edges = []
+        for p, q in zip(*np.nonzero(linked), strict=True):
+            u, v = find(int(root[x[p]])), find(int(root[y[q]]))
+            if u != v:
+                parent[u] = v
+                edges.append(sorted((names[x[p]], names[y[q]])))
+        return pa.table({"a": pa.array([e[0] for e in edges], pa.binary()), "b": pa.array([e[1] for e in edges], pa.binary())})
+
+    return many.groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80, retained: int = RETAINED) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and set_id of every row, by links of at least ``percent`` Jaccard likeness.
 
     Texts of equal shingle sets are one class from the start. Classes that share retained values are compared, first each
-    list's members with its smallest one, then, where a list still spans several components, all others in it; each
-    candidate passes the union-sketch estimate and is confirmed on full sets. Two sets of likeness 0.8 share none of 32
+    list's members with its smallest one, then, where a list still spans several components, all others in it: in short
+    lists pair by pair, in long ones block by block. Candidate pairs pass the union-sketch estimate and are confirmed on
+    full sets; blocks count on full sets at once. Two sets of likeness 0.8 share none of 32
     retained values about once in 10**20.
 
     A null or blank text has no shingle and is linked with nothing: its component is its own doc_id. A null doc_id takes part,
@@ -174,10 +206,13 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80, retained
     wanted = star.select(F.col("a").alias("set_id")).unionByName(star.select(F.col("b").alias("set_id"))).distinct()
     links = stage(confirmed(star, full_sets(docs, classes, wanted, words), percent), "links")
     roots = stage(components(links), "roots")
-    rest = stage(estimated(rest_pairs(lists, roots, classes, percent), classes).join(star, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        wanted = rest.select(F.col("a").alias("set_id")).unionByName(rest.select(F.col("b").alias("set_id"))).distinct()
-        more = confirmed(rest, full_sets(docs, classes, wanted, words), percent)
+    mixed = mixed_lists(lists, roots)
+    short = stage(estimated(short_pairs(mixed, percent), classes).join(star, ["a", "b"], "left_anti"), "short")
+    wanted = [short.select(F.col(c).alias("set_id")) for c in "ab"] + [mixed.filter(F.col("size") > FEW).select(F.col("node").alias("set_id"))]
+    wanted = stage(wanted[0].unionByName(wanted[1]).unionByName(wanted[2]).distinct(), "wanted")
+    if not wanted.isEmpty():
+        sets = full_sets(docs, classes, wanted, words)
+        more = stage(confirmed(short, sets, percent).unionByName(block_links(mixed, sets, percent)), "links")
         tree = roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
         roots = stage(components(tree.unionByName(more)), "roots")
     placed = classes.select("set_id", "rep").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))

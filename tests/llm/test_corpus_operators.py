@@ -73,7 +73,7 @@ def test_near_duplicates_equal_brute_force(docs_of, monkeypatch, few):
 
 def test_long_lists_are_compared_in_blocks(docs_of, monkeypatch):
     monkeypatch.setattr(duplicates, "FEW", 3)
-    monkeypatch.setattr(duplicates, "BLOCK", 5)
+    monkeypatch.setattr(duplicates, "BLOCK", 2000)
     rng = random.Random(4)
     stock = [f"s{i}" for i in range(200)]
     rows = []
