@@ -137,12 +137,15 @@ def category_tree(categories: DataFrame) -> DataFrame:
 
 
 def placed(records: DataFrame, bridge: DataFrame, categories: DataFrame) -> DataFrame:
-    """One row per record and category with its parent; unmatched ones go to Uncategorized."""
-    names = bridge.join(categories.select(F.col("name").alias("category")), "category").withColumnRenamed(
-        "repository_id", "id")
-    parents = category_parents(categories).select(F.col("name").alias("category"), "parent")
+    """One row per record and category with its parent; unmatched ones go to Uncategorized.
+
+    Parents are resolved among the categories, then put on the narrow bridge rows; the records take part in one join, on
+    their id, and never move by category.
+    """
+    known = category_parents(categories).withColumnRenamed("name", "category")
+    names = bridge.select(F.col("repository_id").alias("id"), "category").join(known, "category")
     unknown = F.lit(K.UNCATEGORIZED)
-    joined = records.join(names, "id", "left").join(parents, "category", "left")
+    joined = records.join(names, "id", "left")
     return joined.withColumns({
         "category": F.coalesce("category", unknown),
         "parent": F.coalesce(F.when(F.col("parent") != "", F.col("parent")), unknown),
