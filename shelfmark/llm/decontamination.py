@@ -17,7 +17,7 @@ K1, B = 1.2, 0.75  # usual BM25 constants
 SHARE = 0.6  # of an item's own score that a passage must reach
 OVERLAP = 0.6  # of the word triples of question and of answer that the passage must hold
 BLOCK_ITEMS = 16  # items under one maximum
-CHUNK_ITEMS, CHUNK_BYTES = 4096, 4 << 20  # of one index; more items make further indexes
+CHUNK_ITEMS, CHUNK_BYTES = 1024, 1 << 20  # of one index; more items make further indexes
 _SENTENCE = re.compile(r"(?<=[.?!:\n])\s+")
 
 
@@ -120,18 +120,21 @@ def search(index: Index, words: np.ndarray, at: np.ndarray) -> Iterator[tuple[in
         return
     number, term = cells // len(index.terms), cells % len(index.terms)
     starts = np.flatnonzero(np.append(True, np.diff(number) > 0))
-    ends = np.append(starts[1:], len(number))
+    sizes = np.diff(np.append(starts, len(number)))
     for b, (own, matrix) in enumerate(index.blocks):
         bound = np.add.reduceat(index.peaks[b, term], starts)
-        for p in np.flatnonzero(bound * 1.0001 >= index.least[b]):
-            mine = term[starts[p] : ends[p]]
-            found = np.searchsorted(own, mine)
-            found[found == len(own)] = 0
-            scores = matrix[found[own[found] == mine]].sum(0)
-            first = b * BLOCK_ITEMS
-            for column in np.flatnonzero(scores >= index.floors[first : first + len(scores)] - 1e-9):
-                r = int(np.searchsorted(base, number[starts[p]], "right") - 1)
-                yield r, int(number[starts[p]] - base[r]) * index.stride, first + int(column), float(scores[column])
+        chosen = bound * 1.0001 >= index.least[b]
+        if not chosen.any():
+            continue
+        mine = term[np.repeat(chosen, sizes)]
+        found = np.searchsorted(own, mine)
+        found[(found == len(own)) | (own[np.minimum(found, len(own) - 1)] != mine)] = len(own)  # the row of zeros
+        padded = np.vstack([matrix, np.zeros((1, matrix.shape[1]))])
+        scores = np.add.reduceat(padded[found], np.cumsum(sizes[chosen]) - sizes[chosen], axis=0)
+        first, passages = b * BLOCK_ITEMS, number[starts[chosen]]
+        for p, column in zip(*np.nonzero(scores >= index.floors[first : first + matrix.shape[1]] - 1e-9), strict=True):
+            r = int(np.searchsorted(base, passages[p], "right") - 1)
+            yield r, int(passages[p] - base[r]) * index.stride, first + int(column), float(scores[p, column])
 
 
 def leaks(index: Index, column: pa.Array, overlap: float = OVERLAP) -> Iterator[tuple[int, int, float, float, float]]:
