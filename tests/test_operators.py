@@ -191,7 +191,7 @@ def test_report_files_are_ordered(spark, tmp_path):
     lines = [r["value"] for r in spark.read.text(str(tmp_path / "map")).collect()]
     text = [line for f in sorted((tmp_path / "map").glob("part-*")) for line in f.read_text().splitlines()]
     assert len(lines) == len(text) == 205
-    assert text[:4] == ["# Repository Sitemap", "Generated: now", "Total repositories: 200", "## P"]
+    assert text[:4] == ["# Catalog tree", "Generated: now", "Records: 200", "## P"]
     body = [t for t in text if t.startswith("- [")]
     keys = [(-float(t.rsplit(" ", 1)[1]), -int(t.split(") - ")[1].split(" ")[0])) for t in body[:-1] if not t.startswith("- [o/0]")]
     assert keys == sorted(keys)

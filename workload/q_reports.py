@@ -27,7 +27,7 @@ _STARS = "format('{:,}', stars)"
 def _tree_sql(title: list[str], entry: str) -> str:
     head = " union all ".join(f"select 0 as block, '' as parent, '' as leaf, {i} as slot, '{line}' as line" for i, line in enumerate(title))
     return f"""with {entries_sql()} {head}
-        union all select 0, '', '', {len(title)}, 'Total repositories: ' || count(distinct id) from entries
+        union all select 0, '', '', {len(title)}, 'Records: ' || count(distinct id) from entries
         union all select distinct 1, parent, '', 0, '## ' || parent from entries
         union all select distinct 1, parent, category, 1, '### ' || category from entries where category <> parent
         union all select 1, parent, category, 2, {entry} from entries"""
@@ -39,35 +39,35 @@ def tree_entries(t):
 
 
 @query("r02_sitemap", _tree_sql(
-    ["# Repository Sitemap", "Generated: now"], f"'- [' || name || '](' || url || ') - ' || {_STARS} || ' stars - score ' || {_SCORE}"), ENTRY_VIEWS)
+    ["# Catalog tree", "Generated: now"], f"'- [' || name || '](' || url || ') - ' || {_STARS} || ' stargazers, points ' || {_SCORE}"), ENTRY_VIEWS)
 def sitemap(t):
     return reports.sitemap_lines(entries(t), "now").select(LINE)
 
 
 @query("r03_index_text", _tree_sql(
-    ["# Repository Index", "> Index of software repositories."],
-    "'- [' || name || '](' || url || '): ' || case when coalesce(description, '') = '' then 'No description' else trim(description) end"), ENTRY_VIEWS)
+    ["# Catalog lines", "> One line for each record."],
+    "'- [' || name || '](' || url || '): ' || case when coalesce(description, '') = '' then '(no text)' else trim(description) end"), ENTRY_VIEWS)
 def index_text(t):
     return reports.index_text_lines(entries(t)).select(LINE)
 
 
-_N = "n || case when n = 1 then ' repository' else ' repositories' end"
+_N = "n || case when n = 1 then ' record' else ' records' end"
 
 
 @query("r04_agent_guide", f"""
     with {entries_sql()}, once as (select * from (select *, row_number() over (partition by id order by parent, category) as pos from entries) where pos = 1),
     best as (select * from once order by score desc, stars desc, id limit 50),
     shape as (select count(distinct id) as a, count(distinct parent || '|' || category) as b, count(distinct parent) as c from entries)
-    select 0 as block, '' as parent, '' as leaf, 0 as slot, '# Agent Guide' as line union all select 0, '', '', 1, '## Dataset'
-    union all select 1, '', '', 0, '- Total repositories: ' || a from shape union all select 1, '', '', 1, '- Categories: ' || b from shape
-    union all select 1, '', '', 2, '- Category groups: ' || c from shape
-    union all select 1, '', '', 9, '- Total stars: ' || format('{{:,}}', cast(coalesce(sum(stars), 0) as bigint)) from repos
-    union all select 2, coalesce(health_status, ''), '', 0, '- Health ' || coalesce(health_status, '') || ': ' || count(*) from repos group by health_status
-    union all select 3, '', '', 0, '## Categories'
+    select 0 as block, '' as parent, '' as leaf, 0 as slot, '# Guide for readers' as line union all select 0, '', '', 1, '## Size'
+    union all select 1, '', '', 0, '- Records: ' || a from shape union all select 1, '', '', 1, '- Leaves: ' || b from shape
+    union all select 1, '', '', 2, '- Parents: ' || c from shape
+    union all select 1, '', '', 9, '- Stargazers: ' || format('{{:,}}', cast(coalesce(sum(stars), 0) as bigint)) from repos
+    union all select 2, coalesce(health_status, ''), '', 0, '- Status ' || coalesce(health_status, '') || ': ' || count(*) from repos group by health_status
+    union all select 3, '', '', 0, '## Tree'
     union all select 4, parent, '', 0, '- `' || parent || '` (' || {_N} || ')' from (select parent, count(*) as n from entries group by parent)
     union all select 4, parent, category, 0, '  - `' || category || '` (' || {_N} || ')' from (select parent, category, count(*) as n from entries where category <> parent group by 1, 2)
-    union all select 5, '', '', 0, '## High-scoring repositories'
-    union all select 6, '', '', 0, '| Repository | Score | Stars | Category | Group |' union all select 6, '', '', 1, '|---|---:|---:|---|---|'
+    union all select 5, '', '', 0, '## Best points'
+    union all select 6, '', '', 0, '| Name | Points | Stargazers | Leaf | Parent |' union all select 6, '', '', 1, '|---|---:|---:|---|---|'
     union all select 6, '', '', 2, '| [' || name || '](' || url || ') | ' || {_SCORE} || ' | ' || {_STARS} || ' | ' || category || ' | ' || parent || ' |' from best""", ENTRY_VIEWS)
 def agent_guide(t):
     return reports.agent_guide_lines(entries(t), catalog.stats(t("repos"))).select(LINE)
@@ -78,10 +78,10 @@ _LABEL = lambda title, c: f"'- {title}: ' || case when {c} > 1000 then format('{
 
 @query("r05_daily_report", f"""
     with {entries_sql()}, s as (select count(distinct id) as total, count(distinct category) as categories, count(distinct parent) as parents from entries)
-    select 0 as block, '' as parent, '' as leaf, 0 as slot, '# Repository Report' as line union all select 0, '', '', 1, '## 2001-08-02' union all select 0, '', '', 2, '### Summary'
+    select 0 as block, '' as parent, '' as leaf, 0 as slot, '# Catalog of the day' as line union all select 0, '', '', 1, '## 2001-08-02' union all select 0, '', '', 2, '### Totals'
     union all select 1, '', '', 0, {_LABEL('Total', 'total')} from s union all select 1, '', '', 1, {_LABEL('Categories', 'categories')} from s
     union all select 1, '', '', 2, {_LABEL('Parents', 'parents')} from s
-    union all select distinct 2, parent, '', 0, '## ' || parent from entries union all select distinct 2, parent, '', 1, '| Repository | Stars | Category | Score |' from entries
+    union all select distinct 2, parent, '', 0, '## ' || parent from entries union all select distinct 2, parent, '', 1, '| Name | Stargazers | Leaf | Points |' from entries
     union all select distinct 2, parent, '', 2, '|---|---:|---|---:|' from entries
     union all select 2, parent, category, 3, '| ' || name || ' | ' || {_STARS} || ' | ' || category || ' | ' || {_SCORE} || ' |' from entries""", ENTRY_VIEWS)
 def daily_report(t):
@@ -89,9 +89,9 @@ def daily_report(t):
 
 
 _KINDS = [
-    ("NEW", "new_count", "+ ", " new repositories"), ("TRENDING", "trending_count", "↑ ", " repositories gained >500 stars"),
-    ("UPDATED", "updated_count", "→ ", " repositories updated"), ("STALE", "stale_count", "↓ ", " repositories became inactive"),
-    ("ARCHIVED", "archived_count", "⚠ ", " repositories archived"), ("REMOVED", "removed_count", "✕ ", " repositories disappeared from source lists"),
+    ("Added", "new_count", "records added: ", ""), ("Rising", "trending_count", "records with a large gain: ", ""),
+    ("Edited", "updated_count", "records with edited fields: ", ""), ("Quiet", "stale_count", "records without recent pushes: ", ""),
+    ("Frozen", "archived_count", "records now archived: ", ""), ("Gone", "removed_count", "records no longer listed: ", ""),
 ]
 _DIFF_LINES = " union all ".join(
     f"select {i + 1}, 0, '', '## {title}' union all select {i + 1}, 1, '', '{mark}' || {c} || '{tail}' from counts"
@@ -99,7 +99,7 @@ _DIFF_LINES = " union all ".join(
 
 
 @query("r06_change_report", f"""
-    with {OLD_NEW}, counts as ({SUMMARY_SQL}) select 0 as block, 0 as slot, '' as id, '# Daily Change Report' as line union all {_DIFF_LINES}
+    with {OLD_NEW}, counts as ({SUMMARY_SQL}) select 0 as block, 0 as slot, '' as id, '# What changed' as line union all {_DIFF_LINES}
     union all select 1, 2, id, '  - ' || coalesce(name, substr(id, 8)) || ' (' || format('{{:,}}', coalesce(stars, 0)) || ' stars)' from b where id not in (select id from a)
     union all select 2, 2, b.id, '  - ' || coalesce(b.name, substr(b.id, 8)) || ' (+' || format('{{:,}}', {GAIN}) || ')' from a join b on a.id = b.id where {GAIN} >= 500""", ("snapshots",))
 def change_report(t):
@@ -107,7 +107,7 @@ def change_report(t):
 
 
 @query("r07_category_index", f"""
-    with {entries_sql()} select 0 as block, '' as parent, '' as leaf, 0 as slot, '# Category Index' as line
+    with {entries_sql()} select 0 as block, '' as parent, '' as leaf, 0 as slot, '# Leaves and ids' as line
     union all select distinct 1, parent, '', 0, '## ' || parent from entries union all select 1, parent, category, 2, '- ' || id from entries""", ENTRY_VIEWS)
 def category_index(t):
     return reports.category_index_lines(entries(t)).select(LINE)
