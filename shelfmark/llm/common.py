@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,21 +78,19 @@ def utf8_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the two rolling hashes
 
 
-@lru_cache(maxsize=4)
-def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    base = _BASES[which]
-    with np.errstate(over="ignore"):
-        up = np.full(size, base, np.uint64)
-        up[0] = 1
-        down = np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        down[0] = 1
-        return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of each base, as many as the longest block of this process needed
 
 
 def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a base and of its inverse modulo 2**64, at least ``n`` of them."""
-    size = 1 << max(16, int(n).bit_length())
-    return _powers(which, size)
+    made = _POWERS.get(which)
+    if made is None or len(made[0]) < n:
+        size = 1 << max(20, int(n).bit_length())
+        steps = [np.full(size, step, np.uint64) for step in (_BASES[which], pow(_BASES[which], -1, 1 << 64))]
+        for step in steps:
+            step[0] = 1
+        made = _POWERS[which] = tuple(np.cumprod(step, dtype=np.uint64) for step in steps)
+    return made
 
 
 def mix(h: np.ndarray) -> np.ndarray:

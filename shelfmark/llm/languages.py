@@ -115,15 +115,9 @@ def mixtures(row: np.ndarray, bucket: np.ndarray, rows: int, model: np.ndarray,
     return out
 
 
-def identify(docs: DataFrame, keep: bool = False, model: tuple[list[str], np.ndarray] | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every whole text; with ``keep`` all columns of ``docs`` and lang_pred.
-
-    ``lang_pred`` is the largest share of the selected language set and ``score`` that share. A null text or one without
-    a letter is ``und`` with score 0, as is every text when nothing could be learned; a text with letters but no gram takes
-    the first language with an even share. Repeated rows get equal answers; an empty table gives no rows. held_out is false
-    for a null doc_id, which is never learned from. The model has BUCKETS numbers for each learned language.
-    """
-    names, table = model or learn(docs)
+def _predicted(source: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+    """The columns of ``source``, whose last one is text, with lang_pred and score."""
+    names, table = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,22 +132,29 @@ def identify(docs: DataFrame, keep: bool = False, model: tuple[list[str], np.nda
                 own = lettered[first:last]
                 predicted[first:last][own] = np.array(names, object)[best[own]]
                 scores[first:last][own] = np.where(shares.sum(1) > 0, shares.max(1), 1 / len(names))[own]
-            columns = batch.columns if keep else batch.columns[:-1]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(predicted.tolist(), pa.string()), pa.array(np.clip(scores, 0, 1))], schema=pa.schema(
-                [*list(batch.schema)[: len(columns)], pa.field("lang_pred", pa.string()), pa.field("score", pa.float64())]))
-
-    if keep:
-        rest = [c for c in docs.columns if c != "text"]
-        source = docs.select(*[F.col(f"`{c}`") for c in rest], "text")
-        held = source.withColumnsRenamed({c: f"_c{i}" for i, c in enumerate(rest)})
-        made = held.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema) + ", lang_pred string, score double")
-        made = made.select(*[F.col(f"_c{i}").alias(f"_own_{c}") for i, c in enumerate(rest)], F.col("text").alias("_own_text"), F.col("lang_pred").alias("_lang_pred"))
-        return made.select(*[F.col(f"`_own_{c}`").alias(c) for c in docs.columns], "_lang_pred")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(predicted.tolist(), pa.string()), pa.array(np.clip(scores, 0, 1))], schema=pa.schema(
+                [*batch.schema, pa.field("lang_pred", pa.string()), pa.field("score", pa.float64())]))
+
+    return source.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema) + ", lang_pred string, score double")
+
+
+def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every whole text.
+
+    ``lang_pred`` is the largest share of the selected language set and ``score`` that share. A null text or one without
+    a letter is ``und`` with score 0, as is every text when nothing could be learned; a text with letters but no gram takes
+    the first language with an even share. Repeated rows get equal answers; an empty table gives no rows. held_out is false
+    for a null doc_id, which is never learned from. The model has BUCKETS numbers for each learned language.
+    """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
-    return source.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return _predicted(source, model or learn(docs)).drop("text")
 
 
 def identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text has a language: those found ``und`` go. Columns stay as they are."""
-    return identify(docs, keep=True).filter(F.col("_lang_pred") != UNKNOWN).drop("_lang_pred")
+    rest = [c for c in docs.columns if c != "text"]
+    source = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(rest)], "text")
+    found = _predicted(source, learn(docs)).filter(F.col("lang_pred") != UNKNOWN)
+    back = {c: f"_c{i}" for i, c in enumerate(rest)} | {"text": "text"}
+    return found.select(*[F.col(back[c]).alias(c) for c in docs.columns])

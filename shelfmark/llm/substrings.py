@@ -221,7 +221,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A character of which some bytes go, goes whole. Other columns stay as they are.
     """
-    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    names = {c: c if c in ("doc_id", "text") else f"_c{i}" for i, c in enumerate(docs.columns)}  # none clashes with ours
     text, count = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,6 +234,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 columns[count] = pa.array([n if t is None else len(t) for t, n in zip(made, columns[count].to_pylist(), strict=True)], columns[count].type)
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:-1]))
 
-    found = with_spans(docs, length)
-    renamed = found.withColumnsRenamed(names)
-    return renamed.mapInArrow(run, renamed.drop("_spans").schema).withColumnsRenamed({v: k for k, v in names.items()})
+    renamed = docs.withColumnsRenamed(names)
+    return with_spans(renamed, length).mapInArrow(run, renamed.schema).withColumnsRenamed({v: k for k, v in names.items()})

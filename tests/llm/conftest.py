@@ -1,13 +1,13 @@
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, sequence_id string, score string, _x long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, sequence_id string, score string, _d string, lang_pred long"
 
 
 @pytest.fixture
 def docs_of(spark):
     """Documents with clashing extra columns from (doc_id, text) or (doc_id, text, lang) rows."""
     def make(rows):
-        return spark.createDataFrame([(r[0], r[1], r[2] if len(r) > 2 else "en", "s", None if r[1] is None else len(r[1]), "x", "y", "z", 7) for r in rows], SCHEMA)
+        return spark.createDataFrame([(r[0], r[1], r[2] if len(r) > 2 else "en", "s", None if r[1] is None else len(r[1]), "x", "y", "z", "d", 7) for r in rows], SCHEMA)
 
     return make
 
