@@ -15,7 +15,8 @@ from .common import utf8_blocks, word_hashes
 
 K1, B = 1.2, 0.75  # usual BM25 constants
 SHARE = 0.6  # of an item's own score that a passage must reach
-OVERLAP = 0.6  # of the word triples of question and of answer that the passage must hold
+OVERLAP = 0.6  # of the words of question and of answer that the passage must hold
+EDITS, SPARE = 3, 5  # words that may differ in any place whatever the two shares say; at most one for each SPARE words of an item
 BLOCK_ITEMS = 16  # items under one maximum
 CHUNK_ITEMS, CHUNK_BYTES = 1024, 1 << 20  # of one index; more items make further indexes
 _SENTENCE = re.compile(r"(?<=[.?!:\n])\s+")
@@ -29,15 +30,44 @@ def _hashes(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def triples(words: np.ndarray) -> np.ndarray:
-    """Sorted distinct hashes of three words in a row."""
+def _chained(words: np.ndarray) -> np.ndarray:
+    """Hashes of three words in a row."""
     with np.errstate(over="ignore"):
-        return np.unique((words[:-2] * np.uint64(0x9E3779B97F4A7C15) + words[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + words[2:])
+        return (words[:-2] * np.uint64(0x9E3779B97F4A7C15) + words[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + words[2:]
 
 
-def held_share(part: np.ndarray, passage: np.ndarray) -> float:
-    """Share of a part's word triples, or of its words where it has fewer than three, that the passage holds."""
-    return float(np.isin(triples(part), triples(passage)).mean() if len(part) > 2 else np.isin(part, passage).mean())
+def held_words(part: np.ndarray, passage: np.ndarray) -> float:
+    """How many words of a part the passage holds: in runs of three, wherever they stand, or at their place in a copy.
+
+    Places may shift by up to EDITS words, as inserted and lost words shift them; of all such stretches of the passage,
+    the one with most words counts. A part that repeats itself may count by its distinct runs instead. Of a part of one
+    or two words, each word may stand anywhere.
+    """
+    n = len(part)
+    if n < 3:
+        return float(np.isin(part, passage).sum())
+    held, distinct = np.zeros(n, bool), 0.0
+    if len(passage) > 2:
+        runs = _chained(part)
+        found = np.isin(runs, _chained(passage))
+        held[:-2] |= found
+        held[1:-1] |= found
+        held[2:] |= found
+        first = np.unique(runs, return_index=True)[1]
+        distinct = n * float(found[first].mean())
+    if len(passage) and not held.all():
+        word, place = np.nonzero(part[:, None] == passage[None, :])
+        shifts = np.zeros((n, n + len(passage) + EDITS), np.int32)
+        shifts[word, place - word + n + EDITS] = 1
+        sums = np.cumsum(shifts, axis=1)
+        near = sums[:, EDITS + 1 :] > sums[:, : -EDITS - 1]
+        held |= near[:, near.sum(0).argmax()]
+    return max(float(held.sum()), distinct)
+
+
+def edits_of(length: int) -> int:
+    """Words of an item of ``length`` words that may differ in any place."""
+    return min(EDITS, length // SPARE)
 
 
 def question_and_answer(text: str, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +92,8 @@ class Index:
     peaks: np.ndarray  # blocks x terms: highest impact of the term in the block
     blocks: list[tuple[np.ndarray, np.ndarray]]  # per block: its terms, their impacts on its items
     parts: list[tuple[np.ndarray, np.ndarray]]  # words of each item's question and answer
-    stride: int  # words; no item is longer
+    lengths: list[int]  # words of each item
+    stride: int  # words; no item is longer, EDITS more words included
 
 
 def build(items: list[tuple[int, str]], share: float = SHARE) -> Index | None:
@@ -77,7 +108,7 @@ def build(items: list[tuple[int, str]], share: float = SHARE) -> Index | None:
     idf = np.log1p((len(items) - df + 0.5) / (df + 0.5))
     mean = np.mean([len(w) for w in words])
     impacts = [idf[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(w) / mean)) for (t, n), w in zip(counted, words, strict=True)]
-    floors = np.array([share * v.sum() for v in impacts])
+    floors = np.array([min(share * v.sum(), np.sort(v)[: len(v) - edits_of(len(w))].sum()) for v, w in zip(impacts, words, strict=True)])
     needed = np.zeros(len(terms), bool)
     for (t, _), v, floor in zip(counted, impacts, floors, strict=True):
         order = np.argsort(v, kind="stable")
@@ -94,7 +125,7 @@ def build(items: list[tuple[int, str]], share: float = SHARE) -> Index | None:
         blocks.append((own, matrix))
     least = np.minimum.reduceat(floors, np.arange(0, len(items), BLOCK_ITEMS))
     parts = [question_and_answer(text, w) for (_, text), w in zip(items, words, strict=True)]
-    return Index(np.array([i for i, _ in items], object), terms, needed, floors, least, peaks, blocks, parts, max(64, max(map(len, words))))
+    return Index(np.array([i for i, _ in items], object), terms, needed, floors, least, peaks, blocks, parts, [len(w) for w in words], max(64, EDITS + max(map(len, words))))
 
 
 def search(index: Index, words: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
@@ -144,8 +175,11 @@ def leaks(index: Index, column: pa.Array, overlap: float = OVERLAP) -> Iterator[
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
         for row, start, item, score in search(index, words, at):
             passage = words[at[row] + start : min(at[row] + start + 2 * index.stride, at[row + 1])]
-            shares = [held_share(part, passage) for part in index.parts[item]]
-            if min(shares) >= overlap:
+            parts = index.parts[item]
+            held = [held_words(part, passage) for part in parts]
+            spare = edits_of(index.lengths[item])
+            if all(h >= min(overlap * len(part), len(part) - spare) - 1e-9 for h, part in zip(held, parts, strict=True)):
+                shares = [h / len(part) for h, part in zip(held, parts, strict=True)]
                 best[row, item] = max(best.get((row, item), (0.0, 0.0, 0.0)), (score, *shares))
         for (row, item), found in sorted(best.items()):
             yield first + row, item, *found

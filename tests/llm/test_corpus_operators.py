@@ -192,6 +192,28 @@ def test_search_returns_all_items_above_their_floor():
     assert got == want and len(got) > 20
 
 
+def test_edited_items_are_found():
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    items = [(r["item_id"], r["text"]) for r in pq.read_table("/root/testdata/sf0.1/benchmark.parquet").to_pylist()]
+    index, rng = decontamination.build(items), random.Random(3)
+    assert min(len(t.split()) for _, t in items) >= 15
+
+    def edited(text, count, how):
+        words = text.split()
+        for i in sorted(rng.sample(range(len(words)), count), reverse=True):
+            words[i : i + (how != "insert")] = [] if how == "delete" else [f"zz{rng.randrange(10**6)}"]
+        return " ".join(f"w{rng.randrange(50)}" for _ in range(rng.randrange(90))) + " " + " ".join(words) + " tail"
+
+    for how in ("replace", "delete", "insert"):
+        for count in (1, 2, 3):
+            found = {(r, int(index.items[i])) for r, i, *_ in decontamination.leaks(index, pa.array([edited(t, count, how) for _, t in items]))}
+            assert found >= {(r, i) for r, (i, _) in enumerate(items)}
+    # a question without its answer is no leak
+    halves = [" ".join(t.split()[: -len(index.parts[k][1])]) + " " + " ".join(f"w{rng.randrange(50)}" for _ in range(60)) for k, (_, t) in enumerate(items)]
+    assert not list(decontamination.leaks(index, pa.array(halves)))
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
