@@ -146,7 +146,7 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray
         n = len(hashes)
         with np.errstate(over="ignore"):
             grams = np.zeros(max(0, n - words + 1), np.uint64)
-            for j in range(words):
+            for j in range(words if n >= words else 0):
                 grams += mix(hashes[j : n - words + 1 + j] * salt[j])
             grams = mix(grams)
         for row in range(first, last):

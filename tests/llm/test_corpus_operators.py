@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from shelfmark.llm import decontamination, duplicates, substrings
+from shelfmark.llm.common import shingle_sets
 from shelfmark.llm.components import components
 
 from .conftest import EDGE, LONG
@@ -102,6 +103,19 @@ def test_deduplication_keeps_one_of_each_group(docs_of, nothing):
     assert duplicates.near_duplicates(nothing).count() == 0 and duplicates.deduplicated(nothing).count() == 0
 
 
+@pytest.mark.parametrize("size", [4, 5])
+def test_blocks_of_few_words(size):
+    import pyarrow as pa
+    for n in range(7):
+        text = " ".join(f"w{i}" for i in range(n))
+        want = 0 if not n else max(1, n - size + 1)
+        assert [(row, len(made)) for row, made in shingle_sets(pa.array([text]), size)] == [(0, want)]
+        split = [f"w{i}" for i in range(n)] + [None, ""]
+        assert [len(made) for _, made in shingle_sets(pa.array(split, pa.string()), size)] == [1] * n + [0, 0]
+        alone = list(shingle_sets(pa.array([text, "long " * 300_000]), size))
+        assert [(row, len(made)) for row, made in alone] == [(0, want), (1, 1)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 120)] + [(5, 5), (7, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
