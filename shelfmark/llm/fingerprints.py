@@ -13,18 +13,18 @@ from pyspark.sql import DataFrame, functions as F
 from .common import mix, slices
 
 STRICT = 16  # lanes modulo 2**32 of each paragraph's digest: equality
-SOFT = 128  # lanes modulo 2**16 of each paragraph's signed features: likeness
+SOFT = 128  # lanes modulo 2**32 of each paragraph's signed features: likeness; no text has 2**31 windows
 _WINDOW = 16  # bytes of one feature
 
 
 def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The two sums over each text's paragraphs (its lines): (rows x STRICT) uint32 and (rows x SOFT) uint16.
+    """The two sums over each text's paragraphs (its lines): (rows x STRICT) uint32 and (rows x SOFT) uint32.
 
     A paragraph's vector depends on the paragraph alone, so the sum ignores their order, and adding or
     subtracting a paragraph's vector inserts or deletes it. The strict part hashes the whole paragraph; the soft
     part counts every 16-byte window of it, up or down by one, in a lane.
     """
-    strict, soft = np.zeros((len(texts), STRICT), np.uint32), np.zeros((len(texts), SOFT), np.uint16)
+    strict, soft = np.zeros((len(texts), STRICT), np.uint32), np.zeros((len(texts), SOFT), np.uint32)
     first = 0
     while first < len(texts):
         last, size = first, 0
@@ -54,18 +54,18 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             h = mix(words[at] * np.uint64(0x9E3779B97F4A7C15) + words[at + 8] * np.uint64(0xC2B2AE3D27D4EB4F))
         lane = owner[at] * SOFT + (h & np.uint64(SOFT - 1)).astype(np.int64)
         signed = np.bincount(lane, 1.0 - 2.0 * (h >> np.uint64(63)).astype(np.float64), (last - first) * SOFT)
-        soft[first:last] = signed.astype(np.int64).astype(np.uint16).reshape(-1, SOFT)
+        soft[first:last] = signed.astype(np.int64).astype(np.uint32).reshape(-1, SOFT)
         first = last
     return strict, soft
 
 
 def encoded(strict: np.ndarray, soft: np.ndarray) -> list[str]:
-    return [base64.b64encode(a.astype("<u4").tobytes() + b.astype("<u2").tobytes()).decode() for a, b in zip(strict, soft, strict=True)]
+    return [base64.b64encode(a.astype("<u4").tobytes() + b.astype("<u4").tobytes()).decode() for a, b in zip(strict, soft, strict=True)]
 
 
 def decoded(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = base64.b64decode(fingerprint)
-    return np.frombuffer(raw[: 4 * STRICT], "<u4"), np.frombuffer(raw[4 * STRICT :], "<u2")
+    return np.frombuffer(raw[: 4 * STRICT], "<u4"), np.frombuffer(raw[4 * STRICT :], "<u4")
 
 
 def changed(fingerprint: str, insert: list[str] = (), delete: list[str] = ()) -> str:
@@ -81,7 +81,7 @@ def changed(fingerprint: str, insert: list[str] = (), delete: list[str] = ()) ->
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Share of common features, 0 to 1, of pairs of soft vectors: twice their product over the sum of squares."""
-    x, y = a.astype(np.uint16).view(np.int16).astype(np.float64), b.astype(np.uint16).view(np.int16).astype(np.float64)
+    x, y = a.astype(np.uint32).view(np.int32).astype(np.float64), b.astype(np.uint32).view(np.int32).astype(np.float64)
     squares = (x * x).sum(1) + (y * y).sum(1)
     return np.where(squares > 0, np.clip(2 * (x * y).sum(1) / np.maximum(squares, 1), 0, 1), 1.0)
 

@@ -52,6 +52,16 @@ def test_fingerprint_edits_without_the_text():
     assert fingerprints.changed(made[0], insert=["new"], delete=["b line"]) == made[1]
 
 
+def test_likeness_of_long_repetitive_texts(docs_of):
+    rules = ("=" * 80 + "\n") * 1000
+    got = {r.doc_id: r for r in fingerprints.fingerprint_documents(docs_of([(1, "a" * 40_000), (2, "b" * 40_000), (3, rules), (4, rules + "end")])).collect()}
+    # half of the equal windows stay: 2 * 1 * 0.5 / (1 + 0.25 + 0.25)
+    assert got[1].near_edited == pytest.approx(2 / 3, abs=0.01) and got[1].near_next < 0.01
+    assert got[3].near_edited > 0.99 and got[3].near_next > 0.99
+    whole = fingerprints.encoded(*fingerprints.vectors(["c" * 40_000 + "\nline", "line"]))
+    assert fingerprints.changed(whole[0], delete=["c" * 40_000]) == whole[1]
+
+
 PAGE = (
     "<html><head><title>T</title><script>x='<p>no</p>'</script></head><body><header><a href=/>Home</a></header><nav><ul><li><a href=a>one</a></ul></nav>"
     "<div class='cookie-notice'>We use cookies and a lot of words about them, more than the article has, really many words.</div>"
