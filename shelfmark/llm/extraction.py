@@ -34,39 +34,105 @@ _NOISE_WORDS = frozenset(
     "sidebar aside widget widgets rail footer foot header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup "
     "subscription comment comments commentlist discussion disqus replies respond share sharing social related recommended recommendations teaser teasers pager pagination "
     "paywall login search toolbar skip hidden legal copyright outbrain taboola".split())
+# of these, names made up of nothing else hold the words of others, however long
+_FOREIGN_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promoted promotion cookie cookies consent gdpr popup modal newsletter subscribe signup comment "
+    "comments commentlist discussion disqus replies respond related recommended recommendations teaser teasers paywall outbrain taboola".split())
+_BOX_WORDS = frozenset("list section area box wrapper wrap container block thread form body items item slot unit bar notice banner".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_TITLE_WORDS = frozenset({"header", "banner"})
+_OWN_WORDS = frozenset("article post entry story content".split())
+_NO_SIGN = frozenset("has no not with without overflow".split())  # first parts of names that say nothing on the element itself
+LARGE = 200  # characters of a text block that a class word does not outweigh
 _NAME_PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "noise", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "noise", "signs", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool):
         self.tag, self.parent, self.noise = tag, parent, noise
+        self.signs: list[list[str]] = []  # names of its class and id with a noise word
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _noisy(tag: str, attributes: str, inside: Node) -> bool:
+def _noisy(tag: str, attributes: str, inside: Node) -> tuple[bool, list[list[str]]]:
+    """Whether the element is noise for certain, and the names of its class and id that may say so."""
     if tag in _NOISE_TAGS:
-        return True
+        return True, []
+    signs: list[list[str]] = []
+    own = False
+    for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes and tag not in ("html", "body", "main", "article") else ():
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            return True, []
+        if name == "role" and value.lower() in _NOISE_ROLES:
+            return True, []
+        if name in ("class", "id"):
+            for word in value.split():
+                parts = [part.lower() for part in _NAME_PART.findall(word)]
+                own = own or not _OWN_WORDS.isdisjoint(parts)
+                if parts and parts[0] not in _NO_SIGN and not _NOISE_WORDS.isdisjoint(parts):
+                    signs.append(parts)
     if tag == "header":  # of the page; an article's own header holds its title
         node: Node | None = inside
         while node is not None and node.tag not in ("article", "main"):
             node = node.parent
-        if node is None:
-            return True
-    if not attributes or tag in ("html", "body", "main", "article"):
-        return False
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), a or b or c
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name == "role" and value.lower() in _NOISE_ROLES:
-            return True
-        if name in ("class", "id") and any(part.lower() in _NOISE_WORDS for part in _NAME_PART.findall(value)):
-            return True
-    return False
+        if node is None and not own:
+            return True, []
+    return False, signs
+
+
+def _settle(root: Node) -> None:
+    """Decide which elements with a noise word are noise; what is inside of noise is noise.
+
+    None is that contains the longest article or main, or, where there is none, over half of the text; nor a title's
+    header; nor, inside the longest, one with a large text block or over half of the text, unless links fill half of it
+    or its names say that others wrote it.
+    """
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [c for c in reversed(node.children) if not isinstance(c, str)]
+    chars, links, blocks = {}, {}, {}
+    titles: set[int] = set()
+    for node in reversed(order):
+        if node.noise:
+            chars[id(node)] = links[id(node)] = blocks[id(node)] = 0
+            continue
+        inner = [c for c in node.children if not isinstance(c, str)]
+        n = sum(len(c) - c.count(" ") for c in node.children if isinstance(c, str) and not c.isspace()) + sum(chars[id(c)] for c in inner)
+        chars[id(node)] = n
+        links[id(node)] = n if node.tag == "a" else sum(links[id(c)] for c in inner)
+        in_line = all(c.tag not in _BLOCK for c in inner)
+        blocks[id(node)] = n - links[id(node)] if in_line else max(blocks[id(c)] for c in inner)
+        if node.tag in _HEADINGS or any(id(c) in titles for c in inner):
+            titles.add(id(node))
+    longest = max((n for n in order if n.tag in ("article", "main") and chars[id(n)]), key=lambda n: chars[id(n)], default=None)
+    around: set[int] = set()
+    node = longest
+    while node is not None:
+        around.add(id(node))
+        node = node.parent
+    held: set[int] = set()  # inside the longest
+    for node in order:
+        if node is longest or node.parent is not None and id(node.parent) in held:
+            held.add(id(node))
+        if node.parent is not None and node.parent.noise:
+            node.noise = True
+        if node.noise or not node.signs or id(node) in around:
+            continue
+        words = [part for name in node.signs for part in name if part in _NOISE_WORDS]
+        n, inside = chars[id(node)], id(node) in held
+        if id(node) in titles and _TITLE_WORDS.issuperset(words) and (inside or longest is None and any(not _OWN_WORDS.isdisjoint(name) for name in node.signs)):
+            continue
+        foreign = any(name == ["hidden"] or _FOREIGN_WORDS.union(_BOX_WORDS).issuperset(name) and not _FOREIGN_WORDS.isdisjoint(name) for name in node.signs)
+        most = (inside or longest is None) and n * 2 > chars[id(longest or root)]
+        large = inside and blocks[id(node)] >= LARGE
+        node.noise = foreign or not (most or large) or links[id(node)] * 2 > n
 
 
 def parse(html: str) -> Node:
@@ -107,7 +173,9 @@ def parse(html: str) -> Node:
             if last is not None:
                 here = last.parent
         attributes = match[3]
-        node = Node(tag, here, here.noise or _noisy(tag, attributes, here))
+        noise, signs = (True, []) if here.noise else _noisy(tag, attributes, here)
+        node = Node(tag, here, noise)
+        node.signs = signs
         here.children.append(node)
         if tag in _RAW:
             close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
@@ -196,9 +264,36 @@ def _link_list(node: Node) -> bool:
     return node.tag in ("ul", "ol", "div", "section", "table", "p") and node.link_tags >= 3 and node.link_chars * 10 > node.chars * 8
 
 
+def _in_article(node: Node | None) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
+def _any_sign(root: Node) -> bool:
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.signs:
+            return True
+        stack += [c for c in node.children if not isinstance(c, str)]
+    return False
+
+
 def main_text(html: str) -> str:
-    """Blocks of the main text in page order, joined by an empty line."""
+    """Blocks of the main text in page order, joined by an empty line. Where class words leave none, they are not heeded."""
     root = parse(html)
+    signs = _any_sign(root)
+    if signs:
+        _settle(root)
+    text = _text(root)
+    if signs and not text:
+        root = parse(html)
+        text = _text(root)
+    return text
+
+
+def _text(root: Node) -> str:
     marked = content(root)
     blocks: list[str] = []
     current: list[str] = []
@@ -217,7 +312,7 @@ def main_text(html: str) -> str:
         elif isinstance(item, str):
             if wanted:
                 current.append(item)
-        elif not item.noise and not (wanted and _link_list(item)):
+        elif not item.noise and not (wanted and _link_list(item) and not _in_article(item)):
             wanted = wanted or id(item) in marked
             if item.tag == "br":
                 current.append(" ")

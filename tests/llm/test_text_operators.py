@@ -85,6 +85,29 @@ def test_density_finds_text_without_an_article(spark):
     assert extraction.main_text(html) == "\n\n".join(f"Paragraph {i} has a good many words, so that it is dense, long and clearly text." for i in range(6))
 
 
+LINES = "".join(f"<p>Paragraph {i} has a good many words, so that it is dense, long and clearly text.</p>" for i in range(6))
+LINKS = "".join(f"<li><a href=s{i}>Source number {i}</a></li>" for i in range(5))
+
+
+@pytest.mark.parametrize("html, kept, dropped", [
+    (f"<body><div class='content has-sidebar'>{LINES}</div></body>", ["Paragraph 5"], []),
+    (f"<body><div id='main-menu-page'><article>{LINES}</article></div></body>", ["Paragraph 5"], []),
+    (f"<body><section class='no-comments'><article>{LINES}</article></section></body>", ["Paragraph 5"], []),
+    (f"<body><div class='comments'>{LINES}</div></body>", ["Paragraph 5"], []),
+    (f"<article><div class='article-header'><h1>Title</h1></div>{LINES}</article>", ["Title", "Paragraph 5"], []),
+    (f"<article><header class='post-header'><h1>Title</h1></header>{LINES}</article>", ["Title", "Paragraph 5"], []),
+    (f"<article>{LINES}<h2>Sources</h2><ul>{LINKS}</ul></article>", ["Paragraph 5", "Source number 4"], []),
+    (f"<article>{LINES}<section id='legal'><p>{'The law says many things on this. ' * 9}</p></section></article>", ["The law says"], []),
+    (f"<article>{LINES}<div class='comments'>{LINES.replace('Para', 'Comment para')}</div></article>", ["Paragraph 5"], ["Comment"]),
+    (f"<article>{LINES}<div class='related-posts'><ul>{LINKS}</ul></div></article>", ["Paragraph 5"], ["Source"]),
+    (f"<body><main>{LINES}</main><div class='related'><article>Other <a href=1>thing</a></article></div></body>", ["Paragraph 5"], ["Other"]),
+    (f"<body><div class='navbar'><ul>{LINKS}</ul></div><div>{LINES}</div></body>", ["Paragraph 5"], ["Source"]),
+])
+def test_class_words_are_weighed(html, kept, dropped):
+    text = extraction.main_text(html)
+    assert all(t in text for t in kept) and not any(t in text for t in dropped)
+
+
 def _talk(rng, words):
     return " ".join(rng.choice(words) for _ in range(60))
 
