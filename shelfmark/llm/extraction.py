@@ -40,6 +40,8 @@ _FOREIGN_WORDS = frozenset(
     "comments commentlist discussion disqus replies respond related recommended recommendations teaser teasers paywall outbrain taboola".split())
 _BOX_WORDS = frozenset("list section area box wrapper wrap container block thread form body items item slot unit bar notice banner".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_FLOW = frozenset("p pre blockquote figure ul ol dl table".split())
+_LISTS = frozenset("ul ol dl table".split())
 _TITLE_WORDS = frozenset({"header", "banner"})
 _OWN_WORDS = frozenset("article post entry story content".split())
 _NO_SIGN = frozenset("has no not with without overflow".split())  # first parts of names that say nothing on the element itself
@@ -226,28 +228,42 @@ def _descendants(node: Node) -> Iterator[Node]:
         stack += [c for c in node.children if not isinstance(c, str) and not c.noise]
 
 
-def content(root: Node) -> set[int]:
-    """ids of the nodes whose whole subtrees are the main text.
+def content(root: Node) -> tuple[set[int], set[int]]:
+    """ids of the nodes whose subtrees are the main text, and of those in them that are not.
 
     The node with the largest sum of child densities is chosen. The lowest density on its path up to the body (or
-    its article) is the threshold; from there down, every branch at or above it contributes its own largest-sum node.
+    its article) is the threshold. Below the body, every branch at or above it contributes its own largest-sum node.
+    The node's article is text but for its branches below the threshold; so is every other article, unless it is below
+    the lowest density on the path up to the body and links fill over a fifth of it.
     """
     order = measure(root)
     best = max(order, key=lambda n: n.total)
     if not best.chars:
-        return set()
+        return set(), set()
     path, top = [best], best
     while path[-1].parent is not None:
         path.append(path[-1].parent)
     for node in path:
         if node.tag in ("article", "main"):
             top = node  # the outermost of them
-    if top is best and best.tag not in ("article", "main"):
+    if top.tag not in ("article", "main"):
         top = next((n for n in path if n.tag == "body"), path[-1])
     threshold = min(n.density for n in path[: path.index(top) + 1])
     marked: set[int] = set()
+    dropped: set[int] = set()
     if top.tag in ("article", "main"):
-        return {id(top)}
+        body = next((i for i, n in enumerate(path) if n.tag == "body"), len(path) - 1)
+        least = min(n.density for n in path[: body + 1])
+        stack = [root]
+        while stack:
+            node = stack.pop()
+            if node.tag in ("article", "main"):
+                if node is top or node.density >= least or node.link_chars * 5 <= node.chars:
+                    marked.add(id(node))
+                    dropped |= _sparse_branches(node, threshold)
+                continue
+            stack += [c for c in node.children if not isinstance(c, str) and not c.noise]
+        return marked, dropped
     stack = [top]
     while stack:
         node = stack.pop()
@@ -257,7 +273,37 @@ def content(root: Node) -> set[int]:
         marked.add(id(chosen))
         if chosen is not node:
             stack += [c for c in node.children if not isinstance(c, str) and not c.noise and not any(id(d) in marked for d in _descendants(c))]
-    return marked
+    return marked, dropped
+
+
+def _sparse_branches(top: Node, threshold: float) -> set[int]:
+    """ids of the branches of an article beside its largest-sum node, and of its branches in turn, that are no text.
+
+    Such a branch is below the threshold and over a fifth of it (over half of a paragraph, list or the like) are links; a branch with a title of the article (h1)
+    and a branch that is itself a heading stay. Of the largest-sum node only a child div below the threshold goes, if
+    three links and more fill over half of it and no list, table or heading is in it.
+    """
+    dropped: set[int] = set()
+    stack = [top]
+    while stack:
+        node = stack.pop()
+        chosen = max(_descendants(node), key=lambda n: n.total)
+        for child in chosen.children:
+            if isinstance(child, str) or child.noise or child.tag != "div" or child.density >= threshold:
+                continue
+            if child.link_tags >= 3 and child.link_chars * 2 > child.chars and all(d.tag not in _LISTS and d.tag not in _HEADINGS for d in _descendants(child)):
+                dropped.add(id(child))
+        while chosen is not node:
+            parent = chosen.parent
+            for child in parent.children:
+                if isinstance(child, str) or child.noise or child is chosen:
+                    continue
+                if child.density >= threshold:
+                    stack.append(child)
+                elif child.link_chars * (2 if child.tag in _FLOW else 5) > child.chars and child.tag not in _HEADINGS and all(d.tag != "h1" for d in _descendants(child)):
+                    dropped.add(id(child))
+            chosen = parent
+    return dropped
 
 
 def _link_list(node: Node) -> bool:
@@ -294,7 +340,7 @@ def main_text(html: str) -> str:
 
 
 def _text(root: Node) -> str:
-    marked = content(root)
+    marked, dropped = content(root)
     blocks: list[str] = []
     current: list[str] = []
 
@@ -312,7 +358,7 @@ def _text(root: Node) -> str:
         elif isinstance(item, str):
             if wanted:
                 current.append(item)
-        elif not item.noise and not (wanted and _link_list(item) and not _in_article(item)):
+        elif not item.noise and id(item) not in dropped and not (wanted and _link_list(item) and not _in_article(item)):
             wanted = wanted or id(item) in marked
             if item.tag == "br":
                 current.append(" ")

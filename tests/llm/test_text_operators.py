@@ -108,6 +108,22 @@ def test_class_words_are_weighed(html, kept, dropped):
     assert all(t in text for t in kept) and not any(t in text for t in dropped)
 
 
+CARDS = "".join(f"<div><h3><a href=c{i}>Card {i}</a></h3><p>Short card text</p><a href=c{i}>more</a></div>" for i in range(6))
+
+
+@pytest.mark.parametrize("html, kept, dropped", [
+    (f"<main><h1>Title</h1><div>{LINES}</div><div>{CARDS}</div></main>", ["Title", "Paragraph 5"], ["Card 3", "Short card"]),
+    (f"<main><h1>Title</h1>{LINES}<div>{'<a href=1>Card</a> ' * 4}</div></main>", ["Title", "Paragraph 5"], ["Card"]),
+    (f"<body><article>{LINES}</article><article>{LINES.replace('Para', 'Second para')}</article></body>", ["Paragraph 5", "Second paragraph 5"], []),
+    (f"<body><div><article>{LINES}</article></div><div><article>{LINES.replace('Para', 'Other para')}</article></div><article><a href=1>Card</a></article></body>", ["Paragraph 5", "Other paragraph 5"], ["Card"]),
+    (f"<article><h1>Title</h1><section><h2>One</h2>{LINES}</section><section><h2>Two</h2><p>Short.</p></section></article>", ["Title", "One", "Paragraph 5", "Two", "Short."], []),
+    (f"<main><h1>Title</h1><p>Lead.</p><div>{LINES}</div><p>End with <a href=1>link</a> in it, as they say.</p></main>", ["Title", "Lead.", "Paragraph 5", "End with link"], []),
+])
+def test_density_selects_inside_and_beside_articles(html, kept, dropped):
+    text = extraction.main_text(html)
+    assert all(t in text for t in kept) and not any(t in text for t in dropped)
+
+
 def _talk(rng, words):
     return " ".join(rng.choice(words) for _ in range(60))
 
