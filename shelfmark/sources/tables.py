@@ -126,8 +126,9 @@ def slim_records(flat: DataFrame) -> DataFrame:
 
 
 def write_index(entries: DataFrame, flat: DataFrame, path: str) -> None:
-    index_lists(entries).repartition("parent", "leaf").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
-    index_parents(entries).repartition("parent").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/parents")
+    """Rows are dealt by range down to the position, so a parent of any size is written by many tasks."""
+    index_lists(entries).repartitionByRange("parent", "leaf", "position").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
+    index_parents(entries).repartitionByRange("parent", "position").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/parents")
     slim_records(flat).write.mode("overwrite").parquet(f"{path}/repositories")
     flat.agg(F.count("*").alias("total")).write.mode("overwrite").json(f"{path}/totals")
 

@@ -237,3 +237,22 @@ def test_collect_filter_limits_saved_rows_only(spark):
     assert made["summary"].first().asDict() == {"collected": 3, "categorized": 2, "duplicates_merged": 0}
     assert [r["id"] for r in made["records"].collect()] == ["github:o1/n1"]
     assert {(r["name"], r["parent"]) for r in made["categories"].collect()} == {("Stores", "Data Systems"), ("Data Systems", None)}
+
+
+def test_index_of_a_large_parent_is_written_by_many_tasks(spark, tmp_path):
+    from pathlib import Path
+
+    entries = spark.range(4000).selectExpr("if(id % 4 = 0, 'Small', 'Hot') AS parent", "'Leaf' AS category", "cast(id AS string) AS id", "cast(id % 97 AS double) AS score", "id % 13 AS stars")
+    flat = entries.selectExpr("id", "'o' AS owner", "id AS name", "'u' AS url", "stars", "score AS score_overall", "'h' AS health_status")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        tables.write_index(entries, flat, str(tmp_path))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    for kind, leaf in (("members", "Leaf"), ("parents", None)):
+        assert len(list(Path(tmp_path, kind, "parent=Hot").glob("*.parquet"))) > 2
+        rows = tables.read_index(spark, str(tmp_path), "Hot", leaf).collect()
+        assert sorted(r.position for r in rows) == list(range(1, 3001)) and len({r.id for r in rows}) == 3000
