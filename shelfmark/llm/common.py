@@ -28,10 +28,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once into the shared folder and read it back: later steps neither repeat its work nor depend on executors."""
+def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back: later steps neither repeat its work nor depend on executors.
+    ``by`` names columns whose values become folders, so that a filter on them reads those alone."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by or []).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, duplicates, extraction, fingerprints, languages, packing, shards, substrings, tokens, toxicity
+from . import decontamination, duplicates, extraction, fingerprints, languages, oracles, packing, phrases, shards, substrings, tokens, topk, toxicity, tries
 from .common import documents
 
 
@@ -51,11 +51,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_main_text, op3_toxicity, op4_packing, op5_fingerprints, op6_token_counts, op7_language, op8_repeats, op9_shards, op10_decontamination, pipeline)
+    f.__name__: f for f in (op1_near_duplicates, op2_main_text, op3_toxicity, op4_packing, op5_fingerprints, op6_token_counts, op7_language, op8_repeats, op9_shards, op10_decontamination, op11_prefix_trie, op12_collocations, op13_top_k, pipeline)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_prefix_trie": oracles.PREFIX_TRIE, "op12_collocations": oracles.COLLOCATIONS, "op13_top_k": oracles.TOP_K}
