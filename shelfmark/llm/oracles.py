@@ -3,7 +3,7 @@
 COLLOCATIONS = r"""
 WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
-words AS (SELECT lang, list_filter(string_split_regex(piece, '[ \x09]+'), x -> x <> '') AS w FROM pieces),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM pieces),
 sizes AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
 starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
 grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM starts, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)),
@@ -23,8 +23,8 @@ PREFIX_TRIE = """
 WITH turns AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
     FROM conversations WHERE conv_id IS NOT NULL),
-steps AS (SELECT c, [4294967295] || flatten(list_transform(range(1, length(c::VARCHAR) + 1), i -> [ascii(substr(c::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS s FROM (SELECT DISTINCT c FROM turns)),
-heads AS (SELECT c, c - c % 100 AS base, xor(4294967295, list_reduce(s, (x, y) -> CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) % 6 AS h FROM steps),
+steps AS (SELECT c, [4294967295] || flatten(list_transform(range(1, length(c::VARCHAR) + 1), lambda i: [ascii(substr(c::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS s FROM (SELECT DISTINCT c FROM turns)),
+heads AS (SELECT c, c - c % 100 AS base, xor(4294967295, list_reduce(s, lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) % 6 AS h FROM steps),
 built AS (SELECT heads.c, i AS o, role, text FROM heads JOIN turns ON turns.c = base AND i <= h UNION ALL SELECT heads.c, 6 + i, role, text FROM heads JOIN turns ON turns.c = heads.c AND i > h),
 prefixes AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY o) AS d, length(text) AS chars,
         string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY o) AS k FROM built),
@@ -39,9 +39,9 @@ FROM nodes LEFT JOIN children ON children.k = nodes.k JOIN sums ON sums.k = node
 """
 
 TOP_K = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS x, row_number() OVER () AS row FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
-s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, least(len(q.x), len(c.x)) + 1), i -> q.x[i] * c.x[i]))::BIGINT AS score
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x, row_number() OVER () AS row FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, least(len(q.x), len(c.x)) + 1), lambda i: q.x[i] * c.x[i]))::BIGINT AS score
     FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.row <> c.row)
 SELECT query_id, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank, vec_id, score FROM s
 QUALIFY row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) <= 20

@@ -15,7 +15,6 @@ SHARDS = 3  # steps of a cycle; each step is a Spark job over its shard
 LONGEST, LEAST, TOP = 5, 100, 2000
 TABLE_BITS = 24  # a byte for each of 2**24 slots: a size that doesn't grow with the data
 BLOCK_WORDS = 1 << 20
-SEEDS = (0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
 _SALTS = [np.uint64(x) for x in (0x9DDFEA08EB382D69, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9AE16A3B2F90404F, 0xCBF29CE484222325)]
 _OTHER = [np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x87C37B91114253D5, 0x4CF5AD432745937F, 0x52DCE729DA3ED7C9)]
@@ -41,34 +40,34 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, rows, last
 
 
-def lang_hash(lang: str, seed: int) -> np.uint64:
-    return np.uint64(int.from_bytes(hashlib.blake2b(f"{seed} {lang}".encode(), digest_size=8).digest(), "little"))
+def lang_hash(lang: str) -> np.uint64:
+    return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
 
-def _word_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-    return np.maximum(mix(Rolling(data).spans(starts, ends) ^ np.uint64(seed)), np.uint64(1))  # 0 parts pieces
+def _word_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return np.maximum(Rolling(data).spans(starts, ends), np.uint64(1))  # 0 parts pieces
 
 
-def _tokenised(seed: int):
-    """Word ids of each text, a 0 after the last one of each piece."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, last, data, offsets in utf8_blocks(batch.column("text")):
-                data = _LOWER[data]
-                with np.errstate(over="ignore"):
-                    starts, ends, rows, final = pieces(data, offsets)
-                    ids = _word_ids(data, starts, ends, seed)
-                place = np.arange(len(ids)) + np.cumsum(final) - final
-                words = np.zeros(len(ids) + int(final.sum()), np.uint64)
-                words[place] = ids
-                each = np.bincount(rows, minlength=last - first)
-                sizes = each + np.bincount(rows[final], minlength=last - first)
-                at = np.concatenate(([0], np.cumsum(sizes) * 8)).astype(np.int64)
-                held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), last - first, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(words.tobytes())])
-                part = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("shard"), held.cast(pa.binary()), pa.array(each)], ["lang", "shard", "words", "n"])
+def _with_breaks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Word ids of a block with a 0 after the last one of each piece, the place there of each word, and start, end, row of words."""
+    starts, ends, rows, final = pieces(data, offsets)
+    place = np.arange(len(starts)) + np.cumsum(final) - final
+    words = np.zeros(len(starts) + int(final.sum()), np.uint64)
+    words[place] = _word_ids(data, starts, ends)
+    return words, place, starts, ends, rows, final
 
-    return run
+
+def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, last, data, offsets in utf8_blocks(batch.column("text")):
+            with np.errstate(over="ignore"):
+                words, _, _, _, rows, final = _with_breaks(_LOWER[data], offsets)
+            each = np.bincount(rows, minlength=last - first)
+            sizes = each + np.bincount(rows[final], minlength=last - first)
+            at = np.concatenate(([0], np.cumsum(sizes) * 8)).astype(np.int64)
+            held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), last - first, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(words.tobytes())])
+            part = batch.slice(first, last - first)
+            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("shard"), held.cast(pa.binary()), pa.array(each)], ["lang", "shard", "words", "n"])
 
 
 def _phrase_ids(words: np.ndarray, langs: np.ndarray, at: np.ndarray, k: int, salts: list = _SALTS) -> np.ndarray:
@@ -78,14 +77,14 @@ def _phrase_ids(words: np.ndarray, langs: np.ndarray, at: np.ndarray, k: int, sa
     return mix(total)
 
 
-def _slots(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    shift = np.uint64(64 - TABLE_BITS)
+def _slots(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    shift = np.uint64(65 - size.bit_length())
     return ids >> shift, (ids * _SALTS[0]) >> shift
 
 
 def _steps(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """1 + the step at which each phrase became frequent, or later; 0 if it surely did not."""
-    one, two = _slots(ids)
+    one, two = _slots(ids, len(table))
     return np.minimum(table[one], table[two])
 
 
@@ -109,15 +108,24 @@ def _levels(words: np.ndarray, langs: np.ndarray, table: np.ndarray, longest: in
         later = np.maximum(step[at], step[at + 1])
 
 
-def _scan(t: int, lengths: range, shards: int, seed: int, table):
+def _surroundings(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the two words before and after each phrase, as far as its piece reaches."""
+    padded = np.concatenate((_ZERO, _ZERO, words, _ZERO, _ZERO))
+    before, after = padded[at + 1], padded[at + k + 2]
+    total = mix(before * _OTHER[0]) + mix(after * _OTHER[1])
+    total += mix(np.where(before > 0, padded[at], 0) * _OTHER[2]) + mix(np.where(after > 0, padded[at + k + 3], 0) * _OTHER[3])
+    return mix(total).view(np.int64)
+
+
+def _scan(t: int, lengths: range, shards: int, table):
     """Count, in each block of texts, the phrases that are active at step ``t``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, np.uint64] = {}
         for batch in batches:
-            langs = np.array([names.setdefault(x, lang_hash(x, seed)) for x in batch.column("lang").to_pylist()], np.uint64)
+            langs = np.array([names.setdefault(x, lang_hash(x)) for x in batch.column("lang").to_pylist()], np.uint64)
             column = batch.column("words").cast(pa.large_binary())
             offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 8
-            every = np.frombuffer(column.buffers()[2], np.uint64) if offsets[-1] else _ZERO[:0]
+            every = np.frombuffer(column.buffers()[2], np.uint64) if len(langs) and offsets[-1] else _ZERO[:0]
             first = 0
             while first < len(langs):
                 last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK_WORDS, "right")) - 1)
@@ -125,62 +133,73 @@ def _scan(t: int, lengths: range, shards: int, seed: int, table):
                 with np.errstate(over="ignore"):
                     salt = np.repeat(langs[first:last], np.diff(offsets[first : last + 1]))
                     for k, at, ids, later in _levels(words, salt, table.value, lengths.stop - 1):
-                        if k not in lengths:
-                            continue
-                        if k > 1:
-                            fresh = later.astype(np.int64) + shards > t  # the cycle began at step ``later``
-                            ids, later = ids[fresh], later[fresh]
-                        made, index, found = np.unique(ids, return_index=True, return_counts=True)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(made.view(np.int64)), pa.array(np.full(len(made), k, np.int32)), pa.array(later[index].astype(np.int32)), pa.array(found)], ["id", "k", "start", "found"])
+                        if k in lengths and len(at):
+                            if k > 1:
+                                fresh = later.astype(np.int64) + shards > t  # the cycle began at step ``later``
+                                at, ids, later = at[fresh], ids[fresh], later[fresh]
+                            yield _counted(words, salt, at, ids, later, k)
                 first = last
 
     return run
 
 
-def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        with np.errstate(over="ignore"):
-            at = np.concatenate(_slots(batch.column("id").to_numpy().view(np.uint64)))
-        yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array(np.left_shift(np.uint64(1), at & np.uint64(63)).view(np.int64))], ["place", "bit"])
+def _counted(words: np.ndarray, salt: np.ndarray, at: np.ndarray, ids: np.ndarray, later: np.ndarray, k: int) -> pa.RecordBatch:
+    order = np.argsort(ids)
+    edges = np.flatnonzero(np.concatenate(([True], ids[order][1:] != ids[order][:-1]))) if len(ids) else order
+    one = order[edges]
+    where = np.minimum.reduceat(_surroundings(words, at, k)[order], edges) if len(ids) else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([
+        pa.array(ids[one].view(np.int64)), pa.array(_phrase_ids(words, salt, at[one], k, _OTHER).view(np.int64)), pa.array(np.full(len(one), k, np.int32)),
+        pa.array(later[one].astype(np.int32)), pa.array(where), pa.array(np.diff(np.append(edges, len(ids))))], ["id", "other", "k", "start", "place", "found"])
+
+
+def _chosen(ids: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """One number for a phrase and a place."""
+    return mix(ids + where.view(np.uint64) * _SALTS[1])
+
+
+def _marks(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            with np.errstate(over="ignore"):
+                ids = batch.column("id").to_numpy().view(np.uint64)
+                if "place" in batch.schema.names:
+                    ids = _chosen(ids, batch.column("place").to_numpy())
+                at = np.concatenate(_slots(ids, size))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array(np.left_shift(np.uint64(1), at & np.uint64(63)).view(np.int64))], ["place", "bit"])
 
+    return run
 
-def _occupied(phrases: DataFrame) -> np.ndarray:
-    """Whether each slot holds a phrase; at most 2**(TABLE_BITS - 6) rows come to the driver, however many phrases there are."""
-    words = np.zeros(1 << TABLE_BITS - 6, np.uint64)
-    bits = phrases.select("id").mapInArrow(_marks, "place int, bit long").groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
+
+def _occupied(phrases: DataFrame, size: int) -> np.ndarray:
+    """Whether each slot holds one of the ids, or of the ids at their places; at most size / 64 rows come to the driver, however many phrases there are."""
+    words = np.zeros(size // 64, np.uint64)
+    bits = phrases.mapInArrow(_marks(size), "place int, bit long").groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
     words[bits["place"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
     return np.unpackbits(words.view(np.uint8), bitorder="little").view(bool)
 
 
-def _named(longest: int, seed: int, table):
-    """Names of the phrases that the table holds, each once a block, and not again in a task while it is remembered."""
+def _named(longest: int, table, places):
+    """Names of phrases, from the places that were chosen for them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << 18, np.uint64)
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for first, last, data, offsets in utf8_blocks(batch.column("text")):
                 data = _LOWER[data]
                 with np.errstate(over="ignore"):
-                    starts, ends, rows, final = pieces(data, offsets)
-                    if not len(starts):
-                        continue
-                    ids = _word_ids(data, starts, ends, seed)
-                    place = np.arange(len(ids)) + np.cumsum(final) - final
-                    words, salt, word = np.zeros(len(ids) + int(final.sum()), np.uint64), np.zeros(len(ids) + int(final.sum()), np.uint64), np.zeros(len(ids) + int(final.sum()), np.int64)
-                    words[place], word[place] = ids, np.arange(len(ids))
-                    salt[place] = np.array([lang_hash(x, seed) for x in langs[first:last]], np.uint64)[rows]
-                    for k, at, made, _ in _levels(words, salt, table.value, longest):
-                        at, made = (x[_steps(table.value, made) > 0] for x in (at, made))
-                        check = _phrase_ids(words, salt, at, k, _OTHER) ^ made  # tells phrases of one id apart
-                        _, index = np.unique(check, return_index=True)
-                        slot = check[index] >> np.uint64(46)
-                        index = index[seen[slot] != check[index]]
-                        seen[check[index] >> np.uint64(46)] = check[index]
-                        which = word[at[index]]
+                    words, place, starts, ends, rows, _ = _with_breaks(data, offsets)
+                    salt, word = np.zeros(len(words), np.uint64), np.zeros(len(words), np.int64)
+                    salt[place] = np.array([lang_hash(x) for x in langs[first:last]], np.uint64)[rows]
+                    word[place] = np.arange(len(place))
+                    for k, at, ids, _ in _levels(words, salt, table.value, longest):
+                        at, ids = (x[_steps(table.value, ids) > 0] for x in (at, ids))
+                        where = _surroundings(words, at, k)
+                        here = np.flatnonzero(_steps(places.value, _chosen(ids, where)) > 0)
+                        here = here[np.unique(_chosen(ids[here], where[here]), return_index=True)[1]]
+                        which = word[at[here]]
                         yield pa.RecordBatch.from_arrays([
-                            pa.array(made[index].view(np.int64)), pa.array([langs[first + r] for r in rows[which].tolist()], pa.string()),
-                            _strings(data, starts, ends, which, k)], ["id", "lang", "phrase"])
+                            pa.array(ids[here].view(np.int64)), pa.array(_phrase_ids(words, salt, at[here], k, _OTHER).view(np.int64)), pa.array(where[here]),
+                            pa.array([langs[first + r] for r in rows[which].tolist()], pa.string()), _strings(data, starts, ends, which, k)], ["id", "other", "place", "lang", "phrase"])
 
     return run
 
@@ -199,29 +218,31 @@ def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndar
     return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets.tobytes()), pa.py_buffer(body.tobytes()))
 
 
-def frequent_ids(texts: DataFrame, least: int, longest: int, shards: int, seed: int) -> tuple[DataFrame, np.ndarray]:
-    """(id, k, found) of the phrases with at least ``least`` occurrences in the staged texts, and the table that holds them.
+def frequent_ids(texts: DataFrame, least: int, longest: int, shards: int, slots: int = 1 << TABLE_BITS) -> DataFrame:
+    """(id, other, k, place, found) of the phrases with at least ``least`` occurrences in the staged texts.
 
     Step t scans shard t modulo ``shards``. Words are counted in the first cycle; a longer phrase from the step after both
     phrases one word shorter have reached ``least``, for one cycle. A table of fixed size tells the step at which a phrase
     became frequent. What it lets pass by mistake is rarer than ``least``, or is counted again with the same result, as each
-    shard's count of a phrase is kept.
+    shard's count of a phrase is kept. A phrase goes by two 64-bit hashes; its place is the smallest hash of words around it.
     """
     context = texts.sparkSession.sparkContext
-    counts = [f"c{s}" for s in range(shards)]
+    key, counts = ["id", "other", "k"], [f"c{s}" for s in range(shards)]
     total = sum((F.col(c) for c in counts[1:]), F.col(counts[0]))
-    table = np.zeros(1 << TABLE_BITS, np.uint8)
+    table = np.zeros(slots, np.uint8)
     active, done, newest = None, [], -shards
     for t in range(longest * shards):
         if t >= shards and newest + shards < t:
             break
         lengths = range(t // shards + 1, longest + 1)  # phrases of k words begin their cycle by step (k - 1) * shards
         shared = context.broadcast(table)
-        found = texts.filter(F.col("shard") == t % shards).select("lang", "words").mapInArrow(_scan(t, lengths, shards, seed, shared), "id long, k int, start int, found long")
-        found = found.groupBy("id", "k").agg(F.max("start").alias("start"), F.sum("found").alias("found"))
-        found = found.select("id", "k", "start", F.lit(None).cast("int").alias("reach"), *(F.col("found").alias(c) if s == t % shards else F.lit(0).cast("long").alias(c) for s, c in enumerate(counts)))
+        found = texts.filter(F.col("shard") == t % shards).select("lang", "words").mapInArrow(
+            _scan(t, lengths, shards, shared), "id long, other long, k int, start int, place long, found long")
+        found = found.groupBy(*key).agg(F.max("start").alias("start"), F.min("place").alias("place"), F.sum("found").alias("found"))
+        found = found.select(*key, "start", "place", F.lit(None).cast("int").alias("reach"), *(F.col("found").alias(c) if s == t % shards else F.lit(0).cast("long").alias(c) for s, c in enumerate(counts)))
         if active is not None:
-            found = active.unionByName(found).groupBy("id", "k").agg(F.max("start").alias("start"), F.min("reach").alias("reach"), *(F.max(c).alias(c) for c in counts))
+            found = active.unionByName(found).groupBy(*key).agg(
+                F.max("start").alias("start"), F.min("place").alias("place"), F.min("reach").alias("reach"), *(F.max(c).alias(c) for c in counts))
         found = found.withColumn("reach", F.when(total >= least, F.coalesce("reach", F.lit(t))))
         open_ = F.col("start") + shards - 1 > t
         found = stage(found.filter(open_ | F.col("reach").isNotNull()), "counts")
@@ -229,39 +250,34 @@ def frequent_ids(texts: DataFrame, least: int, longest: int, shards: int, seed:
         active = found.filter(open_)
         done.append(found.filter(~open_))
         if t < longest * shards - 1:
-            new = _occupied(found.filter((F.col("reach") == t) & (F.col("k") < longest)))
+            new = _occupied(found.filter((F.col("reach") == t) & (F.col("k") < longest)).select("id"), slots)
             table = np.where(new, np.uint8(t + 1), table)
             newest = t if new.any() else newest
     every = active
     for more in done:
         every = every.unionByName(more)
-    every = every.groupBy("id", "k").agg(*(F.max(c).alias(c) for c in counts)).select("id", "k", total.alias("found"))
-    return stage(every.filter(F.col("found") >= least), "frequent"), table
+    every = every.groupBy(*key).agg(F.min("place").alias("place"), *(F.max(c).alias(c) for c in counts)).select(*key, "place", total.alias("found"))
+    return stage(every.filter(F.col("found") >= least), "frequent")
 
 
-def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, seeds: tuple[int, ...] = SEEDS) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slots: int = 1 << TABLE_BITS) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, found) of the phrases with at least ``least`` occurrences, and (lang, n) with all word occurrences.
 
-    Phrases are counted under 64-bit ids. In the end each frequent id is named from the texts; should two phrases share one,
-    everything is counted anew with the next seed.
+    Phrases are counted under hashes; a last scan of the texts names each frequent one, from the place kept with its count.
     """
     context = docs.sparkSession.sparkContext
     shard = (F.monotonically_increasing_id() % shards).cast("int")
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    for seed in seeds:
-        texts = stage(docs.withColumn("shard", shard).mapInArrow(_tokenised(seed), "lang string, shard int, words binary, n long"), "words", ["shard"])
-        ids, _ = frequent_ids(texts, least, longest, shards, seed)
-        shared = context.broadcast(_occupied(ids).view(np.uint8))
-        names = docs.mapInArrow(_named(longest, seed, shared), "id long, lang string, phrase string").groupBy("id").agg(
-            F.min(F.struct("lang", "phrase")).alias("name"), F.max(F.struct("lang", "phrase")).alias("last"))
-        found = stage(ids.join(names, "id").select("name.*", "k", "found", (F.col("name") != F.col("last")).alias("clash")), "phrases")
-        shared.destroy()
-        if found.filter("clash").isEmpty():
-            return found.drop("clash"), texts.groupBy("lang").agg(F.sum("n").alias("n"))
-    raise ValueError("two frequent phrases share an id under every seed")
+    texts = stage(docs.withColumn("shard", shard).mapInArrow(_tokenised, "lang string, shard int, words binary, n long"), "words", ["shard"])
+    ids = frequent_ids(texts, least, longest, shards, slots)
+    table, places = (context.broadcast(_occupied(ids.select(*x), slots).view(np.uint8)) for x in (["id"], ["id", "place"]))
+    names = docs.mapInArrow(_named(longest, table, places), "id long, other long, place long, lang string, phrase string")
+    named = ids.join(names, ["id", "other", "place"]).groupBy("id", "other", "k", "found").agg(F.min(F.struct("lang", "phrase")).alias("name"))
+    found = stage(named.select("name.*", "k", "found"), "phrases")
+    return found, texts.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
-def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, shards: int = SHARDS) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, shards: int = SHARDS, slots: int = 1 << TABLE_BITS) -> DataFrame:
     """The ``top`` collocations of each lang: lang, rank, phrase, a, l, r, n, score.
 
     Words are runs of anything but space and tab in pieces between ``.,;:!?`` and line ends, A-Z lowered; a null text is empty,
@@ -269,7 +285,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     floor(1000 * a * n / (l * r)) counts, then the earliest. A phrase goes if a longer one that holds it is as frequent. Ties go
     by a, then by the bytes of the phrase. Repeated rows count each; an empty table gives no rows; other columns are ignored.
     """
-    all_, sizes = frequent_phrases(docs, least, longest, shards)
+    all_, sizes = frequent_phrases(docs, least, longest, shards, slots)
     counts = all_.select("lang", "phrase", "found")
     candidates = all_.filter("k > 1").select("lang", "k", "phrase", F.col("found").alias("a"), F.split("phrase", " ").alias("words"))
     part = lambda start, size: F.array_join(F.slice("words", start, size), " ")
