@@ -17,7 +17,7 @@ TABLE_BITS = 24  # a byte for each of 2**24 slots: a size that doesn't grow with
 BLOCK_WORDS = 1 << 20
 
 _SALTS = [np.uint64(x) for x in (0x9DDFEA08EB382D69, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9AE16A3B2F90404F, 0xCBF29CE484222325)]
-_OTHER = [np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x87C37B91114253D5, 0x4CF5AD432745937F, 0x52DCE729DA3ED7C9)]
+_OTHER = [np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x87C37B91114253D5, 0x4CF5AD432745937F)]
 _BETWEEN, _BREAK = np.zeros(256, bool), np.zeros(256, bool)
 _BETWEEN[[0x20, 0x09]] = True
 _BREAK[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -70,10 +70,10 @@ def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("shard"), held.cast(pa.binary()), pa.array(each)], ["lang", "shard", "words", "n"])
 
 
-def _phrase_ids(words: np.ndarray, langs: np.ndarray, at: np.ndarray, k: int, salts: list = _SALTS) -> np.ndarray:
+def _phrase_ids(words: np.ndarray, langs: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     total = langs[at]
     for j in range(k):
-        total = total + mix(words[at + j] * salts[j])
+        total = total + mix(words[at + j] * _SALTS[j])
     return mix(total)
 
 
@@ -109,12 +109,12 @@ def _levels(words: np.ndarray, langs: np.ndarray, table: np.ndarray, longest: in
 
 
 def _surroundings(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the two words before and after each phrase, as far as its piece reaches."""
+    """16 bits of a hash of the two words before and after each phrase, as far as its piece reaches."""
     padded = np.concatenate((_ZERO, _ZERO, words, _ZERO, _ZERO))
     before, after = padded[at + 1], padded[at + k + 2]
     total = mix(before * _OTHER[0]) + mix(after * _OTHER[1])
     total += mix(np.where(before > 0, padded[at], 0) * _OTHER[2]) + mix(np.where(after > 0, padded[at + k + 3], 0) * _OTHER[3])
-    return mix(total).view(np.int64)
+    return (mix(total) >> np.uint64(48)).astype(np.int32)
 
 
 def _scan(t: int, lengths: range, shards: int, table):
@@ -137,25 +137,25 @@ def _scan(t: int, lengths: range, shards: int, table):
                             if k > 1:
                                 fresh = later.astype(np.int64) + shards > t  # the cycle began at step ``later``
                                 at, ids, later = at[fresh], ids[fresh], later[fresh]
-                            yield _counted(words, salt, at, ids, later, k)
+                            yield _counted(words, at, ids, later, k)
                 first = last
 
     return run
 
 
-def _counted(words: np.ndarray, salt: np.ndarray, at: np.ndarray, ids: np.ndarray, later: np.ndarray, k: int) -> pa.RecordBatch:
+def _counted(words: np.ndarray, at: np.ndarray, ids: np.ndarray, later: np.ndarray, k: int) -> pa.RecordBatch:
     order = np.argsort(ids)
     edges = np.flatnonzero(np.concatenate(([True], ids[order][1:] != ids[order][:-1]))) if len(ids) else order
     one = order[edges]
-    where = np.minimum.reduceat(_surroundings(words, at, k)[order], edges) if len(ids) else np.zeros(0, np.int64)
+    where = np.minimum.reduceat(_surroundings(words, at, k)[order], edges) if len(ids) else np.zeros(0, np.int32)
     return pa.RecordBatch.from_arrays([
-        pa.array(ids[one].view(np.int64)), pa.array(_phrase_ids(words, salt, at[one], k, _OTHER).view(np.int64)), pa.array(np.full(len(one), k, np.int32)),
-        pa.array(later[one].astype(np.int32)), pa.array(where), pa.array(np.diff(np.append(edges, len(ids))))], ["id", "other", "k", "start", "place", "found"])
+        pa.array(ids[one].view(np.int64)), pa.array(np.full(len(one), k, np.int32)),
+        pa.array(later[one].astype(np.int32)), pa.array(where), pa.array(np.diff(np.append(edges, len(ids))))], ["id", "k", "start", "place", "found"])
 
 
 def _chosen(ids: np.ndarray, where: np.ndarray) -> np.ndarray:
     """One number for a phrase and a place."""
-    return mix(ids + where.view(np.uint64) * _SALTS[1])
+    return mix(ids + where.astype(np.uint64) * _SALTS[1])
 
 
 def _marks(size: int):
@@ -198,8 +198,8 @@ def _named(longest: int, table, places):
                         here = here[np.unique(_chosen(ids[here], where[here]), return_index=True)[1]]
                         which = word[at[here]]
                         yield pa.RecordBatch.from_arrays([
-                            pa.array(ids[here].view(np.int64)), pa.array(_phrase_ids(words, salt, at[here], k, _OTHER).view(np.int64)), pa.array(where[here]),
-                            pa.array([langs[first + r] for r in rows[which].tolist()], pa.string()), _strings(data, starts, ends, which, k)], ["id", "other", "place", "lang", "phrase"])
+                            pa.array(ids[here].view(np.int64)), pa.array(where[here]),
+                            pa.array([langs[first + r] for r in rows[which].tolist()], pa.string()), _strings(data, starts, ends, which, k)], ["id", "place", "lang", "phrase"])
 
     return run
 
@@ -219,15 +219,15 @@ def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndar
 
 
 def frequent_ids(texts: DataFrame, least: int, longest: int, shards: int, slots: int = 1 << TABLE_BITS) -> DataFrame:
-    """(id, other, k, place, found) of the phrases with at least ``least`` occurrences in the staged texts.
+    """(id, k, place, found) of the phrases with at least ``least`` occurrences in the staged texts.
 
     Step t scans shard t modulo ``shards``. Words are counted in the first cycle; a longer phrase from the step after both
     phrases one word shorter have reached ``least``, for one cycle. A table of fixed size tells the step at which a phrase
     became frequent. What it lets pass by mistake is rarer than ``least``, or is counted again with the same result, as each
-    shard's count of a phrase is kept. A phrase goes by two 64-bit hashes; its place is the smallest hash of words around it.
+    shard's count of a phrase is kept. A phrase goes by a 64-bit hash; its place is the smallest hash of the words around it.
     """
     context = texts.sparkSession.sparkContext
-    key, counts = ["id", "other", "k"], [f"c{s}" for s in range(shards)]
+    key, counts = ["id", "k"], [f"c{s}" for s in range(shards)]
     total = sum((F.col(c) for c in counts[1:]), F.col(counts[0]))
     table = np.zeros(slots, np.uint8)
     active, done, newest = None, [], -shards
@@ -237,7 +237,7 @@ def frequent_ids(texts: DataFrame, least: int, longest: int, shards: int, slots:
         lengths = range(t // shards + 1, longest + 1)  # phrases of k words begin their cycle by step (k - 1) * shards
         shared = context.broadcast(table)
         found = texts.filter(F.col("shard") == t % shards).select("lang", "words").mapInArrow(
-            _scan(t, lengths, shards, shared), "id long, other long, k int, start int, place long, found long")
+            _scan(t, lengths, shards, shared), "id long, k int, start int, place int, found long")
         found = found.groupBy(*key).agg(F.max("start").alias("start"), F.min("place").alias("place"), F.sum("found").alias("found"))
         found = found.select(*key, "start", "place", F.lit(None).cast("int").alias("reach"), *(F.col("found").alias(c) if s == t % shards else F.lit(0).cast("long").alias(c) for s, c in enumerate(counts)))
         if active is not None:
@@ -271,8 +271,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     texts = stage(docs.withColumn("shard", shard).mapInArrow(_tokenised, "lang string, shard int, words binary, n long"), "words", ["shard"])
     ids = frequent_ids(texts, least, longest, shards, slots)
     table, places = (context.broadcast(_occupied(ids.select(*x), slots).view(np.uint8)) for x in (["id"], ["id", "place"]))
-    names = docs.mapInArrow(_named(longest, table, places), "id long, other long, place long, lang string, phrase string")
-    named = ids.join(names, ["id", "other", "place"]).groupBy("id", "other", "k", "found").agg(F.min(F.struct("lang", "phrase")).alias("name"))
+    names = docs.mapInArrow(_named(longest, table, places), "id long, place int, lang string, phrase string")
+    named = ids.join(names, ["id", "place"]).groupBy("id", "k", "found").agg(F.min(F.struct("lang", "phrase")).alias("name"))
     found = stage(named.select("name.*", "k", "found"), "phrases")
     return found, texts.groupBy("lang").agg(F.sum("n").alias("n"))
 
