@@ -62,22 +62,35 @@ def upsert_daily_metrics(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return upsert(existing, incoming, ["repository_id", "date"])
 
 
+FINDING_KEY = ["source", "advisory_id", "package", "repository_id"]
+_FIRST, _NEWEST = ["ecosystem", "url", "cve_ids"], ["severity", "summary", "observed_at"]
+
+
+def reduced_findings(incoming: DataFrame) -> DataFrame:
+    """One row per key: newest severity, summary and time by ``seq``, and what the first row has of all else."""
+    rank = F.coalesce(F.col("seq").cast("bigint"), F.lit(-1))
+    merged = incoming.withColumns({k: F.coalesce(k, F.lit("")) for k in FINDING_KEY}).groupBy(*FINDING_KEY).agg(
+        F.max_by(F.struct(*_NEWEST), rank).alias("n"), F.min_by(F.struct(*_FIRST), rank).alias("o"))
+    return merged.select(*FINDING_KEY, *(f"n.{c}" for c in _NEWEST), *(f"o.{c}" for c in _FIRST))
+
+
+def merge_findings(existing: DataFrame, reduced: DataFrame) -> DataFrame:
+    """Stored findings, unique by key, with reduced new ones: one join, and no aggregate of the stored side.
+
+    On a key conflict only severity, summary and observed_at are replaced.
+    """
+    stored = existing.select(*(F.coalesce(k, F.lit("")).alias(k) for k in FINDING_KEY), F.struct(*_NEWEST, *_FIRST).alias("s"))
+    delta = reduced.select(*FINDING_KEY, F.struct(*_NEWEST, *_FIRST).alias("d"))
+    pick = lambda first, then, c: F.when(F.col(first).isNotNull(), F.col(f"{first}.{c}")).otherwise(F.col(f"{then}.{c}")).alias(c)
+    columns = {c: pick("d", "s", c) for c in _NEWEST} | {c: pick("s", "d", c) for c in _FIRST}
+    columns["cve_ids"] = F.coalesce(columns["cve_ids"], F.array().cast("array<string>")).alias("cve_ids")
+    return stored.join(delta, FINDING_KEY, "full_outer").select(
+        *FINDING_KEY, *(columns[c] for c in ("ecosystem", "severity", "summary", "url", "cve_ids", "observed_at")))
+
+
 def upsert_findings(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """On a key conflict only severity, summary and observed_at are replaced."""
-    key = ["source", "advisory_id", "package", "repository_id"]
-    clean = lambda df, first: df.select(
-        *[F.coalesce(k, F.lit("")).alias(k) for k in key], "ecosystem", "severity", "summary", "url", "cve_ids",
-        "observed_at", (F.lit(None).cast("bigint") if first else F.col("seq").cast("bigint")).alias("seq"),
-    )
-    both = clean(existing, True).unionByName(clean(incoming, False))
-    rank = F.coalesce("seq", F.lit(-1))
-    newest = F.max_by(F.struct("severity", "summary", "observed_at"), rank)
-    oldest = F.min_by(F.struct("ecosystem", "url", "cve_ids"), rank)
-    merged = both.groupBy(*key).agg(newest.alias("n"), oldest.alias("o"))
-    return merged.select(
-        *key, "o.ecosystem", "n.severity", "n.summary", "o.url",
-        F.coalesce("o.cve_ids", F.array().cast("array<string>")).alias("cve_ids"), "n.observed_at",
-    )
+    return merge_findings(existing, reduced_findings(incoming))
 
 
 def category_rows(assigned: DataFrame) -> DataFrame:

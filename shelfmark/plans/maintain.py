@@ -45,7 +45,7 @@ def extract(records: DataFrame, files: DataFrame, min_score: float = 0.0,
     selected = content.select_records(records, min_score, max_repositories)
     docs = content.documents(selected, files, **limits)
     status = content.statuses(selected, docs)
-    return {"documents": docs, "statuses": status, "report": content.report(status)}
+    return {"selected": selected, "documents": docs, "statuses": status, "report": content.report(status)}
 
 
 def scored_flat(scored: DataFrame) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators import content
 from ..operators.keyed import insert_absent, latest_per_key, upsert, upsert_findings
+from ..sources.tables import CONTENT_BUCKETS, write_content
+from .maintain import score_all
 
 _KEYS = {
     "sources": ["repository_id", "source_repository", "source_section"],
@@ -21,6 +24,21 @@ def save_records(spark: SparkSession, records: DataFrame, new_path: str, old_pat
     return records.count()
 
 
+def save_scores(spark: SparkSession, path: str, new_path: str, facts: DataFrame | None, as_of, weights: dict | None = None) -> int:
+    """Score all stored records and save them under the new path; returns how many."""
+    scored = score_all(spark.read.parquet(f"{path}/records"), facts, as_of, weights)
+    scored.write.mode("errorifexists").parquet(f"{new_path}/records")
+    return spark.read.parquet(f"{new_path}/records").count()
+
+
+def save_extraction(spark: SparkSession, made: dict[str, DataFrame], path: str, buckets: int = CONTENT_BUCKETS) -> DataFrame:
+    """Save the documents of an extraction; statuses and report come from what was saved. Returns the report."""
+    write_content(made["documents"], f"{path}/content", buckets)
+    saved = spark.read.parquet(f"{path}/content")
+    content.statuses(made["selected"], saved).write.mode("overwrite").parquet(f"{path}/statuses")
+    return content.report(spark.read.parquet(f"{path}/statuses"))
+
+
 def save_findings(spark: SparkSession, findings: DataFrame, new_path: str, old_path: str | None = None) -> int:
     """Findings over the stored ones, on a conflict only with new severity, summary and time; returns how many were processed."""
     incoming = findings.withColumn("seq", F.lit(0).cast("bigint"))

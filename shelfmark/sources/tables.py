@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ..operators.keyed import latest_per_key, upsert_daily_metrics
+from ..operators.keyed import FINDING_KEY, latest_per_key, merge_findings, reduced_findings, upsert_daily_metrics
 from ..operators.ranking import best_first, position_in_group
 from ..operators.records import complete
 from ..schemas import FINDING, REPOSITORY
 from ..session import ensure_checkpoint_dir
 
-CONTENT_BUCKETS = 256
+CONTENT_BUCKETS, FINDING_BUCKETS = 256, 64  # defaults; a store keeps the number it was written with
 
 
 def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -36,13 +36,18 @@ def write_records(df: DataFrame, path: str, order: str | None = "seq") -> None:
     rows.write.mode("overwrite").json(path)
 
 
-def write_partitions(df: DataFrame, path: str, column: str) -> None:
-    """Replace exactly the partitions present in ``df``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+def write_partitions(df: DataFrame, path: str, column: str, order: tuple[str, ...] = ()) -> None:
+    """Replace exactly the partitions present in ``df``.
+
+    Rows are dealt by range of the column, then of ``order``, so that a task writes few partitions and a large one spreads.
+    """
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind]
+    dealt = df.repartitionByRange(column, *order) if order else df.repartition(F.col(column), F.pmod(F.xxhash64(*hashed), F.lit(8)))
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
 def write_snapshot(df: DataFrame, path: str, date: str) -> None:
-    write_partitions(df.withColumn("date", F.lit(date)), path, "date")
+    df.withColumn("date", F.lit(date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
 def _snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -66,20 +71,61 @@ def read_list(spark: SparkSession, path: str, rid: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("id") == rid)
 
 
-def _bucket(column):
-    return F.pmod(F.xxhash64(column), F.lit(CONTENT_BUCKETS)).cast("int")
+def _bucket(buckets: int, *columns) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+
+
+def _buckets_of(spark: SparkSession, path: str) -> int:
+    return spark.read.schema("buckets int").json(f"{path}.layout").first()["buckets"]
 
 
-def write_content(docs: DataFrame, path: str) -> None:
-    """Documents by bucket of the repository id; a lookup reads one bucket."""
-    docs.withColumn("bucket", _bucket(F.col("repository_id"))).write.mode("overwrite").partitionBy("bucket").parquet(path)
+def _write_buckets_of(spark: SparkSession, path: str, buckets: int) -> None:
+    spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").json(f"{path}.layout")
+
+
+def write_content(docs: DataFrame, path: str, buckets: int = CONTENT_BUCKETS) -> None:
+    """Documents in buckets of the repository id, each id's rows together, with a Bloom filter on the id.
+
+    Rows are dealt by range of bucket, id and (where there is one) path: a bucket is one file or two, and a repository of any size spreads over
+    many. The number of buckets is stored beside the data, so it may follow the size of the store.
+    """
+    order = ["bucket", "repository_id", *(["path"] if "path" in docs.columns else [])]
+    dealt = docs.withColumn("bucket", _bucket(buckets, "repository_id")).repartitionByRange(buckets, *order).sortWithinPartitions(*order)
+    dealt.write.mode("overwrite").option("parquet.bloom.filter.enabled#repository_id", "true").option(
+        "parquet.block.size", 8 << 20).partitionBy("bucket").parquet(path)
+    _write_buckets_of(docs.sparkSession, path, buckets)
 
 
 def read_content(spark: SparkSession, path: str, rid: str) -> DataFrame:
-    bucket = spark.range(1).select(_bucket(F.lit(rid)).alias("b")).first()["b"]
+    """Documents of one repository: one bucket, and of its row groups those that may hold the id."""
+    bucket = spark.range(1).select(_bucket(_buckets_of(spark, path), F.lit(rid)).alias("b")).first()["b"]
     return spark.read.parquet(path).filter((F.col("bucket") == bucket) & (F.col("repository_id") == rid)).drop("bucket")
 
 
+def upsert_finding_buckets(spark: SparkSession, path: str, incoming: DataFrame, buckets: int = FINDING_BUCKETS) -> list[int]:
+    """Merge findings into a store in buckets of their key; returns the buckets that were read and rewritten.
+
+    The new rows are reduced and checkpointed first; only the buckets they fall into are read, joined and replaced, so cost
+    follows the new rows. The merged rows are checkpointed before the write, so no bucket is read while replaced.
+    """
+    ensure_checkpoint_dir(spark)
+    name = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.layout")
+    stored = name.getFileSystem(spark._jsc.hadoopConfiguration()).exists(name)
+    buckets = _buckets_of(spark, path) if stored else buckets
+    delta = reduced_findings(incoming).withColumn("bucket", _bucket(buckets, *FINDING_KEY)).checkpoint()
+    touched = sorted(r["bucket"] for r in delta.select("bucket").distinct().collect())  # at most ``buckets``
+    if not touched:
+        return []
+    old = spark.read.parquet(path).filter(F.col("bucket").isin(touched)) if stored else delta.limit(0)
+    merged = merge_findings(old, delta)
+    if stored:
+        merged = merged.checkpoint()
+    write_partitions(merged.withColumn("bucket", _bucket(buckets, *FINDING_KEY)), path, "bucket", tuple(FINDING_KEY))
+    if not stored:
+        _write_buckets_of(spark, path, buckets)
+    return touched
+
+
 def write_daily_metrics(spark: SparkSession, path: str, incoming: DataFrame, existing: DataFrame | None = None) -> None:
     """Upsert by (repository, date), rewriting only the dates that occur in ``incoming``.
 
@@ -91,7 +137,7 @@ def write_daily_metrics(spark: SparkSession, path: str, incoming: DataFrame, exi
         touched = existing.join(incoming.select("date").distinct(), "date", "left_semi")
         merged = upsert_daily_metrics(touched, incoming)
     ensure_checkpoint_dir(spark)
-    write_partitions(merged.checkpoint(), path, "date")
+    write_partitions(merged.checkpoint(), path, "date", ("repository_id",))
 
 
 def index_members(entries: DataFrame) -> DataFrame:

@@ -271,6 +271,18 @@ def score_all(t):
     return maintain.scored_flat(scored(t)).select("id", "score_overall", "health_status")
 
 
+@query("w04_saved", f"""
+    with {SCORE_INPUT_SQL} select id, overall as score_overall, coalesce(stars, -1) as stars from scored""", ("repos", "activity_facts"))
+def saved_scores(t):
+    """Records saved, scored in place of the stored ones, and read back."""
+    stored = nested(t("repos"))
+    spark = stored.sparkSession
+    old, new = scratch(spark, "w04"), scratch(spark, "w04")
+    store.save_records(spark, stored, old)
+    store.save_scores(spark, old, new, t("activity_facts"), FACTS_AS_OF)
+    return spark.read.parquet(f"{new}/records").select("id", F.col("score.overall").alias("score_overall"), F.coalesce("stars", F.lit(-1)).alias("stars"))
+
+
 @query("w05_refresh", f"""
     with {FRESH_SQL}, chosen as (select * from repos where {DUE_SQL} order by collected_at asc nulls first, id limit 1000)
     select c.id, c.owner, f.stars, 'https://github.com/' || substr(c.id, 8) as url, '{AS_OF}' as collected_at, {PUSH_SQL.replace('pushed_at', 'f.pushed_at')} as status from chosen c join fresh f on f.id = c.id""", ("repos",))
@@ -342,6 +354,19 @@ def run_extract(t):
     return maintain.extract(t("doc_repos"), repo_files(t), max_repositories=15, **LIMITS)["report"]
 
 
+@query("w07_extract_saved", RECURSIVE_KEPT + """, picked as (select id from doc_repos where score_overall >= 0 order by score_overall desc, id limit 15)
+    select 'report' as kind, concat_ws(' ', count(*), count(*) filter (where id in (select repository_id from kept)), count(*) filter (where id not like 'github:%')) as key, (select count(*) from kept where repository_id in (select id from picked)) as n from picked
+    union all select 'stored', repository_id, count(*) from kept where repository_id in (select id from picked) group by repository_id""", FILE_VIEWS)
+def saved_extraction(t):
+    made = maintain.extract(t("doc_repos"), repo_files(t), max_repositories=15, **LIMITS)
+    spark = made["documents"].sparkSession
+    path = scratch(spark, "w07")
+    report = store.save_extraction(spark, made, path, buckets=16)
+    shown = report.select(F.lit("report").alias("kind"), F.concat_ws(" ", "selected", "succeeded", "failed").alias("key"), F.col("documents").alias("n"))
+    stored = spark.read.parquet(f"{path}/content").groupBy(F.col("repository_id").alias("key")).agg(F.count("*").alias("n"))
+    return shown.unionByName(stored.select(F.lit("stored").alias("kind"), "key", "n"))
+
+
 @query("w07_trending", """
     select id, (select count(*) from repos where score_overall >= 75) as total from repos where score_overall >= 75 order by score_overall desc, id limit 10""", ("repos",))
 def top_trending(t):
@@ -363,6 +388,47 @@ def incremental_ingest(t):
     return ingest.current(spark, log).select("id", F.col("issues").alias("seq"))
 
 
+_PARENT = " ".join(f"when '{leaf}' then '{p}'" for leaf, p in PARTS.leaf_parent.items())
+
+
+@query("st1_ledger", f"""
+    with given as (select rid, unnest({CLASSIFIED_SQL}) as category from raw_ids), tree as (select category, case category {_PARENT} end as parent from given)
+    select 'records' as dataset, rid as key, cast(max(seq) as varchar) as detail from raw_ids group by rid
+    union all select distinct 'sources', rid || ' ' || source_repository, source_section from raw_ids
+    union all select distinct 'bridge', rid, category from given
+    union all select distinct 'categories', category, coalesce(parent, '') from tree
+    union all select distinct 'categories', parent, '' from tree where parent is not null
+    union all select 'open', '2', ''""", ("raw_ids",))
+def ledger_ingest(t):
+    """A batch, its replay, a batch that lands during compaction, and one after it: all tables over the last base and the log."""
+    rows = raw_records(t).withColumns({"issues": F.col("seq"), "collected_at": F.timestamp_seconds("seq")})
+    spark = rows.sparkSession
+    base = scratch(spark, "st1")
+    landing, log, check = f"{base}/landing", f"{base}/log", f"{base}/checkpoint"
+    urgent = F.col("sources")[0]["section"].isin("1-URGENT", "2-HIGH")
+    body = rows.select(*REPOSITORY.fieldNames())
+
+    def arrive(part):
+        part.write.mode("append").json(landing)
+        ingest.start(spark, landing, log, check, PARTS).awaitTermination()
+
+    arrive(body.filter(~urgent))
+    ingest.land(body.filter(~urgent), 0, log, check, PARTS)  # replayed: entered before
+    ingest.compact(spark, log, None, f"{base}/v1")
+    arrive(body.filter(urgent))  # lands before the folded batches are dropped
+    ingest.drop_folded(spark, log, f"{base}/v1")
+    ingest.compact(spark, log, f"{base}/v1", f"{base}/v2")
+    arrive(body.filter(urgent))
+    ingest.drop_folded(spark, log, f"{base}/v2")
+    read = lambda name: ingest.current(spark, log, f"{base}/v2", name)
+    shown = read("records").select(F.lit("records").alias("dataset"), F.col("id").alias("key"), text("issues", "detail"))
+    for name, key, detail in (("sources", F.concat_ws(" ", "repository_id", "source_repository"), F.col("source_section")),
+                              ("bridge", F.col("repository_id"), F.col("category")), ("categories", F.col("name"), F.coalesce("parent", F.lit("")))):
+        shown = shown.unionByName(read(name).select(F.lit(name).alias("dataset"), key.alias("key"), detail.alias("detail")))
+    waiting = spark.createDataFrame([("open", str(n), "") for n in ingest.open_batches(spark, log, f"{base}/v2")], "dataset string, key string, detail string")
+    return shown.unionByName(waiting)
+
+
 # --- flagship: the best records of every category
 
 _BEST_SQL = SCORE_INPUT_SQL.replace(

@@ -236,13 +236,33 @@ def upsert_daily_metrics(t):
     return back.select("repository_id", text("date"), text("stars"), "forks", "issues")
 
 
-@query("s16_upsert_findings", """
+_FINDINGS_MERGED = """
     with both_sides as (
         select 'GHSA-' || s_suppkey as advisory_id, 'PyPI' as package, 'old' as severity, 'old summary' as summary, 'old url' as url, -1 as seq from supplier
         union all select osv_id, coalesce(ecosystem, ''), coalesce(score2, ''), coalesce(summary, ''), alias1, seq from advisories)
     select 'osv' as source, advisory_id, package, '' as repository_id, arg_max(severity, seq) as severity, arg_max(summary, seq) as summary, arg_min(url, seq) as url
-    from both_sides group by advisory_id, package""", ("advisories",))
+    from both_sides group by advisory_id, package"""
+
+
+@query("s16_upsert_findings", _FINDINGS_MERGED, ("advisories",))
 def upsert_findings(t):
+    return keyed.upsert_findings(*old_and_new_findings(t)).select("source", "advisory_id", "package", "repository_id", "severity", "summary", "url")
+
+
+@query("s16_bucketed_upsert", _FINDINGS_MERGED, ("advisories",))
+def bucketed_upsert(t):
+    """Old findings stored in buckets, then the new ones in two runs, the first of them once more."""
+    old, new = old_and_new_findings(t)
+    spark, path = old.sparkSession, scratch(old.sparkSession, "s16")
+    tables.upsert_finding_buckets(spark, path, old.withColumn("seq", F.lit(None).cast("bigint")))
+    median = new.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    early = new.filter(F.col("seq") <= median)
+    for part in (early, early, new.filter(F.col("seq") > median)):
+        tables.upsert_finding_buckets(spark, path, part)
+    return spark.read.parquet(path).select("source", "advisory_id", "package", "repository_id", "severity", "summary", "url")
+
+
+def old_and_new_findings(t):
     none = F.array().cast("array<string>")
     old = t("supplier").select(
         F.lit("osv").alias("source"), F.concat(F.lit("GHSA-"), "s_suppkey").alias("advisory_id"), F.lit("PyPI").alias("package"),
@@ -254,8 +274,7 @@ def upsert_findings(t):
         F.lit(None).cast("string").alias("repository_id"), F.lit("").alias("ecosystem"), F.coalesce("score2", F.lit("")).alias("severity"),
         F.coalesce("summary", F.lit("")).alias("summary"), F.col("alias1").alias("url"), none.alias("cve_ids"),
         F.lit(AS_OF).cast("timestamp").alias("observed_at"), "seq")
-    return keyed.upsert_findings(old, new).select(
-        "source", "advisory_id", "package", "repository_id", "severity", "summary", "url")
+    return old, new
 
 
 def _stored(t):
