@@ -25,19 +25,24 @@ def generate(flat: DataFrame, bridge: DataFrame, categories: DataFrame, generate
 
 def publish(flat: DataFrame, bridge: DataFrame, categories: DataFrame, path: str, date: str,
             generated_at: str | None = None) -> bool:
-    """Write all datasets; without records existing output is left alone."""
+    """Write all datasets; without records existing output is left alone.
+
+    The placed entries are sorted once; reports, index lists and snapshot are read off that order.
+    """
     if flat.isEmpty():
         return False
-    made = generate(flat, bridge, categories, generated_at)
-    entries = made["entries"].persist()
-    try:
-        for name in ("sitemap", "index_text", "agent_guide", "category_index"):
-            reports.write_lines(made[name], f"{path}/{name}")
-        tables.write_index(entries, flat, f"{path}/index")
-        tables.write_snapshot(flat, f"{path}/daily", date)
-        tables.write_snapshot(entries, f"{path}/daily_entries", date)
+    placed = reports.tree_entries(catalog.placed(flat, bridge, categories)).persist()
+    try:  # headings and totals of the layout read the entries too
+        layout = reports.ordered_layout(placed, generated_at)
     finally:
-        entries.unpersist()
+        placed.unpersist()
+    entries = reports.layout_entries(layout).drop("row", "slice")
+    for name in ("sitemap", "index_text", "category_index"):
+        reports.layout_lines(layout, name).write.mode("overwrite").text(f"{path}/{name}")
+    reports.write_lines(reports.agent_guide_lines(entries, catalog.stats(flat)), f"{path}/agent_guide")
+    tables.write_index(entries, flat, f"{path}/index", layout)
+    tables.write_snapshot(flat, f"{path}/daily", date)
+    tables.write_snapshot(entries, f"{path}/daily_entries", date)
     return True
 
 

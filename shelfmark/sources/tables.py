@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..operators.keyed import FINDING_KEY, latest_per_key, merge_findings, reduced_findings, upsert_daily_metrics
 from ..operators.ranking import best_first, position_in_group
 from ..operators.records import complete
+from ..operators.reports import layout_entries
 from ..schemas import FINDING, REPOSITORY
 from ..session import ensure_checkpoint_dir
 
@@ -171,9 +172,23 @@ def slim_records(flat: DataFrame) -> DataFrame:
         F.col("score_overall").alias("score"), F.col("health_status").alias("health"))
 
 
-def write_index(entries: DataFrame, flat: DataFrame, path: str) -> None:
+def layout_positions(layout: DataFrame) -> DataFrame:
+    """``(parent, leaf, position, id)`` from the rows of an ordered layout: row numbers less the first of the group, plus the
+    group's rows in earlier partitions. Only the counts per (partition, group) are grouped."""
+    rows = layout_entries(layout).select("slice", "row", "parent", F.col("category").alias("leaf"), "id")
+    spans = rows.groupBy("slice", "parent", "leaf").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("parent", "leaf").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spans.select("slice", "parent", "leaf", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    same = ["slice", "parent", "leaf"]
+    joined = rows.alias("r").join(offsets.alias("o"), [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in same])
+    position = (F.col("r.row") - F.col("o.first") + F.col("o.before") + 1).cast("bigint")
+    return joined.select("r.parent", "r.leaf", position.alias("position"), "r.id")
+
+
+def write_index(entries: DataFrame, flat: DataFrame, path: str, layout: DataFrame | None = None) -> None:
     """Rows are dealt by range down to the position, so a parent of any size is written by many tasks."""
-    index_lists(entries).repartitionByRange("parent", "leaf", "position").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
+    members = layout_positions(layout) if layout is not None else index_lists(entries)
+    members.repartitionByRange("parent", "leaf", "position").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
     index_parents(entries).repartitionByRange("parent", "position").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/parents")
     slim_records(flat).write.mode("overwrite").parquet(f"{path}/repositories")
     flat.agg(F.count("*").alias("total")).write.mode("overwrite").json(f"{path}/totals")

@@ -112,3 +112,23 @@ def test_content_lookup_reads_few_row_groups(spark, tmp_path):
         assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     tables.write_content(docs.limit(10), path, buckets=3)
     assert spark.read.json(f"{path}.layout").first()["buckets"] == 3
+
+
+def test_published_texts_come_from_one_sort_in_order(spark, tmp_path):
+    from shelfmark.operators import reports
+    from shelfmark.plans import publish
+
+    rows = [(f"github:o/{i}", "o", str(i), "u", None if i % 5 else " about ", i % 3 * 10, None, float(i % 4), None) for i in range(300)]
+    flat = spark.createDataFrame(rows, "id string, owner string, name string, url string, description string, stars bigint, language string, score_overall double, health_status string")
+    bridge = spark.createDataFrame([(f"github:o/{i}", c) for i in range(290) for c in (["Leaf"] if i % 3 else ["Other", "Top"])], "repository_id string, category string")
+    cats = spark.createDataFrame([("Leaf", "Top"), ("Other", "Top"), ("Top", "Top")], "name string, parent string")
+    assert publish.publish(flat, bridge, cats, str(tmp_path / "out"), "2026-01-01", "now")
+    made = publish.generate(flat, bridge, cats, "now")
+    for name in ("sitemap", "index_text", "category_index"):
+        expected = [r["line"] for r in made[name].orderBy(*reports.ORDER).collect()]
+        got = [line for f in sorted((tmp_path / "out" / name).glob("part-*")) for line in f.read_text().splitlines()]
+        assert got == expected
+    layout = reports.ordered_layout(made["entries"], "now")
+    positions = {tuple(r) for r in tables.layout_positions(layout).collect()}
+    assert positions == {(r["parent"], r["leaf"], r["position"], r["id"]) for r in tables.index_lists(made["entries"]).collect()}
+    assert "Exchange" not in reports.layout_lines(layout, "sitemap")._jdf.queryExecution().executedPlan().toString()

@@ -335,6 +335,29 @@ def generate(t):
     return out
 
 
+@query("w06_layout_lines", f"""
+    with {entries_sql()}, lines as (
+        select 'sitemap' as report, '# Catalog tree' as line union all select 'index_text', '# Catalog lines' union all select 'index_text', '> One line for each record.'
+        union all select 'category_index', '# Leaves and ids'
+        union all select unnest(['sitemap', 'index_text']), 'Records: ' || n from (select count(distinct id) as n from entries)
+        union all select unnest(['sitemap', 'index_text', 'category_index']), '## ' || parent from (select distinct parent from entries)
+        union all select unnest(['sitemap', 'index_text']), '### ' || category from (select distinct parent, category from entries where category <> parent)
+        union all select 'sitemap', '- [' || name || '](' || url || ') - ' || format('{{:,}}', stars) || ' stargazers, points ' || case when score = 0 then '0' else cast(score as varchar) end from entries
+        union all select 'index_text', '- [' || name || '](' || url || '): ' || trim(case when coalesce(description, '') = '' then '(no text)' else description end) from entries
+        union all select 'category_index', '- ' || id from entries)
+    select report, line, count(*) as n from lines group by report, line""", ENTRY_VIEWS)
+def layout_lines(t):
+    """All lines of the three reports that are read off one ordered layout, as published."""
+    flat = t("repos")
+    spark, path = flat.sparkSession, scratch(flat.sparkSession, "w06")
+    publish.publish(flat, t("bridge"), t("categories"), path, "2001-08-02")
+    out = None
+    for name in ("sitemap", "index_text", "category_index"):
+        lines = spark.read.text(f"{path}/{name}").select(F.lit(name).alias("report"), F.col("value").alias("line"))
+        out = lines if out is None else out.unionByName(lines)
+    return out.groupBy("report", "line").agg(F.count("*").alias("n"))
+
+
 @query("w07_diff", f"with {OLD_NEW} {SUMMARY_SQL}", ("snapshots",))
 def run_diff(t):
     return publish.diff_report(t("snapshots"), DATE1, DATE2, DIFF_AS_OF)["summary"]
