@@ -80,54 +80,89 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = LENGTH) ->
 def price_pattern(values: np.ndarray, supply: np.ndarray, room: int) -> dict[int, int]:
     """The most valuable pattern of at most ``room`` tokens: knapsack by dynamic programming.
 
-    ``values`` and ``supply`` are indexed by length. A length may be taken once, and a second time where there
-    are two; best[c] is the value of the best pattern within c tokens.
+    ``values`` and ``supply`` are indexed by length. A length may be taken as often as there are pieces of it and room for
+    them; its copies are cut into lots of 1, 2, 4 ... so that any number is a choice of lots. best[c] is the value of the best
+    pattern within c tokens.
     """
-    items = np.flatnonzero(supply)
-    items = np.concatenate((items[::-1], items[(supply[items] > 1) & (items * 2 <= room)][::-1]))
-    best, taken = np.zeros(room + 1), np.zeros((len(items), room + 1), bool)
-    for i, size in enumerate(items):
-        better = best[:-size] + values[size]
-        taken[i, size:] = better > best[size:]
-        np.maximum(best[size:], better, out=best[size:])
+    lots = []
+    for size in np.flatnonzero(supply)[::-1].tolist():
+        copies, lot = min(int(supply[size]), room // size), 1
+        while copies > 0:
+            lots.append((size, min(lot, copies)))
+            copies, lot = copies - lot, lot * 2
+    best, taken = np.zeros(room + 1), np.zeros((len(lots), room + 1), bool)
+    for i, (size, n) in enumerate(lots):
+        span = size * n
+        better = best[:-span] + values[size] * n
+        taken[i, span:] = better > best[span:]
+        np.maximum(best[span:], better, out=best[span:])
     pattern, left = Counter(), room
-    for i in range(len(items) - 1, -1, -1):
+    for i in range(len(lots) - 1, -1, -1):
         if taken[i, left]:
-            pattern[int(items[i])] += 1
-            left -= int(items[i])
+            size, n = lots[i]
+            pattern[size] += n
+            left -= size * n
     return dict(pattern)
 
 
-def solve(histogram: dict[int, int], room: int, rounds: int = 120, rate: float = 0.5) -> list[tuple[dict[int, int], int]]:
-    """Patterns with whole multiplicities that hold every item of the histogram exactly once.
+Patterns = list[tuple[dict[int, int], int]]
+
+
+def _take(pattern: dict[int, int], times: int, left: np.ndarray, made: Patterns) -> None:
+    """Place a pattern up to ``times``, as far as pieces are left."""
+    times = min([times, *(int(left[s]) // n for s, n in pattern.items())])
+    if times > 0 and pattern:
+        for s, n in pattern.items():
+            left[s] -= n * times
+        made.append((pattern, times))
+
 
-    The configuration program (fewest patterns that cover each length's count) is treated by multiplicative
-    weights: each round prices a pattern with the lengths' weights by a knapsack, takes it for a share ``rate`` of its
-    scarcest length, and lowers the weights of what it covers in proportion to the share covered. Multiplicities are
-    rounded down as they are taken; what is left over, of bounded variety, is put best-fit, longest first, with equal
-    bins handled at once. The work depends on ``room`` and ``rounds``, not on the number of documents.
+def _fractional(total: np.ndarray, room: int, rounds: int, step: float = 0.1) -> Patterns:
+    """The configuration program over fractional multiplicities, by multiplicative weights, rounded down.
+
+    Covered shares start at 0. Each round prices the best pattern under weights exp(-share / step) / count, gives it the
+    multiplicity that covers ``step`` of its scarcest length, and raises the shares of what it holds. In the end the
+    multiplicities are scaled so that no length is covered more than once, and rounded down; what that leaves is peeled.
     """
-    left = np.zeros(room + 1, np.int64)
-    for size, n in histogram.items():
-        left[size] = n
-    total, made = left.copy(), []
-    if left[room]:
-        made.append(({room: 1}, int(left[room])))
-        left[room] = 0
-    weights = np.ones(room + 1)
-    lengths = np.arange(room + 1)
+    sizes = np.flatnonzero(total)
+    share, x = np.zeros(room + 1), Counter()
+    lots = sum(max(1, room // int(size)).bit_length() for size in sizes)
+    for _ in range(max(rounds, 100_000 // lots)):  # with few lengths a round is cheap, and each must be covered often
+        weights = np.zeros(room + 1)
+        weights[sizes] = np.exp(-(share[sizes] - share[sizes].min()) / step) / total[sizes]
+        pattern = price_pattern(weights, total, room)
+        amount = step * min(total[s] / n for s, n in pattern.items())
+        for s, n in pattern.items():
+            share[s] += n * amount / total[s]
+        x[tuple(sorted(pattern.items()))] += amount
+    cover = share[sizes].max()
+    left, made = total.copy(), []
+    for items, amount in sorted(x.items(), key=lambda e: -e[1]):
+        _take(dict(items), int(amount / cover), left, made)
+    return made + _peeled(left, room, rounds, 0.5, 0.0)
+
+
+def _peeled(total: np.ndarray, room: int, rounds: int, rate: float, least: float) -> Patterns:
+    """Patterns priced by length times weight, each placed at once for a share ``rate`` of its scarcest length, while the
+    best one is at least ``least`` full."""
+    left, made = total.copy(), []
+    weights, lengths = np.ones(room + 1), np.arange(room + 1)
     for _ in range(rounds):
         if left.sum() < 64 or np.count_nonzero(left) < 2:
             break
         pattern = price_pattern(lengths * weights, left, room)
-        if sum(k * v for k, v in pattern.items()) < room * 0.999:
-            break  # full patterns have run out; best fit takes over
+        if sum(s * n for s, n in pattern.items()) < room * least:
+            break
         times = max(1, int(rate * min(left[s] // n for s, n in pattern.items())))
         for s, n in pattern.items():
-            left[s] -= n * times
             weights[s] *= (1 - 0.1) ** (n * times / max(1, total[s]) * 4)
-        made.append((pattern, times))
-    open_bins: dict[int, list[tuple[dict[int, int], int]]] = {}
+        _take(pattern, times, left, made)
+    return made
+
+
+def _best_fit(left: np.ndarray, room: int) -> Patterns:
+    """What rounding leaves, longest first into the fullest sequence that has room; equal sequences are handled at once."""
+    open_bins: dict[int, Patterns] = {}
     for size in range(room, 0, -1):
         need = int(left[size])
         while need:
@@ -148,8 +183,45 @@ def solve(histogram: dict[int, int], room: int, rounds: int = 120, rate: float =
                 open_bins.setdefault(space, []).append((pattern, bins - use))
             open_bins.setdefault(space - fit * size, []).append((pattern | {size: pattern.get(size, 0) + fit}, use))
             need -= fit * use
-    made += [entry for entries in open_bins.values() for entry in entries]
-    return [(pattern, times) for pattern, times in made if times]
+    return [(pattern, times) for entries in open_bins.values() for pattern, times in entries if times]
+
+
+def least_sequences(histogram: dict[int, int], room: int) -> int:
+    """A bound from below: all tokens, and pieces of which no two fit together."""
+    return max(-(-sum(s * n for s, n in histogram.items()) // room), sum(n for s, n in histogram.items() if 2 * s > room))
+
+
+def solve(histogram: dict[int, int], room: int, rounds: int = 120) -> Patterns:
+    """Patterns with whole multiplicities that hold every item of the histogram exactly once.
+
+    The configuration program (fewest patterns that cover each length's count) is solved by multiplicative weights with
+    knapsack pricing: over fractional multiplicities, rounded down, and with multiplicities rounded as they are taken, full
+    patterns first or any. What rounding leaves is put best-fit. The solution with the fewest sequences counts; one that
+    meets the bound from below ends the search. The work depends on ``room`` and ``rounds``, not on the number of documents.
+    """
+    total = np.zeros(room + 1, np.int64)
+    for size, n in histogram.items():
+        total[size] = n
+    whole = [({room: 1}, int(total[room]))] if total[room] else []
+    total[room] = 0
+    bound = least_sequences({int(s): int(total[s]) for s in np.flatnonzero(total)}, room)
+    if not bound:
+        return whole
+    ways = (lambda: _peeled(total, room, rounds, 0.5, 0.999), lambda: _peeled(total, room, 4 * rounds, 0.5, 0.0),
+            lambda: _peeled(total, room, 4 * rounds, 1.0, 0.0), lambda: _fractional(total, room, 4 * rounds), lambda: [])
+    best = None
+    for way in ways:
+        made = way()
+        left = total.copy()
+        for pattern, times in made:
+            for s, n in pattern.items():
+                left[s] -= n * times
+        made = made + _best_fit(left, room)
+        if best is None or sum(t for _, t in made) < sum(t for _, t in best):
+            best = made
+        if sum(t for _, t in best) == bound:
+            break
+    return whole + best
 
 
 def place_table(patterns: list[tuple[dict[int, int], int]], room: int) -> dict[str, np.ndarray]:

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -58,6 +59,32 @@ def test_solution_holds_every_item_once(histogram):
     assert sum(t for _, t in patterns) <= max(1, 2 * total // 64 + 1)
 
 
+def test_planted_packings_are_found():
+    def used(histogram):
+        return sum(t for _, t in packing.solve(histogram, 2048))
+
+    assert used({603: 1048, 861: 1048, 571: 1048}) == 1048
+    assert used({500: 3000, 548: 1000}) == 1000
+    rng, over = random.Random(1), []
+    for _ in range(12):
+        histogram, planted = Counter(), 0
+        for _ in range(rng.choice([1, 2, 3])):
+            cuts = sorted(rng.sample(range(1, 2048), rng.choice([1, 2, 3])))
+            n = rng.choice([64, 300, 1000])
+            planted += n
+            histogram.update({b - a: n for a, b in zip([0, *cuts], [*cuts, 2048])})
+        over.append(used(dict(histogram)) / planted - 1)
+    assert max(over) <= 0.04 and sum(x <= 0.002 for x in over) >= 9
+
+
+def test_patterns_take_a_length_as_often_as_it_fits_and_is_there():
+    supply = np.zeros(101, np.int64)
+    supply[[30, 10, 7]] = 5, 2, 9
+    pattern = packing.price_pattern(np.arange(101, dtype=float), supply, 100)
+    assert sum(s * n for s, n in pattern.items()) == 100 and all(n <= supply[s] for s, n in pattern.items())
+    assert packing.least_sequences({60: 3, 10: 1}, 100) == 3 and packing.solve({}, 100) == []
+
+
 def test_packing_is_a_partition_of_all_ids(edge, nothing):
     rows = packing.pack(edge).collect()
     ids = packing.ids_of(packing.TOKENIZER)
