@@ -207,8 +207,8 @@ def solve(histogram: dict[int, int], room: int, rounds: int = 120) -> Patterns:
     bound = least_sequences({int(s): int(total[s]) for s in np.flatnonzero(total)}, room)
     if not bound:
         return whole
-    ways = (lambda: _peeled(total, room, rounds, 0.5, 0.999), lambda: _peeled(total, room, 4 * rounds, 0.5, 0.0),
-            lambda: _peeled(total, room, 4 * rounds, 1.0, 0.0), lambda: _fractional(total, room, 4 * rounds), lambda: [])
+    ways = (lambda: _peeled(total, room, rounds, 0.5, 0.999), lambda: _peeled(total, room, rounds, 0.5, 0.0),
+            lambda: _peeled(total, room, rounds, 1.0, 0.0), lambda: _fractional(total, room, rounds), lambda: [])
     best = None
     for way in ways:
         made = way()
