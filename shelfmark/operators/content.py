@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as K
@@ -11,8 +14,6 @@ from ..schemas import DOCUMENT
 from .catalog import min_score
 from .keyed import with_rank
 
-_SLOT = "struct<listing_no:int,file_order:bigint>"
-
 
 def select_records(records: DataFrame, least_score: float = 0.0, n: int = K.MAX_REPOSITORIES) -> DataFrame:
     """Records at or above a score, best first, capped."""
@@ -50,31 +51,32 @@ def within_budget(
     Input ``(repository_id, listing_no, file_order, bytes)``, output the kept keys. A file can be
     taken only if every earlier file of its listing and size was taken: had one been refused for
     lack of room, this one would be too. So of each size only the first ``per_listing`` files, and
-    the first ``budget / size``, matter. Keeping those is exact, and bounds the array of one
-    repository by listings x (sum over sizes of that minimum) however many files it has; the first
-    limit is applied on the map side.
+    the first ``budget / size``, matter; the first limit is applied on the map side. What is left
+    of a repository, which the parameters bound however many files it has, is sorted (and spills
+    where it must) and streams past one running state: bytes used, listing, files taken of it.
     """
     fits = sizes.filter(F.col("bytes") <= budget)
     ranked = with_rank(fits, ["repository_id", "listing_no", "bytes"], [F.asc("file_order")], per_listing)
-    useful = ranked.filter(F.col("rank") * F.col("bytes") <= budget).drop("rank")
-    queued = useful.groupBy("repository_id").agg(
-        F.array_sort(F.collect_list(F.struct("listing_no", "file_order", "bytes"))).alias("queue"))
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("used"), F.lit(-1).alias("listing"), F.lit(0).alias("files"),
-        F.array().cast(f"array<{_SLOT}>").alias("kept"))
-
-    def take(state, f):
-        in_listing = F.when(state["listing"] == f["listing_no"], state["files"]).otherwise(F.lit(0))
-        ok = (in_listing < per_listing) & (state["used"] + f["bytes"] <= budget)
-        slot = F.struct(f["listing_no"].alias("listing_no"), f["file_order"].alias("file_order"))
-        return F.struct(
-            (state["used"] + F.when(ok, f["bytes"]).otherwise(F.lit(0))).cast("bigint").alias("used"),
-            f["listing_no"].alias("listing"),
-            F.when(ok, in_listing + 1).otherwise(in_listing).cast("int").alias("files"),
-            F.when(ok, F.concat(state["kept"], F.array(slot))).otherwise(state["kept"]).alias("kept"))
-
-    folded = queued.withColumn("kept", F.aggregate("queue", start, take)["kept"])
-    return folded.select("repository_id", F.explode("kept").alias("k")).select("repository_id", "k.*")
+    useful = ranked.filter(F.col("rank") * F.col("bytes") <= budget)
+    keys = useful.select("repository_id", F.col("listing_no").cast("int"), F.col("file_order").cast("bigint"), F.col("bytes").cast("bigint"))
+    ordered = keys.repartition("repository_id").sortWithinPartitions("repository_id", "listing_no", "file_order", "bytes")
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owner, listing, used, files = None, None, 0, 0
+        for batch in batches:
+            kept = []
+            for repository, number, size in zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)), strict=True):
+                if repository != owner:
+                    owner, listing, used = repository, None, 0
+                if number != listing or listing is None:
+                    listing, files = number, 0
+                taken = files < per_listing and used + size <= budget
+                if taken:
+                    used, files = used + size, files + 1
+                kept.append(taken)
+            yield batch.filter(pa.array(kept, pa.bool_())).select([0, 1, 2])
+
+    return ordered.mapInArrow(take, "repository_id string, listing_no int, file_order bigint")
 
 
 def usable_id(column: str = "id"):

@@ -150,6 +150,17 @@ def test_budget_equals_plain_greedy(spark, seed, budget, per_listing):
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(g) for k, f in repos.items() if (g := _greedy(f, budget, per_listing))}
 
 
+def test_budget_of_many_distinct_sizes(spark):
+    n = 100_000
+    files = [(k % 6, k, 1 + (k * 7919) % n) for k in range(n)]  # every size once
+    df = spark.createDataFrame([("big", *f) for f in files] + [("small", 0, 0, 5)], "repository_id string, listing_no int, file_order bigint, bytes bigint")
+    kept = content.within_budget(df, 30_000_000, 150)
+    assert "collect_list" not in kept._jdf.queryExecution().toString()
+    got = sorted((r["listing_no"], r["file_order"]) for r in kept.filter("repository_id = 'big'").collect())
+    assert got == sorted(_greedy(files, 30_000_000, 150)) and len(got) > 500
+    assert kept.filter("repository_id = 'small'").count() == 1
+
+
 def test_first_owner_and_vendor_only_match(spark):
     recs = spark.createDataFrame([("github:a/x", "X_Y", 1, 5), ("github:b/x", "x-y", 0, 5), ("github:c/v", "vend", 2, 5), ("github:d/z", "zz", 3, 0)], "id string, name string, seq bigint, stars bigint")
     owners = findings.package_owners(catalog.min_stars(recs, 1))
