@@ -135,6 +135,7 @@ MIN_FORKS = 0
 # Markdown patterns. (?d) keeps "\n" the only line end, (?m) anchors per line.
 LINK_PATTERN = r"\[([^\]]*)\]\(([^)]+)\)"
 HEADING_PATTERN = r"(?dm)^#{1,6}\s+(.+)$"
+ITEM_LINK_PATTERN = r"^[\s\-\*]*\[?([^\]]*)\]?\s*\((https?://[^)]+)\)"
 BARE_URL_PATTERN = r"(?i)(https?://github\.com/[a-zA-Z0-9_.-]+/[a-zA-Z0-9_.-]+)"
 BARE_URL_PATTERN_EXACT = r"(https?://github\.com/[a-zA-Z0-9_.-]+/[a-zA-Z0-9_.-]+)"
 BRACKET_URL_PATTERN = r"<(https://github\.com/[a-zA-Z0-9_.-]+/[a-zA-Z0-9_.-]+)>"

@@ -10,7 +10,6 @@ from ..functions.text import strip
 from ..functions.urls import id_from_link, id_from_url, normalize_url, repository_id
 from .keyed import first_per_key
 
-_ITEM_LINK = r"^[\s\-\*]*\[?([^\]]*)\]?\s*\((https?://[^)]+)\)"
 _SMALL_HEADING = r"(?d)^#{5,6}[^\S\n]+.+$"
 _HEADING_LINE = r"(?d)^#{1,6}[^\S\n]+(.+)$"
 
@@ -107,7 +106,7 @@ def sectioned_repositories(docs: DataFrame) -> DataFrame:
     def item(line: Column, i: Column) -> Column:
         url = F.regexp_extract(line, K.BARE_URL_PATTERN, 1)
         trimmed = strip(line)
-        name = F.when(trimmed.rlike(_ITEM_LINK), strip(F.regexp_extract(trimmed, _ITEM_LINK, 1))).otherwise(url)
+        name = F.when(trimmed.rlike(K.ITEM_LINK_PATTERN), strip(F.regexp_extract(trimmed, K.ITEM_LINK_PATTERN, 1))).otherwise(url)
         useful = (url != "") & ~line.rlike(_SMALL_HEADING)
         return F.when(useful, F.struct(i.cast("bigint").alias("line_no"), normalize_url(url).alias("url"), name.alias("name")))
 
@@ -116,20 +115,21 @@ def sectioned_repositories(docs: DataFrame) -> DataFrame:
         "list_id", "section_no", "section", "r.line_no", "r.url", "r.name")
 
 
-def mention_sections(docs: DataFrame) -> DataFrame:
-    """``(list_id, name, section)``: section of the first body line with ``/name`` in it.
+def _read_once(docs: DataFrame) -> DataFrame:
+    """Mentions with ids and names as ``found``, and ``hits``: names of each section's body behind a slash.
 
     Works from hash sets instead of pairing lines with names: every text piece behind a slash is
     cut to the lengths that occur among the document's names, and the cuts are intersected with
-    the names. The work is linear in the text, and only hits leave the row.
+    the names. The work is linear in the text, every pattern runs once, and nothing leaves the row.
     """
     md = "markdown"
-    ids = F.concat(*[F.transform(urls, id_from_link) for urls in (
-        F.transform(M.links(md), lambda l: l["url"]), M.bare_urls(md), M.bracket_urls(md))])
-    names = F.array_distinct(F.array_compact(F.transform(ids, lambda i: F.substring_index(i, "/", -1))))
-    prepared = docs.select(
-        "list_id", names.alias("names"), M.section_blocks(md, deepest=6).alias("blocks")).withColumn(
-        "lengths", F.array_distinct(F.transform("names", F.length)))
+    mentions = F.concat(
+        _tagged("link", 0, M.links(md), True), _tagged("raw_url", 1, M.bare_urls(md)), _tagged("ossfuzz", 2, M.bracket_urls(md)))
+    ids = F.transform(mentions, lambda m: F.struct(m["gen"].alias("gen"), m["pos"].alias("pos"), id_from_link(m["url"]).alias("repo_id")))
+    named = F.transform("ids", lambda m: F.struct(m["repo_id"].alias("repo_id"), m["gen"].alias("gen"), m["pos"].alias("pos"), F.substring_index(m["repo_id"], "/", -1).alias("name")))
+    read = docs.withColumns({"ids": F.filter(ids, lambda m: m["repo_id"].isNotNull()), "blocks": M.section_blocks(md, deepest=6)}).drop(md)
+    sorted_ = read.withColumn("found", F.array_sort(named)).withColumn("names", F.array_distinct(F.transform("found", lambda m: m["name"])))
+    sized = sorted_.withColumn("lengths", F.array_distinct(F.transform("names", F.length)))
 
     def block_hits(block: Column, i: Column) -> Column:
         first = M.first_line(block)
@@ -144,7 +144,12 @@ def mention_sections(docs: DataFrame) -> DataFrame:
             F.when(headed, strip(F.regexp_extract(first, _HEADING_LINE, 1))).otherwise("").alias("section"),
             F.array_intersect(F.col("names"), cuts).alias("hits"))
 
-    hits = prepared.select("list_id", F.explode(F.transform("blocks", block_hits)).alias("b")).select(
+    return sized.withColumn("hits", F.transform("blocks", block_hits)).drop("ids", "blocks", "lengths", "names")
+
+
+def mention_sections(docs: DataFrame) -> DataFrame:
+    """``(list_id, name, section)``: section of the first body line with ``/name`` in it."""
+    hits = _read_once(docs.select("list_id", "markdown")).select("list_id", F.explode("hits").alias("b")).select(
         "list_id", "b.section_no", "b.section", F.explode("b.hits").alias("name"))
     return hits.groupBy("list_id", "name").agg(F.min(F.struct("section_no", "section")).alias("f")).select(
         "list_id", "name", "f.section")
@@ -152,15 +157,32 @@ def mention_sections(docs: DataFrame) -> DataFrame:
 
 def list_members(docs: DataFrame) -> DataFrame:
     """References of lists ``(list_id, owner, repo, markdown)``: no self reference, first of each
-    id, with the section that mentions it."""
-    rows = _all_mentions(docs).filter(F.col("repo_id") != repository_id("owner", "repo"))
-    firsts = first_per_key(rows, ["list_id", "repo_id"], [F.asc("gen"), F.asc("pos")])
-    named = firsts.withColumn("name", F.substring_index("repo_id", "/", -1))
+    id, with the section that mentions it.
+
+    Mentions and sections come from one pass over the text and meet in one shuffle on list and
+    name; an id determines its name, so choosing the first of an id needs no other.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    # Sorted by id and place: a mention is the first of its id in the row where its left neighbour has another.
+    first = lambda m, i: (i == 0) | ~F.get(F.col("found"), i - 1)["repo_id"].eqNullSafe(m["repo_id"])
+    mention = lambda m: F.struct(
+        m["name"].alias("name"), m["repo_id"].alias("repo_id"), m["gen"].alias("gen"), m["pos"].alias("pos"), none("struct<section_no:bigint,section:string>").alias("at"))
+    hit = lambda b: F.transform(b["hits"], lambda n: F.struct(
+        n.alias("name"), none("string").alias("repo_id"), none("int").alias("gen"), none("bigint").alias("pos"),
+        F.struct(b["section_no"].alias("section_no"), b["section"].alias("section")).alias("at")))
+    self_id = repository_id("owner", "repo")
+    both = F.concat(F.transform(F.filter("found", first), mention), F.flatten(F.transform("hits", hit)))
+    rows = _read_once(docs.select("list_id", "owner", "repo", "markdown")).select(
+        "list_id", F.concat_ws("/", "owner", "repo").alias("parent_list"), self_id.alias("__self"), F.explode(both).alias("r")).select(
+        "list_id", "parent_list", "__self", "r.*")
+    placed = rows.withColumn("at", F.min("at").over(Window.partitionBy("list_id", "name"))).filter(
+        F.col("repo_id") != F.col("__self"))
+    firsts = first_per_key(placed, ["list_id", "name", "repo_id"], [F.asc("gen"), F.asc("pos")])
     owner = F.substr(F.substring_index("repo_id", "/", 1), F.lit(len(K.PLATFORM) + 2))
     path = F.substr("repo_id", F.lit(len(K.PLATFORM) + 2))
-    return named.join(mention_sections(docs), ["list_id", "name"], "left").select(
-        "list_id", F.lit("awesome-list").alias("source"), F.concat_ws("/", "owner", "repo").alias("parent_list"),
-        "repo_id", F.coalesce("section", F.lit("")).alias("section"), owner.alias("owner"), "name",
+    return firsts.select(
+        "list_id", F.lit("awesome-list").alias("source"), "parent_list",
+        "repo_id", F.coalesce("at.section", F.lit("")).alias("section"), owner.alias("owner"), "name",
         F.concat(F.lit(f"https://{K.HOST}/"), path).alias("url"), "gen", "pos")
 
 
