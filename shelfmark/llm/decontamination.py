@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,14 +11,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import utf8_blocks, word_hashes
+from .common import stage, utf8_blocks, word_hashes
 
 K1, B = 1.2, 0.75  # usual BM25 constants
 SHARE = 0.6  # of an item's own score that a passage must reach
 OVERLAP = 0.6  # of the words of question and of answer that the passage must hold
 EDITS, SPARE = 3, 5  # words that may differ in any place whatever the two shares say; at most one for each SPARE words of an item
 BLOCK_ITEMS = 16  # items under one maximum
-CHUNK_ITEMS, CHUNK_BYTES = 1024, 1 << 20  # of one index; more items make further indexes
+CHUNK_ITEMS, CHUNK_BYTES = 1024, 1 << 20  # of one index; more items make further indexes, with the same results
+MATCHES = 1 << 18  # equal words looked at in one slice
+STRIDE = 64  # words; the least
 _SENTENCE = re.compile(r"(?<=[.?!:\n])\s+")
 
 
@@ -36,6 +38,38 @@ def _chained(words: np.ndarray) -> np.ndarray:
         return (words[:-2] * np.uint64(0x9E3779B97F4A7C15) + words[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + words[2:]
 
 
+def _in_place(part: np.ndarray, passage: np.ndarray) -> np.ndarray:
+    """Which words of a part stand at their place in the best copy, give or take EDITS words.
+
+    A word that stands at shift d (its place there less that in the part) counts for each of the EDITS + 1 stretches that
+    allow d. Its shifts rise with its places, so the stretches it adds to earlier ones are one interval each, and a
+    running sum of interval ends counts words by stretch. Matches are taken in slices: time follows their number, memory
+    that of the words.
+    """
+    n, m = len(part), len(passage)
+    order = np.argsort(passage, kind="stable")
+    low = np.searchsorted(passage[order], part, "left")
+    each = np.searchsorted(passage[order], part, "right") - low
+    ends, total, first = np.zeros(n + m + EDITS + 1, np.int64), np.cumsum(each), 0
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(total, total[first] - each[first] + MATCHES, "right")))
+        sizes = each[first:last]
+        word = np.repeat(np.arange(first, last), sizes)
+        nth = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        shift = order[np.repeat(low[first:last], sizes) + nth] - word + n - 1
+        start = shift.copy()
+        start[1:] = np.where(word[1:] == word[:-1], np.maximum(shift[1:], shift[:-1] + EDITS + 1), shift[1:])
+        ends += np.bincount(start, minlength=len(ends)) - np.bincount(shift + EDITS + 1, minlength=len(ends))
+        first = last
+    best = int(np.cumsum(ends)[: n + m - 1 + EDITS].argmax())  # shifts best - EDITS to best, less n - 1
+    found = np.zeros(n, bool)
+    for shift in range(best - EDITS, best + 1):
+        place = np.arange(n) + shift - n + 1
+        inside = (place >= 0) & (place < m)
+        found[inside] |= passage[place[inside]] == part[inside]
+    return found
+
+
 def held_words(part: np.ndarray, passage: np.ndarray) -> float:
     """How many words of a part the passage holds: in runs of three, wherever they stand, or at their place in a copy.
 
@@ -56,12 +90,7 @@ def held_words(part: np.ndarray, passage: np.ndarray) -> float:
         first = np.unique(runs, return_index=True)[1]
         distinct = n * float(found[first].mean())
     if len(passage) and not held.all():
-        word, place = np.nonzero(part[:, None] == passage[None, :])
-        shifts = np.zeros((n, n + len(passage) + EDITS), np.int32)
-        shifts[word, place - word + n + EDITS] = 1
-        sums = np.cumsum(shifts, axis=1)
-        near = sums[:, EDITS + 1 :] > sums[:, : -EDITS - 1]
-        held |= near[:, near.sum(0).argmax()]
+        held |= _in_place(part, passage)
     return max(float(held.sum()), distinct)
 
 
@@ -70,6 +99,11 @@ def edits_of(length: int) -> int:
     return min(EDITS, length // SPARE)
 
 
+def stride_of(length: int) -> int:
+    """Words between passages for an item of ``length`` words: a power of two, so that an item and EDITS words fit."""
+    return max(STRIDE, 1 << (length + EDITS - 1).bit_length())
+
+
 def question_and_answer(text: str, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of both parts. The answer is the last sentence; either part has at least 8 words, or half of an item of
     under 16 words. An item of under 6 words is both."""
@@ -93,29 +127,43 @@ class Index:
     blocks: list[tuple[np.ndarray, np.ndarray]]  # per block: its terms, their impacts on its items
     parts: list[tuple[np.ndarray, np.ndarray]]  # words of each item's question and answer
     lengths: list[int]  # words of each item
-    stride: int  # words; no item is longer, EDITS more words included
+    stride: int  # words between passages; no item is longer, EDITS more words included
+
+
+@dataclass
+class Statistics:
+    """Of all items, whatever part of them an index holds."""
 
+    count: int  # items with a word
+    words: int
+    frequency: dict[int, int]  # items with a term, for the terms of the index
 
-def build(items: list[tuple[int, str]], share: float = SHARE) -> Index | None:
-    """The index of items with at least one word; none gives None."""
+
+def build(items: list[tuple[int, str]], share: float = SHARE, all_items: Callable[[np.ndarray], Statistics] | None = None) -> Index | None:
+    """The index of items with at least one word; none gives None. ``all_items`` gives the statistics for its terms;
+    without it, these items are all."""
     words = _hashes([text for _, text in items])
     items, words = [i for i, w in zip(items, words, strict=True) if len(w)], [w for w in words if len(w)]
     if not items:
         return None
     terms = np.unique(np.concatenate(words))
     counted = [np.unique(np.searchsorted(terms, w), return_counts=True) for w in words]
-    df = np.bincount(np.concatenate([t for t, _ in counted]), minlength=len(terms))
-    idf = np.log1p((len(items) - df + 0.5) / (df + 0.5))
-    mean = np.mean([len(w) for w in words])
+    if all_items is None:
+        count, total, df = len(items), sum(map(len, words)), np.bincount(np.concatenate([t for t, _ in counted]), minlength=len(terms))
+    else:
+        known = all_items(terms)
+        count, total, df = known.count, known.words, np.array([known.frequency[t] for t in terms.view(np.int64).tolist()])
+    idf = np.log1p((count - df + 0.5) / (df + 0.5))
+    mean = total / count
     impacts = [idf[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(w) / mean)) for (t, n), w in zip(counted, words, strict=True)]
     floors = np.array([min(share * v.sum(), np.sort(v)[: len(v) - edits_of(len(w))].sum()) for v, w in zip(impacts, words, strict=True)])
     needed = np.zeros(len(terms), bool)
     for (t, _), v, floor in zip(counted, impacts, floors, strict=True):
         order = np.argsort(v, kind="stable")
         needed[t[order[np.cumsum(v[order]) >= floor - 1e-9]]] = True  # the weaker terms together stay below the floor
-    count = -(-len(items) // BLOCK_ITEMS)
-    peaks, blocks = np.zeros((count, len(terms)), np.float32), []
-    for b in range(count):
+    height = -(-len(items) // BLOCK_ITEMS)
+    peaks, blocks = np.zeros((height, len(terms)), np.float32), []
+    for b in range(height):
         inside = range(b * BLOCK_ITEMS, min(len(items), (b + 1) * BLOCK_ITEMS))
         own = np.unique(np.concatenate([counted[i][0] for i in inside]))
         matrix = np.zeros((len(own), len(inside)))
@@ -125,7 +173,7 @@ def build(items: list[tuple[int, str]], share: float = SHARE) -> Index | None:
         blocks.append((own, matrix))
     least = np.minimum.reduceat(floors, np.arange(0, len(items), BLOCK_ITEMS))
     parts = [question_and_answer(text, w) for (_, text), w in zip(items, words, strict=True)]
-    return Index(np.array([i for i, _ in items], object), terms, needed, floors, least, peaks, blocks, parts, [len(w) for w in words], max(64, EDITS + max(map(len, words))))
+    return Index(np.array([i for i, _ in items], object), terms, needed, floors, least, peaks, blocks, parts, [len(w) for w in words], max(stride_of(len(w)) for w in words))
 
 
 def search(index: Index, words: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
@@ -185,19 +233,49 @@ def leaks(index: Index, column: pa.Array, overlap: float = OVERLAP) -> Iterator[
             yield first + row, item, *found
 
 
+def _measured(items: DataFrame) -> DataFrame:
+    """item_id, text, n_words and distinct terms of each item with a word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = _hashes(batch.column(1).to_pylist())
+            keep = [i for i, w in enumerate(words) if len(w)]
+            yield pa.RecordBatch.from_arrays([
+                *[batch.column(c).take(pa.array(keep, pa.int64())) for c in (0, 1)], pa.array([len(words[i]) for i in keep], pa.int64()),
+                pa.array([np.unique(words[i]).view(np.int64) for i in keep], pa.list_(pa.int64()))], ["item_id", "text", "n_words", "terms"])
+
+    source = items.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    return source.mapInArrow(run, "item_id long, text string, n_words long, terms array<long>")
+
+
 def indexes(items: DataFrame) -> Iterator[Index]:
-    """Indexes over chunks of the items, so that none is larger than CHUNK_ITEMS items and about CHUNK_BYTES of text."""
+    """Indexes over chunks of the items, so that none is larger than CHUNK_ITEMS items and about CHUNK_BYTES of text.
+
+    Frequencies and lengths are those of all items, counted in Spark; the driver fetches them for the terms of one chunk at
+    a time. The step of passages follows from an item alone, and a chunk holds items of one step. So neither scores nor
+    found items depend on how the items are cut, and one long item doesn't widen the passages of the others.
+    """
+    spark = items.sparkSession
+    read = stage(_measured(items), "items")
+    count, total = read.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    if not count:
+        return
+    frequency = stage(read.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")), "frequencies")
+
+    def all_items(terms: np.ndarray) -> Statistics:
+        own = spark.createDataFrame(pa.table({"term": terms.view(np.int64)}))
+        found = frequency.join(F.broadcast(own), "term").toArrow()
+        return Statistics(count, total, dict(zip(found["term"].to_pylist(), found["n"].to_pylist(), strict=True)))
+
     chunk: list[tuple[int, str]] = []
-    size = 0
-    for r in items.filter("text is not null").select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        if chunk and (len(chunk) >= CHUNK_ITEMS or size + len(r["text"]) > CHUNK_BYTES):
-            if (made := build(chunk)) is not None:
-                yield made
+    size, step = 0, 0
+    rows = read.select("item_id", "text", "n_words").orderBy("n_words", "item_id", "text")
+    for r in rows.toLocalIterator():
+        if chunk and (len(chunk) >= CHUNK_ITEMS or size + len(r["text"]) > CHUNK_BYTES or stride_of(r["n_words"]) != step):
+            yield build(chunk, all_items=all_items)
             chunk, size = [], 0
         chunk.append((r["item_id"], r["text"]))
-        size += len(r["text"])
-    if (made := build(chunk)) is not None:
-        yield made
+        size, step = size + len(r["text"]), stride_of(r["n_words"])
+    yield build(chunk, all_items=all_items)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -205,7 +283,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     Every passage of every document is a query. A null or empty text or item matches nothing; repeated rows are reported
     each, repeated items each; without items or documents there are no rows; other columns are ignored. An index is
-    bounded, and more items mean more passes over the documents.
+    bounded, and more items mean more passes over the documents, but the same rows.
     """
     schema = "doc_id long, item_id long, bm25 double, question_overlap double, answer_overlap double, contaminated boolean"
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -228,6 +228,56 @@ def test_edited_items_are_found():
     assert not list(decontamination.leaks(index, pa.array(halves)))
 
 
+def _in_place_plainly(part, passage):
+    best, count = [False] * len(part), -1
+    for shift in range(-len(part) + 1 - decontamination.EDITS, len(passage)):
+        held = [any(0 <= i + d < len(passage) and passage[i + d] == w for d in range(shift, shift + decontamination.EDITS + 1)) for i, w in enumerate(part)]
+        if sum(held) > count:
+            best, count = held, sum(held)
+    return best
+
+
+def test_words_in_place_equal_plain_count(monkeypatch):
+    import numpy as np
+    rng = random.Random(11)
+    for case in range(300):
+        monkeypatch.setattr(decontamination, "MATCHES", rng.choice([1, 7, 1 << 18]))
+        part = np.array([rng.randrange(rng.choice([2, 5, 40])) for _ in range(rng.randrange(1, 25))], np.uint64)
+        passage = np.array([rng.randrange(rng.choice([2, 5, 40])) for _ in range(rng.randrange(1, 50))], np.uint64)
+        assert decontamination._in_place(part, passage).sum() == sum(_in_place_plainly(part.tolist(), passage.tolist())), case
+
+
+def test_long_items_take_little_memory():
+    import tracemalloc
+    import pyarrow as pa
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(3000)}" for _ in range(8000)]
+    index = decontamination.build([(1, " ".join(words)), (2, "another short item of some words in a row")])
+    words[4000] = "edited"
+    column = pa.array(["before " * 50 + " ".join(words) + " after" * 50])
+    tracemalloc.start()
+    found = [f[1] for f in decontamination.leaks(index, column)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [0] and peak < 200e6
+
+
+def test_found_items_do_not_depend_on_the_cut(spark, docs_of, monkeypatch):
+    rng = random.Random(9)
+    common = "which of the following is the most common"
+    items = [(i, f"{common} {' '.join(f'k{i}x{j}' for j in range(rng.randrange(1, 12)))} answer {'really ' * (i % 4)}yes{i}") for i in range(16)]
+    items += [(16, common + " thing here"), (17, " ".join(f"long{j}" for j in range(90))), (18, "one"), (19, " "), (17, " ".join(f"long{j}" for j in range(90)))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of([(100 + i, f"some words before {t} and some behind") for i, t in items] + [(1, common), (2, None), (3, "")])
+    got = []
+    for chunk in (1024, 7, 1):
+        monkeypatch.setattr(decontamination, "CHUNK_ITEMS", chunk)
+        got.append(sorted((r.doc_id, r.item_id, round(r.bm25, 9), r.question_overlap, r.answer_overlap) for r in decontamination.find_leaks(docs, table).collect()))
+        if chunk > 1:
+            assert sorted(r.doc_id for r in decontamination.decontaminated(docs, table).collect()) == sorted(set(r.doc_id for r in docs.collect()) - {g[0] for g in got[-1]})
+    assert got[0] == got[1] == got[2] and {g[:2] for g in got[0]} >= {(100 + i, i) for i in range(19)}
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
