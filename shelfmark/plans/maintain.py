@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from .. import constants as K
 from ..functions.scoring import record_health, record_parts, weigh
 from ..operators import activity, content, findings, refresh
-from ..schemas import REPOSITORY
+from ..schemas import OSV_RESPONSE, REPOSITORY
+from ..sources import feeds
 
 
 def score_all(records: DataFrame, facts: DataFrame | None, as_of, weights: dict | None = None,
@@ -39,6 +40,20 @@ def enrich(records: DataFrame, osv, kev, cve, observed_at, min_stars: int = 0,
     return {"findings": found, "report": findings.report(records, found, errors, min_stars)}
 
 
+def enrich_feeds(records: DataFrame, paths: dict[str, str], observed_at, min_stars: int = 0,
+                 staging: str | None = None) -> dict[str, DataFrame]:
+    """Findings of the feeds in files, one message per broken document or feed, and the report.
+
+    A broken document or feed costs its own findings only. ``paths`` names the files of osv, kev and cve, or some of them.
+    """
+    spark = records.sparkSession
+    frames, errors = feeds.load(spark, paths, staging)
+    if not any(frame is not None for frame in frames.values()):
+        frames["osv"] = spark.createDataFrame([], OSV_RESPONSE)
+    made = enrich(records, frames["osv"], frames["kev"], frames["cve"], observed_at, min_stars, errors)
+    return made | {"errors": errors}
+
+
 def extract(records: DataFrame, files: DataFrame, min_score: float = 0.0,
             max_repositories: int = K.MAX_REPOSITORIES, **limits) -> dict[str, DataFrame]:
     """Documents and statuses of the best records."""

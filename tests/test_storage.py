@@ -132,3 +132,25 @@ def test_published_texts_come_from_one_sort_in_order(spark, tmp_path):
     positions = {tuple(r) for r in tables.layout_positions(layout).collect()}
     assert positions == {(r["parent"], r["leaf"], r["position"], r["id"]) for r in tables.index_lists(made["entries"]).collect()}
     assert "Exchange" not in reports.layout_lines(layout, "sitemap")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_broken_documents_and_feeds_become_messages(spark, tmp_path):
+    from shelfmark.plans import maintain
+
+    osv, kev = tmp_path / "osv", tmp_path / "kev"
+    osv.mkdir(), kev.mkdir()
+    good = '{"seq": 1, "package": "zed", "ecosystem": "e", "vulns": [{"id": "V-1", "summary": "s"}]}'
+    (osv / "a.json").write_text("\n".join([good, "", "  ", '{"seq": 2, "package":', '[{"seq": 3}]', "null", "7", '{"seq": "four", "package": "zed"}', '{"seq": 5, "package": "zed", "vulns": 6}', good.replace("1", "8")]))
+    (kev / "feed.json").write_text('{"vulnerabilities": [\n{"cveID": "CVE-9", "product": "Zed"}\n]}')
+    (kev / "cut.json").write_text('{"vulnerabilities": [\n{"cveID": "CVE-')
+    recs = spark.createDataFrame([("github:a/zed", "zed", 0, 5)], "id string, name string, seq bigint, stars bigint")
+    for staging in (None, str(tmp_path / "staged")):
+        made = maintain.enrich_feeds(recs, {"osv": str(osv), "kev": str(kev), "cve": str(tmp_path / "none")}, "2026-01-01", staging=staging)
+        assert sorted((r["source"], r["advisory_id"], r["repository_id"]) for r in made["findings"].collect()) == [
+            ("cisa-kev", "CVE-9", "github:a/zed"), ("osv", "V-1", "github:a/zed"), ("osv", "V-8", "github:a/zed")]
+        messages = sorted((r["provider"], r["message"]) for r in made["errors"].collect())
+        assert [p for p, _ in messages] == ["cve", "kev"] + ["osv"] * 6 and messages[0][1] == "cve: cannot open feed: PATH_NOT_FOUND"
+        assert all(m.startswith(f"{p}: unreadable document: ") for p, m in messages[1:])
+        assert made["report"].first()["error_count"] == 8
+    nothing = maintain.enrich_feeds(recs, {"cve": str(tmp_path / "none")}, "2026-01-01")
+    assert nothing["findings"].count() == 0 and nothing["errors"].count() == 1

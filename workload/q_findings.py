@@ -6,8 +6,10 @@ from shelfmark.functions.files import decode_base64, file_kind
 from shelfmark.functions.urls import package_candidates
 from shelfmark.operators import content, findings
 from shelfmark.plans import maintain
+from shelfmark.schemas import CVE_ENTRY, OSV_RESPONSE
+from shelfmark.sources import feeds
 
-from .common import csv
+from .common import csv, hits, scratch
 from .q_joins import KEV_SQL, OWNERS_SQL, duck_package, osv_responses, part_records
 from .q_sources import kev_documents
 from .registry import query
@@ -77,6 +79,72 @@ def enrich(t):
         "source", "advisory_id", "package", "ecosystem", "severity", "summary", "url", csv("cve_ids"), "repository_id", "seq")
 
 
+# --- feeds in files, some documents broken
+
+_BROKEN_SQL = "seq % 10 = 3"
+_BROKEN = r"""'{"seq": ' || seq || ', "package": ['"""  # cut off in the middle
+
+
+def feed_file(rows, name):
+    """Rows as JSON lines; before them a blank line and, for each row in ten, a document that was cut off."""
+    spark, path = rows.sparkSession, scratch(rows.sparkSession, name)
+    rows.write.json(path)
+    cut = rows.filter(_BROKEN_SQL).select(F.explode(F.array(F.expr(_BROKEN), F.lit(" "))).alias("value"))
+    cut.write.mode("append").text(path)
+    return spark, path
+
+
+@query("s21_osv_feed", """
+    select seq, package, ecosystem, osv_id as advisory_id, alias1 as cve_ids from advisories""", ("advisories",))
+def osv_feed(t):
+    rows, _ = feeds.split(*feed_file(osv_responses(t), "s21o"), OSV_RESPONSE, "osv")
+    return rows.select("seq", "package", "ecosystem", F.explode("vulns").alias("v")).select(
+        "seq", "package", "ecosystem", F.col("v.id").alias("advisory_id"),
+        csv(F.filter("v.aliases", lambda a: F.upper(a).startswith("CVE-")), "cve_ids"))
+
+
+@query("s21_cve_feed", "select seq, package, cve_id as id, summary, score2 as score from advisories", ("advisories",))
+def cve_feed(t):
+    rows, _ = feeds.split(*feed_file(cve_entries(t), "s21c"), CVE_ENTRY, "cve")
+    return rows.select("seq", "package", "id", "summary", F.get("cvss", F.lit(0))["score"].alias("score"))
+
+
+@query("s21_hits", "select seq, source, query, owner, name, stars, array_to_string(topics, ',') as topics from hits_flat", ("hits_flat",))
+def hit_files(t):
+    rows = feeds.read_hits(*feed_file(hits(t("hits_flat")), "s21h"))
+    return rows.select("seq", "source", "query", F.col("repository.owner.login").alias("owner"), "repository.name",
+                       F.col("repository.stargazers_count").alias("stars"), csv("repository.topics", "topics"))
+
+
+@query("s21_files", "select repository_id, listing, file_order, name, md5(text) as hash from files_text", ("files_text",))
+def content_files(t):
+    rows = repo_files(t).drop("text")
+    spark, path = rows.sparkSession, scratch(rows.sparkSession, "s21f")
+    rows.write.json(path)
+    return feeds.read_files(spark, path).select("repository_id", "listing", "file_order", "name", F.md5(decode_base64("content_base64")).alias("hash"))
+
+
+def broken_feeds(t):
+    """osv and cve with broken documents, kev not there."""
+    spark, osv = feed_file(osv_responses(t), "a12o")
+    _, cve = feed_file(cve_entries(t), "a12c")
+    return maintain.enrich_feeds(part_records(t), {"osv": osv, "kev": f"{osv}-absent", "cve": cve}, AS_OF, staging=scratch(spark, "a12s"))
+
+
+@query("a12_error_messages", f"""
+    select p || ': unreadable document: ' || {_BROKEN} as message, p as provider from advisories, (values ('osv'), ('cve')) x(p) where {_BROKEN_SQL}
+    union all select 'kev: cannot open feed: PATH_NOT_FOUND', 'kev'""", ("advisories",))
+def error_messages(t):
+    return broken_feeds(t)["errors"]
+
+
+@query("a12_report_with_errors", f"""
+    with {OWNERS_SQL}, {FINDINGS_SQL} select (select count(*) from found where source <> 'cisa-kev') as finding_count, (select count(*) from partrepos) as repositories_scanned,
+        (select count(*) from owners) as packages_queried, (select 2 * count(*) + 1 from advisories where {_BROKEN_SQL}) as error_count""", ("partrepos", "advisories"))
+def report_with_errors(t):
+    return broken_feeds(t)["report"]
+
+
 # --- content
 
 LIMITS = {"max_bytes": 3000, "budget": 20_000, "per_listing": 4}
