@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions.text import col, is_set, strip
@@ -145,7 +145,8 @@ def duplicates(df: DataFrame, fields: list[str] | None = None, order: str = "seq
 
     The first row of each key is found by a map-side combined aggregate and joined back, so
     a group of any size is spread by the skew handling of the join. Of rows that tie with the
-    first one, all but one are dropped rows too; only those are numbered.
+    first one, all but one are dropped rows too; they are numbered by ranges, so that a key of
+    which all rows tie spreads as well.
     """
     keyed = df.withColumn("__key", match_key(fields or ["id"], dict(df.dtypes)))
     primary = keyed.groupBy("__key").agg(
@@ -153,8 +154,8 @@ def duplicates(df: DataFrame, fields: list[str] | None = None, order: str = "seq
     ).filter("__n > 1").drop("__n")
     members = keyed.join(primary, "__key").withColumn("__tied", F.col(order).eqNullSafe(F.col("__first")))
     later = members.filter(~F.col("__tied") & F.coalesce(F.col(order) > F.col("__first"), F.lit(True)))
-    nth = F.row_number().over(Window.partitionBy("__key").orderBy(F.asc("id")))
-    tied = members.filter("__tied").withColumn("__nth", nth).filter("__nth > 1").drop("__nth")
+    several = members.filter("__tied").groupBy("__key").agg(F.count("*").alias("__n")).filter("__n > 1").select("__key")
+    tied = position_in_group(members.filter("__tied").join(several, "__key", "left_semi"), ["__key"], [F.asc("id")], "__nth").filter("__nth > 1").drop("__nth")
     return later.unionByName(tied).select("primary_id", F.lit("id").alias("match_type"), *df.columns)
 
 

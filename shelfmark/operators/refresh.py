@@ -43,13 +43,20 @@ def merge(old: DataFrame, fresh: DataFrame, as_of) -> DataFrame:
 
 
 def report(records: DataFrame, fresh: DataFrame, as_of, policy=None, limit: int | None = None) -> DataFrame:
-    """checked, updated, skipped (not due or cut by the limit), failed, due."""
-    chosen = select_due(records, as_of, policy, limit).select("id")
+    """checked, updated, skipped (not due or cut by the limit), failed, due.
+
+    Only ids, check times and two flags go into the join. Without a limit one pass counts everything; with one, the few
+    chosen ids are counted by themselves.
+    """
+    flagged = with_due(records, as_of, policy).select("id", "collected_at", "due")
     found = fresh.select("id").distinct().withColumn("ok", F.lit(True))
-    counted = chosen.join(found, "id", "left").agg(
-        F.count("*").alias("checked"), F.count_if(F.col("ok")).alias("updated"))
-    flagged = with_due(records, as_of, policy)
-    whole = flagged.agg(F.struct(F.count("*").alias("total"), F.count_if("due").alias("due"))).scalar()
-    return counted.withColumn("__whole", whole).select(
-        "checked", "updated", (F.col("__whole.total") - F.col("checked")).alias("skipped"),
-        (F.col("checked") - F.col("updated")).alias("failed"), F.col("__whole.due").alias("due"))
+    whole = [F.count("*").alias("total"), F.count_if("due").alias("due")]
+    if not limit:
+        counted = flagged.join(found, "id", "left").agg(*whole, F.count_if(F.col("due") & F.col("ok")).alias("updated")).withColumn("checked", F.col("due"))
+    else:
+        chosen = flagged.filter("due").orderBy(F.asc_nulls_first("collected_at"), F.asc("id")).limit(limit).select("id")
+        counts = chosen.join(found, "id", "left").agg(F.count("*").alias("checked"), F.count_if("ok").alias("updated"))
+        counted = counts.withColumn("__w", flagged.agg(F.struct(*whole)).scalar()).select("checked", "updated", "__w.*")
+    return counted.select(
+        "checked", "updated", (F.col("total") - F.col("checked")).alias("skipped"),
+        (F.col("checked") - F.col("updated")).alias("failed"), "due")
