@@ -127,3 +127,8 @@ def discover_hits(table: DataFrame, patterns=K.LIST_NAME_PATTERNS, topics=K.LIST
 def discover_lists(hits: DataFrame, collected_at) -> DataFrame:
     """Curated lists among search hits, as list records."""
     return discover.list_records(discover.curated_lists(hits), collected_at)
+
+
+def search_lists(table: DataFrame, collected_at, patterns=K.LIST_NAME_PATTERNS, topics=K.LIST_TOPICS, cap: int = K.HITS_PER_QUERY) -> DataFrame:
+    """Curated lists of a catalog table in one plan: searches, first hit of each repository, curated test, list records."""
+    return discover_lists(discover.dedupe_hits(discover_hits(table, patterns, topics, cap)), collected_at)

@@ -263,6 +263,19 @@ def discover_lists(t):
     return collect.discover_lists(hits(t("hits_flat")), AS_OF).select("id", "source", "query", "stars")
 
 
+@query("w03_search_lists", f"""
+    with found as (select 'search_pattern' as source, p.query, r.* from repos r join (values ('order-1*', 'order-1%'), ('*-2*', '%-2%')) p(query, pat) on lower(r.name) like p.pat
+        union all select 'topic', u.topic, u.* exclude (topic) from (select unnest(topics) as topic, * from repos) u where u.topic in ('awesome-list', 'gear')),
+    best as (select * from (select *, row_number() over (partition by source, query order by stars desc nulls last, id) as n from found) where n <= 500),
+    firsts as (select * from (select * exclude (n), row_number() over (partition by lower(owner), lower(name) order by source = 'topic', query, -coalesce(stars, 0), id) as n from best
+        where owner <> '' and name <> '') where n = 1)
+    select 'github:' || owner || '/' || name as id, source, query, stars, array_to_string(topics, ',') as topics from firsts where {duck_list_hit()}""", ("repos",))
+def search_lists(t):
+    """From the catalog table to list records in one plan."""
+    return collect.search_lists(t("repos"), AS_OF, ["order-1*", "*-2*"], ["awesome-list", "gear"], 500).select(
+        "id", "source", "query", "stars", csv("topics"))
+
+
 @query("w04_score_all", f"""
     with {SCORE_INPUT_SQL} select id, overall as score_overall, case when archived then 'ARCHIVED' when raw_days is null then 'UNKNOWN'
         when raw_days <= 7 then case when coalesce(release_days <= 14 and contributors_90d >= 3, false) then 'ACTIVE' else 'MAINTAINED' end
