@@ -41,7 +41,7 @@ def publish(flat: DataFrame, bridge: DataFrame, categories: DataFrame, path: str
         reports.layout_lines(layout, name).write.mode("overwrite").text(f"{path}/{name}")
     reports.write_lines(reports.agent_guide_lines(entries, catalog.stats(flat)), f"{path}/agent_guide")
     tables.write_index(entries, flat, f"{path}/index", layout)
-    tables.write_snapshot(flat, f"{path}/daily", date)
+    tables.write_snapshot(diff.with_digest(flat), f"{path}/daily", date)
     tables.write_snapshot(entries, f"{path}/daily_entries", date)
     return True
 
@@ -58,7 +58,8 @@ def stored_report(spark: SparkSession, path: str, date: str) -> DataFrame:
 
 
 def diff_report(snapshots: DataFrame, date1: str, date2: str, as_of) -> dict[str, DataFrame]:
-    changed = diff.between(snapshots, date1, date2, as_of)
+    """Flagged rows of two dates, unique by id, their counts and the report lines."""
+    changed = diff.flagged_between(snapshots, date1, date2, as_of)
     return {"changes": changed, "summary": diff.summary(changed), "lines": reports.change_report_lines(changed)}
 
 

@@ -267,3 +267,24 @@ def test_index_of_a_large_parent_is_written_by_many_tasks(spark, tmp_path):
         assert len(list(Path(tmp_path, kind, "parent=Hot").glob("*.parquet"))) > 2
         rows = tables.read_index(spark, str(tmp_path), "Hot", leaf).collect()
         assert sorted(r.position for r in rows) == list(range(1, 3001)) and len({r.id for r in rows}) == 3000
+
+
+def test_flagged_rows_equal_full_comparison(spark):
+    kinds = "id string, name string, stars bigint, forks bigint, topics array<string>, health_status string, archived boolean, pushed_at timestamp"
+    time = "2026-01-01 00:00:00.000001"
+    old = [("a", "n", 1, None, ["x"], None, False, None), ("b", "n", 1, 0, None, "STALE", False, None), ("c", "n", None, 0, [], "", True, None), ("d", "", 5, 5, ["p", "q"], "ACTIVE", None, None),
+           ("e", None, 9, 9, None, None, None, None), ("gone", "n", 1, 1, None, None, None, None), ("f", "n", 1, 1, None, None, False, None)]
+    new = [("a", "n", 1, 0, ["x"], None, False, None), ("b", "n", 1, 0, None, "STALE", False, None), ("c", "n", None, 0, None, "", True, None), ("d", "", 5, 5, ["q", "p"], "ACTIVE", None, None),
+           ("e", None, 9000, 9, None, None, None, None), ("come", "n", 1, 1, None, None, None, None), ("f", "n", 1, 1, None, None, False, None)]
+    frames = [spark.createDataFrame(rows, kinds).withColumn("pushed_at", F.when(F.col("id") == "f", F.lit(time).cast("timestamp"))) for rows in (old, new)]
+    frames[1] = frames[1].withColumn("pushed_at", F.when(F.col("id") == "f", F.lit("2026-01-01 00:00:00.000002").cast("timestamp")))
+    flags = ["id", "presence", "star_gain", "changes", "is_trending", "is_updated", "is_stale", "is_archived"]
+    full = diff.changes(*frames, "2026-02-01").filter("presence <> 'both' or is_trending or is_updated or is_stale or is_archived")
+    few = diff.flagged(*frames, "2026-02-01")
+    assert few.columns and sorted(few.columns) == sorted(full.columns)
+    key = lambda df: sorted(str(r) for r in df.select(*flags).collect())
+    assert key(few) == key(full)
+    assert diff.summary(few).first() == diff.summary(diff.changes(*frames, "2026-02-01")).first()
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    wide = plan[: plan.index("FullOuter")].count("LeftSemi")
+    assert wide == 0 and plan.count("LeftSemi") == 2 and "LeftAnti" in plan  # whole rows meet behind the semi joins

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from shelfmark.functions import markdown as M
 from shelfmark.functions.urls import repository_id
 from shelfmark.operators import activity, catalog, content, diff, discover, findings, ranking, records, refresh, reports
+from shelfmark.sources import tables
 
-from .common import hits, nested, text
+from .common import hits, nested, scratch, text
 from .q_findings import RECURSIVE_KEPT, FILE_VIEWS, FINDINGS_SQL, LIMITS, part_findings, repo_files
 from .q_joins import DUE_SQL, FRESH_SQL, OWNERS_SQL, fresh_rows, part_records, raw_records, two_snapshots
 from .q_sources import ENTRY_VIEWS, entries, entries_sql
@@ -242,6 +243,24 @@ def diff_summary(t):
     return diff.summary(diff.between(t("snapshots"), DATE1, DATE2, DIFF_AS_OF))
 
 
+def stored_flags(t):
+    """Flagged rows from snapshots that were stored with their digests."""
+    rows = diff.with_digest(t("snapshots"))
+    spark, path = rows.sparkSession, scratch(rows.sparkSession, "d06")
+    tables.write_partitions(rows, path, "date")
+    return diff.flagged_between(spark.read.parquet(path).withColumn("date", F.col("date").cast("string")), DATE1, DATE2, DIFF_AS_OF)
+
+
+@query("d06_summary_by_digest", f"with {OLD_NEW} {SUMMARY_SQL}", ("snapshots",))
+def summary_by_digest(t):
+    return diff.summary(stored_flags(t))
+
+
+@query("d03_fields_by_digest", f"with {OLD_NEW} {CHANGES_SQL}", ("snapshots",))
+def fields_by_digest(t):
+    return diff.change_rows(stored_flags(t))
+
+
 @query("d07_set_operations", f"""
     with {OLD_NEW} select 'both' as kind, id from (select id from a intersect select id from b) union all select 'either', id from (select id from a union select id from b)
     union all select 'except', id from (select id from a except select id from b)""", ("snapshots",))
