@@ -34,5 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
         if seen == state:
             break
         state = seen
+    else:
+        raise RuntimeError(f"edges still change after {ROUNDS} rounds")
     roots = edges.groupBy("b").agg(F.min("a").alias("root")).select(F.col("b").alias("node"), "root")
     return roots.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())

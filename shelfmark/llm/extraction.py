@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -138,9 +139,20 @@ def _settle(root: Node) -> None:
 
 
 def parse(html: str) -> Node:
-    """A forgiving tree: unclosed elements end where the next one, or their parent, demands it."""
+    """A forgiving tree: unclosed elements end where the next one, or their parent, demands it.
+
+    Open elements are counted by tag: where none of those sought is open, nothing is climbed.
+    """
     root = here = Node("html", None, False)
-    at, raw = 0, None
+    at, opened = 0, Counter()
+
+    def leave(node: Node, last: Node) -> Node:
+        """Close ``last`` and all open elements inside it."""
+        while node is not last.parent:
+            opened[node.tag] -= 1
+            node = node.parent
+        return node
+
     for match in _TOKEN.finditer(html):
         if match.start() < at:
             continue
@@ -152,6 +164,8 @@ def parse(html: str) -> Node:
             continue
         tag = tag.lower()
         if match[1]:
+            if not opened[tag]:
+                continue
             node = here
             while node is not root and node.tag != tag:
                 if node.tag in ("td", "th", "table", "article") and tag not in _BLOCK:
@@ -159,7 +173,7 @@ def parse(html: str) -> Node:
                     break
                 node = node.parent
             if node is not root:
-                here = node.parent
+                here = leave(here, node)
             continue
         if tag == "html":
             continue
@@ -167,13 +181,13 @@ def parse(html: str) -> Node:
             ended, scope = _ENDS.get(tag, (frozenset(), frozenset()))
             if tag in _CLOSES_P:
                 ended, scope = ended | {"p"}, scope | {"table", "td", "th", "article", "section", "div", "body", "button"}
-            node, last = here, None
+            node, last = here if any(opened[t] for t in ended) else root, None
             while node is not root and node.tag not in scope:
                 if node.tag in ended:
                     last = node
                 node = node.parent
             if last is not None:
-                here = last.parent
+                here = leave(here, last)
         attributes = match[3]
         noise, signs = (True, []) if here.noise else _noisy(tag, attributes, here)
         node = Node(tag, here, noise)
@@ -184,6 +198,7 @@ def parse(html: str) -> Node:
             at = close.end() if close else len(html)
         elif tag not in _VOID and not attributes.endswith("/"):
             here = node
+            opened[tag] += 1
     if at < len(html):
         here.children.append(html[at:])
     return root

@@ -228,6 +228,15 @@ def test_edited_items_are_found():
     assert not list(decontamination.leaks(index, pa.array(halves)))
 
 
+def test_unfinished_components_raise(spark, monkeypatch):
+    from shelfmark.llm import components as module
+
+    monkeypatch.setattr(module, "ROUNDS", 1)
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(path)
+
+
 def _in_place_plainly(part, passage):
     best, count = [False] * len(part), -1
     for shift in range(-len(part) + 1 - decontamination.EDITS, len(passage)):

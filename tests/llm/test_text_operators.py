@@ -164,3 +164,13 @@ def test_toxicity_held_out(spark, docs_of, nothing):
     none = toxicity.score_toxicity(docs_of(rows[:5]), labels.filter("false")).collect()
     assert len(none) == 5 and len({r.score for r in none}) == 1
     assert toxicity.score_toxicity(nothing, labels).count() == 0
+
+
+def test_stray_tags_cost_no_climb():
+    import time
+
+    text = "<p>" + "A paragraph with a good many words that is clearly text and no menu. " * 5 + "</p>"
+    began = time.process_time()
+    root = extraction.parse("<article>" + "<b>" * 1000 + "</i>" * 200_000 + "</b>" * 1000 + text + "</article>")
+    assert time.process_time() - began < 5
+    assert [c.tag for c in root.children] == ["article"] and root.children[0].children[-1].tag == "p"
