@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import reduce
 from operator import or_
 
@@ -10,7 +11,7 @@ from pyspark.sql import Column, functions as F
 
 from .. import constants as K
 from ..taxonomy import Taxonomy
-from .text import any_of, bind, col, java_quote, lookup, strip, string_array
+from .text import any_of, bind, col, java_quote, literal_lists, lookup, strip, string_array
 
 _NONE = "array<string>"
 
@@ -90,27 +91,77 @@ def found_words(lowered: Column, words: list[str]) -> Column:
     return bind(F.split(F.coalesce(lowered, F.lit("")), _EDGE, -1), look_up)
 
 
-def by_keywords(text: Column, taxonomy: Taxonomy, leaves=None) -> Column:
+FEW_WORDS = 64  # up to here a test for each leaf is cheaper than cutting the text; the rows are the same
+
+_MARKED = r"[^a-z0-9 ]"  # a sign or a letter of another script
+
+
+def _word_keys(word: str) -> list[str]:
+    """Strings that a text with ``word`` must hold: its runs, for an ASCII word with free edges; else its marked characters
+    with the one after them, or alone where none has one after it."""
+    runs = re.findall("[a-z0-9]+", word) if word.isascii() else []
+    return runs or re.findall(f"(?s)(?=({_MARKED}.))", word) or re.findall(_MARKED, word)
+
+
+def found_odd_words(lowered: Column, words: list[str]) -> Column:
+    """Those of ``words`` that occur: words of other scripts anywhere, ASCII words (here with a sign at an edge) with free edges.
+
+    Each word is filed under the one of its keys that fewest words have. The keys of the text are looked up, and only the
+    words filed under those found are tried one by one.
+    """
+    words = list(dict.fromkeys(words))
+    load = Counter(key for word in words for key in set(_word_keys(word)))
+    filed: dict[str, list[str]] = {}
+    blank = []  # words of blanks only have no key
+    for word in words:
+        keys = _word_keys(word)
+        if keys:
+            filed.setdefault(min(keys, key=lambda k: (load[k], -len(k), k)), []).append(word)
+        else:
+            blank.append(word)
+    runs = [k for k in filed if re.fullmatch("[a-z0-9]+", k)]
+    pairs, singles = ([k for k in filed if len(k) == n and re.match(_MARKED, k)] for n in (2, 1))
+
+    def occurs(text: Column, word: Column) -> Column:
+        quoted = F.regexp_replace(word, "([^a-z0-9])", r"\\$1")
+        free = F.regexp_like(text, F.concat(F.lit("(?<![a-z0-9])"), quoted, F.lit("(?![a-z0-9])")))
+        return F.contains(text, word) & (word.rlike(r"[^\x00-\x7f]") | free)
+
+    def try_words(text: Column) -> Column:
+        hits = []
+        if runs:
+            hits.append(F.array_intersect(F.split(text, "[^a-z0-9]+", -1), string_array(runs)))
+        if pairs:
+            hits.append(F.array_intersect(F.regexp_extract_all(text, F.lit(f"(?s)(?=({_MARKED}.))"), F.lit(1)), string_array(pairs)))
+        if singles:
+            hits.append(F.array_intersect(F.regexp_extract_all(text, F.lit(f"({_MARKED})"), F.lit(1)), string_array(singles)))
+        likely = [F.flatten(F.transform(F.concat(*hits), lambda k: F.try_element_at(literal_lists(filed), k)))] if hits else []
+        return F.filter(F.concat(*likely, string_array(blank)), lambda w: occurs(text, w))
+
+    return bind(F.coalesce(lowered, F.lit("")), try_words)
+
+
+def by_keywords(text: Column, taxonomy: Taxonomy, leaves=None, few: int = FEW_WORDS) -> Column:
     """Leaves whose keyword occurs in the text, in taxonomy order: one narrow pass, no join.
 
-    Words of other scripts, and those with a sign at an edge, are tried one by one behind a substring test.
+    A taxonomy of up to ``few`` words has a test for each leaf; larger ones are looked up, so the cost follows the text.
     """
     lowered = F.lower(text)
     wanted = {leaf: [w.lower() for w in words] for leaf, words in taxonomy.keywords.items() if leaves is None or leaf in leaves}
-    simple = {leaf: [w for w in words if re.fullmatch("[a-z0-9](?:.*[a-z0-9])?", w, re.S) and w.isascii()] for leaf, words in wanted.items()}
-
-    def leaf_hits(found: Column | None) -> Column:
-        hits = []
-        for leaf, words in wanted.items():
-            odd = [w for w in words if w not in simple[leaf]]
-            tests = [F.arrays_overlap(found, string_array(simple[leaf]))] if simple[leaf] else []
-            if odd:
-                tests.append(reduce(or_, [lowered.contains(w) for w in odd]) & lowered.rlike(keyword_pattern(odd)))
-            hits.append(F.when(any_of(tests), F.lit(leaf)))
-        return without_nulls(hits)
-
-    words = [w for own in simple.values() for w in own]
-    return bind(found_words(lowered, words), leaf_hits) if words else leaf_hits(None)
+    every = [w for words in wanted.values() for w in words]
+    if len(every) <= few:
+        tests = {leaf: reduce(or_, [lowered.contains(w) for w in words]) & lowered.rlike(keyword_pattern(words))
+                 for leaf, words in wanted.items() if words}
+        return without_nulls([F.when(test, F.lit(leaf)) for leaf, test in tests.items()])
+    simple = [w for w in every if w.isascii() and re.fullmatch("[a-z0-9](?:.*[a-z0-9])?", w, re.S)]
+    odd = [w for w in every if w not in set(simple)]
+
+    def leaf_hits(found: Column) -> Column:
+        return without_nulls([F.when(F.arrays_overlap(found, string_array(words)), F.lit(leaf)) for leaf, words in wanted.items() if words])
+
+    parts = [found_words(lowered, simple)] if simple else []
+    parts += [found_odd_words(lowered, odd)] if odd else []
+    return bind(F.concat(*parts), leaf_hits)
 
 
 def by_substrings(description, topics, name, keywords: dict[str, list[str]]) -> Column:

@@ -51,6 +51,10 @@ def literal_map(mapping: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
 
 
+def literal_lists(mapping: dict[str, list[str]]) -> Column:
+    return F.create_map(*[x for key, values in mapping.items() for x in (F.lit(key), string_array(values))])
+
+
 def lookup(mapping: dict, key: Column) -> Column:
     """Literal map lookup, null for a missing key."""
     if not mapping:

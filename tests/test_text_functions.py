@@ -1,6 +1,8 @@
 """Markdown, classification, scores, files: boundary values."""
 
 import base64
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,9 +72,6 @@ def test_members_and_sections(docs):
 
 def test_sections_equal_brute_force(spark):
     """The hash-set search against a plain double loop."""
-    import random
-    import re
-
     rnd = random.Random(5)
     names = ["ab", "abc", "b-c", "x.y", "lib"]
     texts = []
@@ -120,6 +119,28 @@ def test_clean_heading_and_category(one):
     assert one(category, "Data Systems") is None and one(category, "Contents") is None and one(category, "") is None
 
 
+def _matches(word: str, text: str) -> bool:
+    edge = "(?<![a-z0-9]){}(?![a-z0-9])" if word.isascii() else "{}"
+    return re.search(edge.format(re.escape(word)), text) is not None
+
+
+def test_keyword_index_equals_one_test_a_word(spark):
+    """Signs at edges, other scripts, several runs, blanks: looked up or tried for each leaf, the rows are the same."""
+    rnd = random.Random(11)
+    signs, letters, wide = "+#.-*/ ", "abc1", "éß测试ж🔐"
+    make = lambda chars, lo, hi: "".join(rnd.choice(chars) for _ in range(rnd.randint(lo, hi)))
+    words = {f"leaf{i}": sorted({make(signs + letters + (wide if i % 3 == 0 else ""), 1, 4).lower() for _ in range(6)}) for i in range(60)}
+    words["fixed"] = ["c++", ".net", "c#", "++", "a b", "测试", "\\e", "$1", "^a$", "[b]"]
+    tax = build({"taxonomy": {"All": list(words)}, "keywords": words})
+    texts = [make(signs + letters * 2 + wide, 0, 14) for _ in range(400)]
+    texts += ["C++ and ASP.NET", "a .net b", "xc++", "c++x", "c+++", "a测试b", "", None, "\\E", "$1", "^a$ [b]", "++", "a  b", "🔐🔐"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    looked, tried = (rows.select("i", C.by_keywords(F.col("t"), tax, few=few).alias("c")).collect() for few in (0, 10**6))
+    expected = {i: [leaf for leaf in tax.leaves if any(_matches(w, (t or "").lower()) for w in tax.keywords[leaf])] for i, t in enumerate(texts)}
+    assert {r["i"]: r["c"] for r in looked} == expected
+    assert {r["i"]: r["c"] for r in tried} == expected
+
+
 def test_classify_order_limit_and_edges(spark):
     rows = spark.createDataFrame([
         (1, "a terminal database", ["fuzzing", "security"], "n", "Python"),
