@@ -11,6 +11,7 @@ from .. import constants as K
 from ..functions.urls import WEB_PREFIX
 from ..functions.files import capped_text, decode_base64, file_kind
 from ..schemas import DOCUMENT
+from ..session import staged
 from .catalog import min_score
 from .keyed import with_rank
 
@@ -89,12 +90,12 @@ def documents(
 ) -> DataFrame:
     """Documents of the selected records.
 
-    Only sizes are grouped; texts are fetched again by key. Spark broadcasts the keys where they are
-    small by its own check of their size.
+    The candidates of the selected records are decoded and staged once. Only their sizes are grouped; the texts kept are
+    fetched from the stage by key. Spark broadcasts the keys where they are small by its own check of their size.
     """
     wanted = selected.filter(usable_id()).select(F.col("id").alias("repository_id"))
     mine = files.join(wanted, "repository_id", "left_semi")
-    ready = stored_candidates(mine, max_bytes, **include)
+    ready = staged(stored_candidates(mine, max_bytes, **include), "candidates")
     kept = within_budget(ready.select("repository_id", "listing_no", "file_order", "bytes"), budget, per_listing)
     return ready.join(kept, ["repository_id", "listing_no", "file_order"], "left_semi").select(
         *DOCUMENT.fieldNames(), "listing_no", "file_order")

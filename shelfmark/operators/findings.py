@@ -108,9 +108,13 @@ def dedupe(rows: DataFrame) -> DataFrame:
 
 
 def enrich(records: DataFrame, osv: DataFrame | None, kev: DataFrame | None, cve: DataFrame | None,
-           observed_at, least_stars: int = 0, order: str = "seq") -> DataFrame:
-    """Findings of all given feeds, linked and de-duplicated. A feed that is None is skipped."""
-    owners = package_owners(min_stars(records, least_stars), order)
+           observed_at, least_stars: int = 0, order: str = "seq", owners: DataFrame | None = None) -> DataFrame:
+    """Findings of all given feeds, linked and de-duplicated. A feed that is None is skipped.
+
+    ``owners`` may hold the packages of the records, where they were computed before.
+    """
+    if owners is None:
+        owners = package_owners(min_stars(records, least_stars), order)
     parts = []
     if osv is not None:
         parts.append(link(osv_rows(osv, observed_at), owners))
@@ -127,11 +131,11 @@ def enrich(records: DataFrame, osv: DataFrame | None, kev: DataFrame | None, cve
 
 
 def report(records: DataFrame, found: DataFrame, errors: DataFrame | None = None,
-           least_stars: int = 0, order: str = "seq") -> DataFrame:
+           least_stars: int = 0, order: str = "seq", owners: DataFrame | None = None) -> DataFrame:
     eligible = min_stars(records, least_stars)
     return found.agg(F.count("*").alias("finding_count")).select(
         "finding_count", eligible.agg(F.count("*")).scalar().alias("repositories_scanned"),
-        package_owners(eligible, order).agg(F.count("*")).scalar().alias("packages_queried"),
+        (package_owners(eligible, order) if owners is None else owners).agg(F.count("*")).scalar().alias("packages_queried"),
         (errors.agg(F.count("*")).scalar() if errors is not None else F.lit(0)).cast("bigint").alias("error_count"))
 
 

@@ -9,6 +9,16 @@ from ..session import ensure_checkpoint_dir
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
+def position_by_id(df: DataFrame, keys: list[str], ident: list[str], order: list[Column], order_columns: list[str], name: str) -> DataFrame:
+    """``position_in_group`` for wide rows that ``keys`` and ``ident`` identify: only these and the columns of the order are
+    ranked and staged; positions come back by one join on the identity, which must be unique."""
+    same = [*keys, *ident]
+    narrow = df.select(*dict.fromkeys([*same, *order_columns]))
+    ranked = position_in_group(narrow, keys, order, name).select(*same, name)
+    match = [F.col(f"w.{c}").eqNullSafe(F.col(f"p.{c}")) for c in same]
+    return df.alias("w").join(ranked.alias("p"), match).select("w.*", f"p.{name}")
+
+
 def position_in_group(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     """``row_number()`` over (keys, order) without putting a group into one task.
 

@@ -8,6 +8,7 @@ from .. import constants as K
 from ..functions.classify import classify, heading_category, parents_of, with_section
 from ..operators import catalog, discover, keyed, lists, records
 from ..schemas import REPOSITORY
+from ..session import staged
 from ..taxonomy import Taxonomy
 
 
@@ -24,24 +25,27 @@ def classified(normalized: DataFrame, taxonomy: Taxonomy) -> DataFrame:
         "categories", F.col("awesome.categories"))
 
 
-def _staged(df: DataFrame, folder: str | None) -> DataFrame:
-    if folder is None:
+def _staged(df: DataFrame, folder: str | bool | None) -> DataFrame:
+    """Under the folder, by default the shared one; ``False`` leaves the plan as it is."""
+    if folder is False:
         return df
+    if folder is None:
+        return staged(df, "collected")
     df.write.mode("errorifexists").parquet(folder)
     return df.sparkSession.read.parquet(folder)
 
 
 def collect(
     hits: DataFrame, taxonomy: Taxonomy, collected_at, category: str | None = None,
-    facts: tuple[DataFrame, DataFrame, DataFrame] | None = None, staging: str | None = None,
+    facts: tuple[DataFrame, DataFrame, DataFrame] | None = None, staging: str | bool | None = None,
 ) -> dict[str, DataFrame]:
     """Hits -> records, provenance, category rows, bridge, and the run summary.
 
     Hits are de-duplicated on the id that records get, so the records need no second pass and no
     duplicate groups remain. ``facts`` are tables of topics, licenses and contributor counts by id.
     The category filter limits what is saved, not what is counted. Provenance is one row per edge.
-    With a ``staging`` folder the classified records are written there once and every output reads
-    them; without one each output runs the whole chain.
+    The classified records are written once, into the ``staging`` folder or the shared one, and every output reads them.
+    With ``staging=False`` nothing is written and each output runs the whole chain, for readers of a single output.
     """
     raw = records.normalize(records.from_payload(discover.dedupe_hits(hits), collected_at))
     if facts:
@@ -68,7 +72,7 @@ def assigned_categories(saved: DataFrame, taxonomy: Taxonomy) -> DataFrame:
 
 
 def collect_from_lists(
-    docs: DataFrame, facts: DataFrame, taxonomy: Taxonomy, collected_at, staging: str | None = None
+    docs: DataFrame, facts: DataFrame, taxonomy: Taxonomy, collected_at, staging: str | bool | None = None
 ) -> dict[str, DataFrame]:
     """Members of curated lists, joined to their catalog facts.
 

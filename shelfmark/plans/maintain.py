@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as K
 from ..functions.scoring import record_health, record_parts, weigh
-from ..operators import activity, content, findings, refresh
+from ..operators import activity, catalog, content, findings, refresh
 from ..schemas import OSV_RESPONSE, REPOSITORY
+from ..session import staged
 from ..sources import feeds
 
 
@@ -36,8 +37,10 @@ def refresh_due(records: DataFrame, fresh: DataFrame, as_of, policy=None, limit:
 
 def enrich(records: DataFrame, osv, kev, cve, observed_at, min_stars: int = 0,
            errors: DataFrame | None = None) -> dict[str, DataFrame]:
-    found = findings.enrich(records, osv, kev, cve, observed_at, min_stars)
-    return {"findings": found, "report": findings.report(records, found, errors, min_stars)}
+    """Findings and report. The packages and the findings are staged, so the report repeats neither feeds nor joins."""
+    owners = staged(findings.package_owners(catalog.min_stars(records, min_stars)), "owners")
+    found = staged(findings.enrich(records, osv, kev, cve, observed_at, min_stars, owners=owners), "findings")
+    return {"findings": found, "report": findings.report(records, found, errors, min_stars, owners=owners)}
 
 
 def enrich_feeds(records: DataFrame, paths: dict[str, str], observed_at, min_stars: int = 0,
@@ -57,7 +60,7 @@ def enrich_feeds(records: DataFrame, paths: dict[str, str], observed_at, min_sta
 def extract(records: DataFrame, files: DataFrame, min_score: float = 0.0,
             max_repositories: int = K.MAX_REPOSITORIES, **limits) -> dict[str, DataFrame]:
     """Documents and statuses of the best records."""
-    selected = content.select_records(records, min_score, max_repositories)
+    selected = staged(content.select_records(records, min_score, max_repositories), "selected")
     docs = content.documents(selected, files, **limits)
     status = content.statuses(selected, docs)
     return {"selected": selected, "documents": docs, "statuses": status, "report": content.report(status)}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import content
 from ..operators.keyed import insert_absent, latest_per_key, upsert, upsert_findings
+from ..session import staged
 from ..sources.tables import CONTENT_BUCKETS, write_content
 from .maintain import score_all
 
@@ -18,10 +19,10 @@ _KEYS = {
 
 def save_records(spark: SparkSession, records: DataFrame, new_path: str, old_path: str | None = None) -> int:
     """Scored or refreshed records by id over the stored ones; returns how many were processed."""
-    incoming = records if "seq" in records.columns else records.withColumn("seq", F.lit(0).cast("bigint"))
+    incoming = staged(records if "seq" in records.columns else records.withColumn("seq", F.lit(0).cast("bigint")), "records")
     merged = upsert(spark.read.parquet(f"{old_path}/records"), incoming, ["id"]) if old_path else latest_per_key(incoming, ["id"]).drop("seq")
     merged.write.mode("errorifexists").parquet(f"{new_path}/records")
-    return records.count()
+    return incoming.count()
 
 
 def save_scores(spark: SparkSession, path: str, new_path: str, facts: DataFrame | None, as_of, weights: dict | None = None) -> int:
@@ -41,10 +42,10 @@ def save_extraction(spark: SparkSession, made: dict[str, DataFrame], path: str,
 
 def save_findings(spark: SparkSession, findings: DataFrame, new_path: str, old_path: str | None = None) -> int:
     """Findings over the stored ones, on a conflict only with new severity, summary and time; returns how many were processed."""
-    incoming = findings.withColumn("seq", F.lit(0).cast("bigint"))
+    incoming = staged(findings.withColumn("seq", F.lit(0).cast("bigint")), "findings")
     stored = spark.read.parquet(f"{old_path}/findings") if old_path else findings.limit(0)
     upsert_findings(stored, incoming).write.mode("errorifexists").parquet(f"{new_path}/findings")
-    return findings.count()
+    return incoming.count()
 
 
 def save(spark: SparkSession, made: dict[str, DataFrame], new_path: str, old_path: str | None = None) -> None:

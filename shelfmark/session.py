@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The JVM does not optimize methods beyond 8,000 bytes of bytecode; wide score and classification
 # projections exceed that when a whole stage is one method, and then run several times slower.
@@ -57,3 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         context.setCheckpointDir(folder)
         current = context.getCheckpointDir()
     return current
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back: later readers repeat none of its work, take only
+    the columns they use, and do not depend on executors."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark import constants as K
 from shelfmark.operators import catalog, content, diff, discover, findings, keyed, ranking, records, refresh, reports
 from shelfmark.plans import collect, publish
 from shelfmark.schemas import REPOSITORY, SEARCH_HIT
@@ -288,3 +289,27 @@ def test_flagged_rows_equal_full_comparison(spark):
     plan = few._jdf.queryExecution().optimizedPlan().toString()
     wide = plan[: plan.index("FullOuter")].count("LeftSemi")
     assert wide == 0 and plan.count("LeftSemi") == 2 and "LeftAnti" in plan  # whole rows meet behind the semi joins
+
+
+def test_positions_of_wide_rows_stage_keys_only(spark):
+    rnd = random.Random(5)
+    rows = [(None if rnd.random() < .1 else rnd.choice("ab"), rnd.choice([None, 1, 2, 3]), i, "wide" * 50) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, v int, id int, body string")
+    order = [F.coalesce(F.col("v"), F.lit(0)).desc(), F.asc("id")]
+    wide = ranking.position_in_group(df, ["g"], order, "pos")
+    narrow = ranking.position_by_id(df, ["g"], ["id"], order, ["v"], "pos")
+    assert sorted(map(str, wide.collect())) == sorted(map(str, narrow.collect()))
+    staged = [line for line in narrow._jdf.queryExecution().executedPlan().toString().splitlines() if "ExistingRDD" in line]
+    assert staged and not any("body" in line and "__row" in line for line in staged)
+
+
+def test_extraction_reads_files_once(spark):
+    selected = spark.createDataFrame([("github:a/b",)], "id string")
+    text = "aGVsbG8="
+    rows = [("github:a/b", K.README_LISTING, "file", 0, "README.md", "README.md", None, text), ("github:c/d", K.README_LISTING, "file", 0, "README.md", "README.md", None, text)]
+    files = spark.createDataFrame(rows, "repository_id string, listing string, type string, file_order bigint, name string, path string, html_url string, content_base64 string")
+    docs = content.documents(selected, files)
+    assert [(r["repository_id"], r["content"]) for r in docs.collect()] == [("github:a/b", "hello")]
+    assert "content_base64" not in docs._jdf.queryExecution().executedPlan().toString()  # decoded once, then read from the stage
+    empty = content.documents(selected.limit(0), files)
+    assert empty.count() == 0 and content.statuses(selected, empty).first()["status"] == "skipped"

@@ -172,13 +172,15 @@ def snapshot_flags(t):
 
 
 @query("p17_comparable", """
-    select id, cast(stars as varchar) as stars, license, array_to_string(topics, ',') as topics, cast(cast(epoch(pushed_at) as bigint) as varchar) as pushed_at,
+    select id, cast(stars as varchar) as stars, cast(forks as varchar) as forks, cast(issues as varchar) as issues, language, description, license,
+        array_to_string(topics, ',') as topics, archived, cast(cast(epoch(pushed_at) as bigint) as varchar) as pushed_at, cast(cast(epoch(updated_at) as bigint) as varchar) as updated_at,
         case when health_status = '' then null else health_status end as health_status, cast(score_overall as varchar) as score_overall from snapshots""",
        ("snapshots",))
 def comparable_rows(t):
     df = t("snapshots")
     return df.select(*comparable(df.columns)).select(
-        "id", text("stars"), "license", csv("topics"), epoch("pushed_at"), "health_status", text("score_overall"))
+        "id", text("stars"), text("forks"), text("issues"), "language", "description", "license", csv("topics"), "archived",
+        epoch("pushed_at"), epoch("updated_at"), "health_status", text("score_overall"))
 
 
 @query("p17_comparable_nested", """

@@ -144,7 +144,7 @@ _FIRST_HITS = f"""
 
 @query("w01_collect", f"with {_FIRST_HITS} select id, stars, array_to_string(categories, ',') as categories, coalesce(archived, false) as archived, seq from classified", ("hits_flat",))
 def run_collect(t):
-    made = collect.collect(hits(t("hits_flat")), PARTS, AS_OF)
+    made = collect.collect(hits(t("hits_flat")), PARTS, AS_OF, staging=False)
     return made["records"].select("id", "stars", csv("awesome.categories"), "archived", "seq")
 
 
@@ -156,7 +156,7 @@ def run_collect(t):
 def discover_collect(t):
     """From a catalog table to saved records: searches, cap per query, union, de-duplication."""
     found = collect.discover_hits(t("repos"), ["order-1*", "*7"], ["gear", "ring"], 40)
-    return collect.collect(found, PARTS, AS_OF)["records"].select("id")
+    return collect.collect(found, PARTS, AS_OF, staging=False)["records"].select("id")
 
 
 @query("w01_collect_filtered", f"""
@@ -169,7 +169,7 @@ def run_collect_filtered(t):
 @query("w01_collect_summary", f"""
     with {_FIRST_HITS} select count(*) as collected, count(*) filter (where len(categories) > 0) as categorized, cast(0 as bigint) as duplicates_merged from classified""", ("hits_flat",))
 def run_collect_summary(t):
-    return collect.collect(hits(t("hits_flat")), PARTS, AS_OF, "Machines")["summary"]
+    return collect.collect(hits(t("hits_flat")), PARTS, AS_OF, "Machines", staging=False)["summary"]
 
 
 _RUNS = f"""
@@ -184,9 +184,9 @@ def run_collect_saved(t):
     rows = hits(t("hits_flat"))
     spark = rows.sparkSession
     first, second = scratch(spark, "w01a"), scratch(spark, "w01b")
-    run = lambda kind, staging: collect.collect(rows.filter(F.col("source") == kind), PARTS, AS_OF, staging=staging)
-    store.save(spark, run("search_pattern", f"{first}-staged"), first)
-    store.save(spark, run("topic", f"{second}-staged"), second, first)
+    run = lambda kind: collect.collect(rows.filter(F.col("source") == kind), PARTS, AS_OF)
+    store.save(spark, run("search_pattern"), first)
+    store.save(spark, run("topic"), second, first)
     return spark.read.parquet(f"{second}/records").select("id", "stars", csv("awesome.categories"))
 
 
@@ -198,7 +198,7 @@ def run_collect_with_facts(t):
     topics = ids.select("id", F.concat("topics", F.array(F.lit("fresh"))).alias("topics"))
     licenses = ids.filter("license is null").select("id", F.lit("none").alias("key"), F.lit(None).cast("string").alias("spdx_id"))
     counts = ids.select("id", F.lit(1).cast("bigint").alias("contributors"))
-    made = collect.collect(rows, PARTS, AS_OF, facts=(topics, licenses, counts))
+    made = collect.collect(rows, PARTS, AS_OF, facts=(topics, licenses, counts), staging=False)
     return made["records"].select("id", F.when(F.size("topics") == 1, ",fresh").otherwise(F.array_join("topics", ",")).alias("topics"), "license")
 
 
@@ -318,7 +318,7 @@ def saved_refresh(t):
     return spark.read.parquet(f"{new}/records").select("id", F.coalesce("stars", F.lit(-1)).alias("stars"))
 
 
-@query("w07_enrich_saved", f"with {OWNERS_SQL}, {FINDINGS_SQL} select source, count(*) as n from found group by source", ("partrepos", "advisories"))
+@query("w07_enrich_saved", f"with {OWNERS_SQL}, {FINDINGS_SQL} select source, advisory_id, package, severity, summary, cve_ids, coalesce(repository_id, '') as repository_id from found", ("partrepos", "advisories"))
 def saved_findings(t):
     """Findings saved twice: a repeated run replaces, it does not add."""
     found = maintain.enrich(part_records(t), osv_responses(t), kev_documents(t), cve_entries(t), AS_OF)["findings"]
@@ -326,25 +326,30 @@ def saved_findings(t):
     first, second = scratch(spark, "w07"), scratch(spark, "w07")
     store.save_findings(spark, found, first)
     store.save_findings(spark, found, second, first)
-    return spark.read.parquet(f"{second}/findings").groupBy("source").agg(F.count("*").alias("n"))
+    return spark.read.parquet(f"{second}/findings").select("source", "advisory_id", "package", "severity", "summary", csv("cve_ids"), "repository_id")
 
 
 @query("w06_generate", f"""
-    with {entries_sql()} select 'members' as dataset, count(*) as n from entries union all select 'repositories', count(*) from repos
-    union all select 'sitemap', 2 + count(distinct parent) + count(distinct case when category <> parent then parent || '|' || category end) + count(*) from entries
-    union all select 'daily', count(*) from repos""", ENTRY_VIEWS)
+    with {entries_sql()}, of_parent as (select distinct parent, id, score, stars from entries)
+    select 'members' as dataset, parent, category as leaf, row_number() over (partition by parent, category order by score desc, stars desc, id) as position, id from entries
+    union all select 'parents', parent, '', row_number() over (partition by parent order by score desc, stars desc, id), id from of_parent
+    union all select unnest(['repositories', 'daily']), '', '', 0, id from repos
+    union all select 'sitemap', '', '', 2 + count(distinct parent) + count(distinct case when category <> parent then parent || '|' || category end) + count(*), '' from entries""", ENTRY_VIEWS)
 def generate(t):
     flat = t("repos")
     spark, path = flat.sparkSession, scratch(flat.sparkSession, "w06")
     publish.publish(flat, t("bridge"), t("categories"), path, "2001-08-02")
-    parts = [
-        ("members", spark.read.parquet(f"{path}/index/members")), ("repositories", spark.read.parquet(f"{path}/index/repositories")),
-        ("sitemap", spark.read.text(f"{path}/sitemap")), ("daily", tables.read_snapshot(spark, f"{path}/daily", "2001-08-02")),
-    ]
+    index = lambda name: spark.read.parquet(f"{path}/index/{name}")
+    parts = {
+        "members": index("members"), "parents": index("parents"), "repositories": index("repositories").select("id"),
+        "daily": tables.read_snapshot(spark, f"{path}/daily", "2001-08-02").select("id"),
+        "sitemap": spark.read.text(f"{path}/sitemap").agg(F.count("*").alias("position")),
+    }
+    shape = {"parent": F.lit(""), "leaf": F.lit(""), "position": F.lit(0).cast("bigint"), "id": F.lit("")}
     out = None
-    for name, df in parts:
-        row = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), "n")
-        out = row if out is None else out.unionByName(row)
+    for name, df in parts.items():
+        rows = df.select(F.lit(name).alias("dataset"), *[F.col(c) if c in df.columns else default.alias(c) for c, default in shape.items()])
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
@@ -376,10 +381,11 @@ def run_diff(t):
     return publish.diff_report(t("snapshots"), DATE1, DATE2, DIFF_AS_OF)["summary"]
 
 
-@query("w07_enrich", f"with {OWNERS_SQL}, {FINDINGS_SQL} select source, count(*) as n from found group by source", ("partrepos", "advisories"))
+@query("w07_enrich", f"with {OWNERS_SQL}, {FINDINGS_SQL} select source, advisory_id, package, severity, summary, cve_ids, repository_id, (select count(*) from found) as finding_count from found", ("partrepos", "advisories"))
 def run_enrich(t):
     made = maintain.enrich(part_records(t), osv_responses(t), kev_documents(t), cve_entries(t), AS_OF)
-    return made["findings"].groupBy("source").agg(F.count("*").alias("n"))
+    return made["findings"].select(
+        "source", "advisory_id", "package", "severity", "summary", csv("cve_ids"), "repository_id", made["report"].select("finding_count").scalar().alias("finding_count"))
 
 
 @query("w07_extract", RECURSIVE_KEPT + """, picked as (select id from doc_repos where score_overall >= 0 order by score_overall desc, id limit 15)

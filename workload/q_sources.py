@@ -297,14 +297,21 @@ def findings_of_repository(t):
     return findings.stored(_stored(t), "PyPI").select("advisory_id", "seq")
 
 
-@query("s18_export", "select id, description, cast(stars as varchar) as stars, archived, health_status from repos", ("repos",))
+@query("s18_export", """
+    select id, description, cast(stars as varchar) as stars, archived, health_status, null as cve_ids from repos
+    union all select ecosystem, osv_id, cast(seq as varchar), null, 'osv', case when db_severity is null then 'not json' else '["' || alias1 || '","' || alias2 || '"]' end from advisories""",
+       ("repos", "advisories"))
 def export(t):
     df = t("repos")
     path = scratch(df.sparkSession, "s18")
     tables.export(df, path, _stored(t))
-    schema = df.schema
-    return df.sparkSession.read.schema(schema).json(f"{path}/repositories").select(
-        "id", "description", text("stars"), "archived", "health_status")
+    back = lambda like, name: df.sparkSession.read.schema(like.schema).json(f"{path}/{name}")
+    rows = back(df, "repositories").select(
+        "id", "description", text("stars"), "archived", "health_status", F.lit(None).cast("string").alias("cve_ids"))
+    found = back(_stored(t), "security_findings").select(
+        F.col("repository_id").alias("id"), F.col("advisory_id").alias("description"), F.col("seq").cast("string").alias("stars"),
+        F.lit(None).cast("boolean").alias("archived"), F.col("source").alias("health_status"), "cve_ids")
+    return rows.unionByName(found)
 
 
 @query("s19_fallback_scan", "select id, archived from repos", ("repos",))
