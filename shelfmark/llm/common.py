@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 BLOCK_BYTES = 1 << 20  # text that numpy handles at once; a longer single text is one block
+SMALL_BLOCK = 1 << 18  # where a byte costs some hundred bytes on the way
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +143,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of each text; fewer words than ``words`` make one shingle, no word none."""
     salt = [np.uint64(x | 1) for x in (0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xE7037ED1A0B428DB, 0x589965CC75374CC3)]
-    for first, last, data, offsets in utf8_blocks(column):
+    for first, last, data, offsets in utf8_blocks(column, SMALL_BLOCK):
         hashes, at = word_hashes(data, offsets)
         n = len(hashes)
         with np.errstate(over="ignore"):

@@ -15,6 +15,7 @@ from .components import components
 RETAINED = 32  # values of a sketch
 FEW = 16  # a list up to this length is compared pair by pair in SQL; longer ones in blocks
 BLOCK = 1 << 18  # shingles of a long list's members that one task compares with as many others
+LIGHTEST = 128  # shingles that a member counts for at least, so that a block has about BLOCK / LIGHTEST members at most
 LEAST = 0.375  # estimated likeness below which a pair is dropped: at a likeness of 0.8 about once in 10**8 pairs
 
 
@@ -112,7 +113,7 @@ def star_pairs(lists: DataFrame, percent: int) -> DataFrame:
 def mixed_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     """(key, size, weight, node, n, root): the lists whose members are still in different components."""
     rooted = lists.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("key", "size").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.sum("n").alias("weight"))
+    mixed = rooted.groupBy("key", "size").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.sum(F.greatest("n", F.lit(LIGHTEST))).alias("weight"))
     return stage(rooted.join(mixed.filter("_low <> _high").select("key", "size", "weight"), ["key", "size"]), "mixed")
 
 
@@ -141,7 +142,7 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048)
         grid = np.zeros((len(left) + len(right), min(width, len(often) - low)), np.float32)
         grid[owner[a:b], column[a:b] - low] = 1
         out += grid[: len(left)] @ grid[len(left) :].T
-    return out.astype(np.int64)
+    return out.astype(np.int32)
 
 
 def block_links(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -165,21 +166,15 @@ def block_links(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
         common = overlaps([values[k] for k in x], [values[k] for k in y])
         n = np.array([len(v) for v in values])
-        linked = (100 * common >= percent * (n[x][:, None] + n[y][None] - common)) & (root[x][:, None] != root[y][None])
-        parent = list(range(int(root.max()) + 1))
-
-        def find(k: int) -> int:
-            while parent[k] != k:
-                parent[k] = parent[parent[k]]
-                k = parent[k]
-            return k
-
-        edges = []
-        for p, q in zip(*np.nonzero(linked), strict=True):
-            u, v = find(int(root[x[p]])), find(int(root[y[q]]))
-            if u != v:
-                parent[u] = v
-                edges.append(sorted((names[x[p]], names[y[q]])))
+        label, edges = np.arange(int(root.max()) + 1), []  # the component of each root so far
+        for p, member in enumerate(x):
+            shared = common[p].astype(np.int64)
+            own, theirs = label[root[member]], label[root[y]]
+            linked = np.flatnonzero((100 * shared >= percent * (n[member] + n[y] - shared)) & (theirs != own))
+            if len(linked):
+                others, one = np.unique(theirs[linked], return_index=True)
+                edges += [sorted((names[member], names[y[q]])) for q in linked[one]]
+                label[np.isin(label, others)] = own
         return pa.table({"a": pa.array([e[0] for e in edges], pa.binary()), "b": pa.array([e[1] for e in edges], pa.binary())})
 
     return many.groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary")

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import texts_of, utf8_blocks
+from .common import SMALL_BLOCK, texts_of, utf8_blocks
 
 BUCKETS = 1 << 14
 UNKNOWN = "und"
@@ -43,7 +43,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-            for first, last, data, offsets in utf8_blocks(batch.column("text")):
+            for first, last, data, offsets in utf8_blocks(batch.column("text"), SMALL_BLOCK):
                 row, bucket = grams(data, offsets)
                 names, codes = np.unique(langs[first:last].astype(str), return_inverse=True)
                 counts = np.bincount(codes[row] * BUCKETS + bucket, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS)
@@ -124,7 +124,7 @@ def _predicted(source: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFr
             column = batch.column(batch.num_columns - 1)
             predicted, scores = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
             lettered = np.array([bool(_LETTER.search(t)) for t in texts_of(column)], bool)
-            for first, last, data, offsets in utf8_blocks(column):
+            for first, last, data, offsets in utf8_blocks(column, SMALL_BLOCK):
                 if not names:
                     break
                 shares = mixtures(*grams(data, offsets), last - first, table)
