@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -72,6 +73,28 @@ def test_near_duplicates_equal_brute_force(docs_of, monkeypatch, few):
     assert got == _expected(rows)
 
 
+def test_block_links_of_tiny_sets_span_the_components(spark, monkeypatch):
+    """Many members of few shingles in one list: the returned edges are links, and join what brute force joins."""
+    monkeypatch.setattr(duplicates, "BLOCK", 40 * duplicates.LIGHTEST)
+    rng = random.Random(8)
+    sets = sorted({tuple(sorted(rng.sample(range(12), rng.randint(1, 9)))) for _ in range(160)})
+    name = lambda k: b"%04d" % k
+    weight = len(sets) * duplicates.LIGHTEST
+    mixed = spark.createDataFrame([(1, len(sets), weight, name(k), len(v), name(k)) for k, v in enumerate(sets)], "key long, size long, weight long, node binary, n long, root binary")
+    full = spark.createDataFrame([(name(k), np.array(v, np.uint64).tobytes()) for k, v in enumerate(sets)], "set_id binary, shingles binary")
+    edges = {(int(r.a), int(r.b)) for r in duplicates.block_links(mixed, full, 80).collect()}
+    linked = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 100 * len(set(sets[i]) & set(sets[j])) >= 80 * len(set(sets[i]) | set(sets[j]))}
+
+    def classes(pairs):
+        label = list(range(len(sets)))
+        for i, j in pairs:
+            low, high = sorted((label[i], label[j]))
+            label = [low if c == high else c for c in label]
+        return label
+
+    assert edges <= linked and classes(edges) == classes(linked) and len(set(classes(linked))) < len(sets)
+
+
 def test_long_lists_are_compared_in_blocks(docs_of, monkeypatch):
     monkeypatch.setattr(duplicates, "FEW", 3)
     monkeypatch.setattr(duplicates, "BLOCK", 2000)
