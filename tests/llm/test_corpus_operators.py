@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfmark.llm import decontamination, duplicates, substrings
@@ -319,3 +320,18 @@ def test_pipeline(spark):
         assert docs.columns == columns and docs.count() > 0
     packed = corpus_pipeline.run(spark, sf)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_stages_on_edge_rows(spark, docs_of, empty):
+    """Nulls, blanks, repeated rows and clashing column names pass all stages; columns stay, and what is packed is what was kept."""
+    sf = "/root/testdata/sf0.001"
+    docs = docs_of([] if empty else EDGE)
+    docs = docs.withColumn("_own", F.lit(1)).withColumn("key", F.lit("x"))
+    columns = docs.columns
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stage(step(spark, docs, sf), name)
+        assert docs.columns == columns
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    ids = Counter(r.doc_id for r in docs.select("doc_id").collect())
+    assert Counter(r.doc_id for r in packed.filter("piece = 0").select("doc_id").collect()) == ids and (not empty or not ids)
