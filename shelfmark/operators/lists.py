@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions import markdown as M
-from ..functions.text import strip
+from ..functions.text import bind, strip
 from ..functions.urls import id_from_link, id_from_url, normalize_url, repository_id
 from .keyed import first_per_key
 
@@ -129,22 +129,24 @@ def _read_once(docs: DataFrame) -> DataFrame:
     named = F.transform("ids", lambda m: F.struct(m["repo_id"].alias("repo_id"), m["gen"].alias("gen"), m["pos"].alias("pos"), F.substring_index(m["repo_id"], "/", -1).alias("name")))
     read = docs.withColumns({"ids": F.filter(ids, lambda m: m["repo_id"].isNotNull()), "blocks": M.section_blocks(md, deepest=6)}).drop(md)
     sorted_ = read.withColumn("found", F.array_sort(named)).withColumn("names", F.array_distinct(F.transform("found", lambda m: m["name"])))
-    sized = sorted_.withColumn("lengths", F.array_distinct(F.transform("names", F.length)))
+    # Names and lengths are bound: a lambda that mentions a computed column would compute it again for every element.
+    wanted = F.struct(F.col("names").alias("names"), F.array_distinct(F.transform("names", F.length)).alias("lengths"))
 
-    def block_hits(block: Column, i: Column) -> Column:
+    def block_hits(block: Column, i: Column, known: Column) -> Column:
         first = M.first_line(block)
         headed = first.rlike(_HEADING_LINE)
         body = F.lower(F.when(headed, M.after_first_line(block)).otherwise(block))
         pieces = F.split(body, "/")
         behind = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
         cuts = F.flatten(F.transform(behind, lambda p: F.transform(
-            F.col("lengths"), lambda n: F.substr(p, F.lit(1), n))))
+            known["lengths"], lambda n: F.substr(p, F.lit(1), n))))
         return F.struct(
             i.cast("bigint").alias("section_no"),
             F.when(headed, strip(F.regexp_extract(first, _HEADING_LINE, 1))).otherwise("").alias("section"),
-            F.array_intersect(F.col("names"), cuts).alias("hits"))
+            F.array_intersect(known["names"], cuts).alias("hits"))
 
-    return sized.withColumn("hits", F.transform("blocks", block_hits)).drop("ids", "blocks", "lengths", "names")
+    hits = bind(wanted, lambda known: F.transform("blocks", lambda block, i: block_hits(block, i, known)))
+    return sorted_.withColumn("hits", hits).drop("ids", "blocks", "names")
 
 
 def mention_sections(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import base64
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,6 +71,16 @@ def test_members_and_sections(docs):
     assert got["github:too/early"] == "" and got["github:c/three"] == ""  # only a heading line mentions the last one
 
 
+def test_sections_of_a_long_list_take_one_pass(spark):
+    """Names and their lengths are computed once a text, not once for every piece of it."""
+    lines = [line for i in range(800) for line in ([f"## S{i // 100}"] if i % 100 == 0 else []) + [f"- [t{i}](https://github.com/o{i}/{'n' * (i % 30)}{i})"]]
+    doc = spark.createDataFrame([("l", "\n".join(lines))], "list_id string, markdown string")
+    started = time.monotonic()
+    got = {r["name"]: r["section"] for r in lists.mention_sections(doc).collect()}
+    assert time.monotonic() - started < 15
+    assert all(got[f"{'n' * (i % 30)}{i}"] == f"S{i // 100}" for i in range(100, 800))
+
+
 def test_sections_equal_brute_force(spark):
     """The hash-set search against a plain double loop."""
     rnd = random.Random(5)
