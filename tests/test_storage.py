@@ -154,3 +154,19 @@ def test_broken_documents_and_feeds_become_messages(spark, tmp_path):
         assert made["report"].first()["error_count"] == 8
     nothing = maintain.enrich_feeds(recs, {"cve": str(tmp_path / "none")}, "2026-01-01")
     assert nothing["findings"].count() == 0 and nothing["errors"].count() == 1
+
+
+def test_feed_files_are_compressed_and_bounded(spark, monkeypatch):
+    from shelfmark.sources import feeds
+    from workload import q_findings
+    from workload.common import hits
+
+    monkeypatch.setattr(q_findings, "FEED_LINES", 100)
+    flat = spark.range(1000).selectExpr(
+        "id AS seq", "'topic' AS source", "'q' AS query", "'o' AS owner", "'n' AS name", "'u' AS html_url", "'d' AS description", "id AS stars", "id AS forks_count",
+        "id AS forks", "id AS issues", "'Go' AS language", "array('t') AS topics", "'mit' AS license", "false AS archived")
+    _, path = q_findings.feed_file(hits(flat.coalesce(1)), "t")
+    files = list(Path(path.removeprefix("file:")).glob("part-*.json*"))
+    assert len(files) == 10 and all(f.name.endswith(".lz4") for f in files)
+    assert sum(f.stat().st_size for f in files) < 100 * 1000
+    assert sorted(r["seq"] for r in feeds.read_hits(spark, path).collect()) == list(range(1000))

@@ -85,10 +85,13 @@ _BROKEN_SQL = "seq % 10 = 3"
 _BROKEN = r"""'{"seq": ' || seq || ', "package": ['"""  # cut off in the middle
 
 
+FEED_LINES = 500_000  # of a compressed file, which one task reads
+
+
 def feed_file(rows, name):
-    """Rows as JSON lines; before them a blank line and, for each row in ten, a document that was cut off."""
+    """Rows as compressed JSON lines; before them a blank line and, for each row in ten, a document that was cut off."""
     spark, path = rows.sparkSession, scratch(rows.sparkSession, name)
-    rows.write.json(path)
+    rows.write.option("compression", "lz4").option("maxRecordsPerFile", FEED_LINES).json(path)
     cut = rows.filter(_BROKEN_SQL).select(F.explode(F.array(F.expr(_BROKEN), F.lit(" "))).alias("value"))
     cut.write.mode("append").text(path)
     return spark, path
