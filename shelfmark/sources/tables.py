@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..operators.keyed import FINDING_KEY, latest_per_key, merge_findings, reduced_findings, upsert_daily_metrics
-from ..operators.ranking import best_first, position_in_group
+from ..operators.ranking import best_first, numbered, position_in_group, slices_of
 from ..operators.records import complete
 from ..operators.reports import layout_entries
 from ..schemas import FINDING, REPOSITORY
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, staged
 
 CONTENT_BUCKETS, FINDING_BUCKETS = 256, 64  # defaults; a store keeps the number it was written with
 
@@ -146,16 +146,31 @@ def index_members(entries: DataFrame) -> DataFrame:
     return entries.select("parent", F.col("category").alias("leaf"), "id")
 
 
+def _index_rows(entries: DataFrame) -> DataFrame:
+    """What the id lists need of the entries, written once."""
+    return staged(entries.select("parent", F.col("category").alias("leaf"), "id", "score", "stars"), "index")
+
+
 def index_lists(entries: DataFrame) -> DataFrame:
     """``(parent, leaf, position, id)``: the ids of each leaf, best score first, numbered from 1."""
-    rows = entries.select("parent", F.col("category").alias("leaf"), "id", "score", "stars")
-    return position_in_group(rows, ["parent", "leaf"], best_first(), "position").select("parent", "leaf", "position", "id")
+    return _staged_lists(_index_rows(entries))
+
+
+def _staged_lists(rows: DataFrame) -> DataFrame:
+    ranked = position_in_group(rows, ["parent", "leaf"], best_first(), "position", few=True, slices=slices_of(rows))
+    return ranked.select("parent", "leaf", "position", "id")
 
 
 def index_parents(entries: DataFrame) -> DataFrame:
     """``(parent, position, id)``: the distinct ids under each parent, best score first."""
-    rows = entries.select("parent", "id", "score", "stars").dropDuplicates(["parent", "id"])
-    return position_in_group(rows, ["parent"], best_first(), "position").select("parent", "position", "id")
+    return _staged_parents(_index_rows(entries))
+
+
+def _staged_parents(rows: DataFrame) -> DataFrame:
+    """The ids are made distinct in as many partitions as they are sorted in, so that no task holds more as the table grows."""
+    slices = slices_of(rows)
+    once = rows.select("parent", "id", "score", "stars").repartition(slices, "parent", "id").dropDuplicates(["parent", "id"])
+    return position_in_group(once, ["parent"], best_first(), "position", few=True, slices=slices).select("parent", "position", "id")
 
 
 def read_index(spark: SparkSession, path: str, parent: str, leaf: str | None = None) -> DataFrame:
@@ -173,23 +188,18 @@ def slim_records(flat: DataFrame) -> DataFrame:
 
 
 def layout_positions(layout: DataFrame) -> DataFrame:
-    """``(parent, leaf, position, id)`` from the rows of an ordered layout: row numbers less the first of the group, plus the
-    group's rows in earlier partitions. Only the counts per (partition, group) are grouped."""
+    """``(parent, leaf, position, id)`` from the rows of an ordered layout, in its partitions."""
     rows = layout_entries(layout).select("slice", "row", "parent", F.col("category").alias("leaf"), "id")
-    spans = rows.groupBy("slice", "parent", "leaf").agg(F.min("row").alias("first"), F.count("*").alias("n"))
-    before = Window.partitionBy("parent", "leaf").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = spans.select("slice", "parent", "leaf", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    same = ["slice", "parent", "leaf"]
-    joined = rows.alias("r").join(offsets.alias("o"), [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in same])
-    position = (F.col("r.row") - F.col("o.first") + F.col("o.before") + 1).cast("bigint")
-    return joined.select("r.parent", "r.leaf", position.alias("position"), "r.id")
+    return numbered(rows, ["parent", "leaf"], "position", few=True, row="row", part="slice").select("parent", "leaf", "position", "id")
 
 
 def write_index(entries: DataFrame, flat: DataFrame, path: str, layout: DataFrame | None = None) -> None:
-    """Rows are dealt by range down to the position, so a parent of any size is written by many tasks."""
-    members = layout_positions(layout) if layout is not None else index_lists(entries)
-    members.repartitionByRange("parent", "leaf", "position").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
-    index_parents(entries).repartitionByRange("parent", "position").write.mode("overwrite").partitionBy("parent").parquet(f"{path}/parents")
+    """Id lists are written in the partitions they were sorted in, by range down to the single row, so a parent of any size
+    is written by many tasks and nothing is dealt again."""
+    rows = _index_rows(entries)
+    members = layout_positions(layout) if layout is not None else _staged_lists(rows)
+    members.write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
+    _staged_parents(rows).write.mode("overwrite").partitionBy("parent").parquet(f"{path}/parents")
     slim_records(flat).write.mode("overwrite").parquet(f"{path}/repositories")
     flat.agg(F.count("*").alias("total")).write.mode("overwrite").json(f"{path}/totals")
 

@@ -270,6 +270,32 @@ def test_index_of_a_large_parent_is_written_by_many_tasks(spark, tmp_path):
         assert sorted(r.position for r in rows) == list(range(1, 3001)) and len({r.id for r in rows}) == 3000
 
 
+def _index_entries(spark, n):
+    return spark.range(n).selectExpr("'P' AS parent", "if(id % 2 = 0, 'A', 'B') AS category", "cast(id div 2 AS string) AS id", "cast(id div 2 % 7 AS double) AS score", "id div 2 % 5 AS stars")
+
+
+def test_index_makes_its_entries_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(category):
+        made.add(1)
+        return category
+
+    entries = _index_entries(spark, 400).withColumn("category", F.udf(seen, "string")("category"))
+    flat = _index_entries(spark, 2).selectExpr("id", "'o' AS owner", "id AS name", "'u' AS url", "stars", "score AS score_overall", "'h' AS health_status")
+    tables.write_index(entries, flat, str(tmp_path))
+    assert made.value == 400
+    assert sorted(r.position for r in tables.read_index(spark, str(tmp_path), "P", "B").collect()) == list(range(1, 201))
+
+
+def test_index_lists_take_more_tasks_as_the_rows_grow(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SLICE_ROWS", 50)
+    entries = _index_entries(spark, 2000)
+    for made, n in ((tables.index_parents(entries), 1000), (tables.index_lists(entries), 2000)):
+        assert made.rdd.getNumPartitions() >= 30 and made.count() == n
+        assert "Exchange hashpartitioning" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_flagged_rows_equal_full_comparison(spark):
     kinds = "id string, name string, stars bigint, forks bigint, topics array<string>, health_status string, archived boolean, pushed_at timestamp"
     time = "2026-01-01 00:00:00.000001"
