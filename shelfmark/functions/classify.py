@@ -216,6 +216,11 @@ def with_section(section_leaf: Column, classified: Column) -> Column:
     return F.array_distinct(F.array_compact(F.concat(F.array(section_leaf), classified)))
 
 
+def parent_of(category: Column | str, taxonomy: Taxonomy) -> Column:
+    """The parent of one declared leaf, as in ``parents_of``; null for any other name."""
+    return lookup(taxonomy.leaf_parent, col(category))
+
+
 def parents_of(categories: Column | str, taxonomy: Taxonomy) -> Column:
     """``map<leaf,parent>`` for the declared leaves of a record."""
     table = taxonomy.leaf_parent

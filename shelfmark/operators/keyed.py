@@ -97,16 +97,18 @@ def category_rows(assigned: DataFrame) -> DataFrame:
     """Category table ``(name, parent)`` from ``(repository_id, category, parent, seq)``.
 
     Parents become rows of their own without a parent; a leaf keeps the first parent it got. A parent row is written
-    before the leaves of the same record, hence the step. ``seq`` may be of any ordered type.
+    before the leaves of the same record, hence the step. ``seq`` may be of any ordered type; null comes first.
+
+    The rows are read once and reduced to one for each category and parent, by hash where ``seq`` is a number; what is
+    ordered and compared after that is as small as the taxonomy.
     """
+    first = F.when(~F.max(F.col("seq").isNull()), F.min("seq"))
+    pairs = assigned.groupBy("category", "parent").agg(first.alias("seq"))
     has_parent = F.coalesce((F.col("parent") != "") & (F.col("parent") != F.col("category")), F.lit(False))
-    leaves = assigned.select(
-        F.col("category").alias("name"), F.when(has_parent, F.col("parent")).alias("parent"),
-        "seq", F.lit(1).alias("step"))
-    roots = assigned.filter("parent is not null").select(
-        F.col("parent").alias("name"), F.lit(None).cast("string").alias("parent"), "seq", F.lit(0).alias("step"))
-    everything = leaves.unionByName(roots).groupBy("name").agg(F.min(F.struct("seq", "step", "parent")).alias("f"))
-    return everything.select("name", "f.parent")
+    row = lambda name, step, parent: F.struct(F.col(name).alias("name"), F.struct("seq", F.lit(step).alias("step"), parent.alias("parent")).alias("f"))
+    leaf, root = row("category", 1, F.when(has_parent, F.col("parent"))), row("parent", 0, F.lit(None).cast("string"))
+    rows = pairs.select(F.explode(F.when(F.col("parent").isNull(), F.array(leaf)).otherwise(F.array(leaf, root))).alias("r"))
+    return rows.groupBy("r.name").agg(F.min("r.f").alias("f")).select("name", "f.parent")
 
 
 def category_bridge(assigned: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
-from ..functions.classify import classify, heading_category, parents_of, with_section
+from ..functions.classify import classify, heading_category, parent_of, parents_of, with_section
 from ..operators import catalog, discover, keyed, lists, records
 from ..schemas import REPOSITORY
 from ..session import staged
@@ -65,10 +65,8 @@ def collect(
 
 def assigned_categories(saved: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """``(repository_id, category, parent, seq)`` rows of classified records."""
-    parents = parents_of("categories", taxonomy)
-    return saved.select(
-        F.col("id").alias("repository_id"), "seq", F.explode("categories").alias("category"), parents.alias("p")
-    ).select("repository_id", "category", F.try_element_at("p", F.col("category")).alias("parent"), "seq")
+    placed = saved.select(F.col("id").alias("repository_id"), "seq", F.explode("categories").alias("category"))
+    return placed.select("repository_id", "category", parent_of("category", taxonomy).alias("parent"), "seq")
 
 
 def collect_from_lists(

@@ -37,6 +37,34 @@ def test_category_rows_keep_first_parent(spark):
     assert got == {"x": "A", "A": None, "B": None, "C": None, "y": None, "z": None}
 
 
+def test_category_rows_read_once_and_null_seq_first(spark):
+    rnd = random.Random(3)
+    rows = [(f"r{i}", rnd.choice(["x", "y", "z", "A", None]), rnd.choice(["A", "B", "x", "", None]), rnd.choice([None, 1, 2, 3])) for i in range(60)]
+    shape = "repository_id string, category string, parent string, seq bigint"
+    for given in [rows, *(rnd.sample(rows, 8) for _ in range(4))]:
+        low = lambda v: (v is not None, v if v is not None else 0)
+        found = {}
+        for _, name, parent, seq in given:
+            leaf = parent if parent and name is not None and parent != name else None
+            for key, step, value in [(name, 1, leaf)] + ([(parent, 0, None)] if parent is not None else []):
+                found.setdefault(key, []).append((low(seq), step, (value is not None, value or "")))
+        expected = {key: min(all_)[2][1] or None for key, all_ in found.items()}
+        got = keyed.category_rows(spark.createDataFrame(given, shape))
+        assert {r["name"]: r["parent"] for r in got.collect()} == expected
+    plan = keyed.category_rows(spark.createDataFrame(rows, shape))._jdf.queryExecution().executedPlan().toString()
+    reading = plan[plan.rindex("Exchange hashpartitioning(category"):]
+    assert plan.count("ExistingRDD") == 1 and "HashAggregate" in reading and "Sort" not in reading
+
+
+def test_parents_are_looked_up_by_leaf(spark):
+    from shelfmark.plans import collect
+
+    one = spark.createDataFrame([("r", 1, ["Storage", "Python", "nobody", None, *EXAMPLE.leaves])], "id string, seq bigint, categories array<string>")
+    got = collect.assigned_categories(one, EXAMPLE)
+    assert [(r["category"], r["parent"]) for r in got.collect()] == [(c, EXAMPLE.leaf_parent.get(c)) for c in one.first()["categories"]]
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_hot_key_ships_one_row_per_task(spark):
     plan = keyed.first_per_key(spark.range(10).withColumn("k", F.col("id") % 2), ["k"], [F.asc("id")])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
