@@ -357,6 +357,14 @@ def test_positions_of_wide_rows_stage_keys_only(spark):
     assert staged and not any("body" in line and "__row" in line for line in staged)
 
 
+def test_narrow_rows_are_ranked_without_a_join(spark):
+    df = spark.createDataFrame([("a" if i % 3 else None, i % 4, i) for i in range(200)], "g string, v int, id int")
+    order = [F.desc("v"), F.asc("id")]
+    ranked = ranking.position_by_id(df, ["g"], ["id"], order, ["v"], "pos")
+    assert sorted(map(str, ranked.collect())) == sorted(map(str, ranking.position_in_group(df, ["g"], order, "pos").collect()))
+    assert "SortMergeJoin" not in (plan := ranked._jdf.queryExecution().executedPlan().toString()) and "hashpartitioning(g" not in plan.split("BroadcastExchange")[0]
+
+
 def test_extraction_reads_files_once(spark):
     selected = spark.createDataFrame([("github:a/b",)], "id string")
     text = "aGVsbG8="

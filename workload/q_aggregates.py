@@ -276,7 +276,8 @@ def set_operations(t):
 @query("l01_leaf_ranking", f"""
     with {entries_sql()} select parent, category, id, row_number() over (partition by parent, category order by score desc, stars desc, id) as position from entries""", ENTRY_VIEWS)
 def leaf_ranking(t):
-    return reports.ranked_entries(entries(t)).select("parent", "category", "id", "position")
+    rows = entries(t).select("parent", "category", "id", "score", "stars")
+    return reports.ranked_entries(rows).select("parent", "category", "id", "position")
 
 
 @query("l02_select_for_content", "select id from repos where coalesce(score_overall, 0) >= 20 order by coalesce(score_overall, 0) desc, id limit 100", ("repos",))
