@@ -27,22 +27,19 @@ def publish(flat: DataFrame, bridge: DataFrame, categories: DataFrame, path: str
             generated_at: str | None = None) -> bool:
     """Write all datasets; without records existing output is left alone.
 
-    The placed entries are sorted once; reports, index lists and snapshot are read off that order.
+    The placed entries are made once, into the snapshot of the date; everything else takes the columns it needs from there.
+    They are sorted once; the texts and the id lists of the leaves are read off that order.
     """
     if flat.isEmpty():
         return False
-    placed = reports.tree_entries(catalog.placed(flat, bridge, categories)).persist()
-    try:  # headings and totals of the layout read the entries too
-        layout = reports.ordered_layout(placed, generated_at)
-    finally:
-        placed.unpersist()
-    entries = reports.layout_entries(layout).drop("row", "slice")
+    tables.write_snapshot(reports.tree_entries(catalog.placed(flat, bridge, categories)), f"{path}/daily_entries", date)
+    entries = tables.read_snapshot(flat.sparkSession, f"{path}/daily_entries", date).drop("date")
+    layout = reports.ordered_layout(entries, generated_at)
     for name in ("sitemap", "index_text", "category_index"):
         reports.layout_lines(layout, name).write.mode("overwrite").text(f"{path}/{name}")
     reports.write_lines(reports.agent_guide_lines(entries, catalog.stats(flat)), f"{path}/agent_guide")
     tables.write_index(entries, flat, f"{path}/index", layout)
     tables.write_snapshot(diff.with_digest(flat), f"{path}/daily", date)
-    tables.write_snapshot(entries, f"{path}/daily_entries", date)
     return True
 
 

@@ -189,14 +189,13 @@ def slim_records(flat: DataFrame) -> DataFrame:
 
 def layout_positions(layout: DataFrame) -> DataFrame:
     """``(parent, leaf, position, id)`` from the rows of an ordered layout, in its partitions."""
-    rows = layout_entries(layout).select("slice", "row", "parent", F.col("category").alias("leaf"), "id")
-    return numbered(rows, ["parent", "leaf"], "position", few=True, row="row", part="slice").select("parent", "leaf", "position", "id")
+    return numbered(layout_entries(layout), ["parent", "leaf"], "position", few=True, row="row", part="slice").select("parent", "leaf", "position", "id")
 
 
 def write_index(entries: DataFrame, flat: DataFrame, path: str, layout: DataFrame | None = None) -> None:
     """Id lists are written in the partitions they were sorted in, by range down to the single row, so a parent of any size
-    is written by many tasks and nothing is dealt again."""
-    rows = _index_rows(entries)
+    is written by many tasks and nothing is dealt again. Entries that come with a layout are stored ones and are not staged again."""
+    rows = _index_rows(entries) if layout is None else entries.select("parent", F.col("category").alias("leaf"), "id", "score", "stars")
     members = layout_positions(layout) if layout is not None else _staged_lists(rows)
     members.write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
     _staged_parents(rows).write.mode("overwrite").partitionBy("parent").parquet(f"{path}/parents")

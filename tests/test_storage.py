@@ -134,6 +134,30 @@ def test_published_texts_come_from_one_sort_in_order(spark, tmp_path):
     assert "Exchange" not in reports.layout_lines(layout, "sitemap")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_published_entries_are_made_once_and_the_layout_is_narrow(spark, tmp_path, monkeypatch):
+    from shelfmark.operators import reports
+    from shelfmark.plans import publish
+
+    rows = [(f"github:o/{i // 2 if i < 20 else i}", "o", str(i), "u", None, i % 3, None, float(i % 4), None) for i in range(80)]
+    flat = spark.createDataFrame(rows, "id string, owner string, name string, url string, description string, stars bigint, language string, score_overall double, health_status string")
+    bridge = spark.createDataFrame([(f"github:o/{i}", c) for i in range(70) for c in ("Leaf", "Top")], "repository_id string, category string")
+    cats = spark.createDataFrame([("Leaf", "Top"), ("Top", "Top")], "name string, parent string")
+    read, layouts, real = [], [], reports.ordered_layout
+    monkeypatch.setattr(reports, "ordered_layout", lambda entries, at: read.append(entries) or layouts.append(real(entries, at)) or layouts[0])
+    assert publish.publish(flat, bridge, cats, str(tmp_path / "out"), "2026-01-01", "now")
+    plan = read[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "InMemoryTableScan" not in plan and all("/daily_entries/" in f for f in read[0].inputFiles())
+    assert set(layouts[0].columns) == {"row", "entry", "parent", "leaf", "id", "line", "report", "name", "url", "description", "stars", "score"}
+    made = publish.generate(flat, bridge, cats, "now")
+    lines = lambda df: sorted(r["line"] for r in df.collect() if not r["line"].startswith("| ["))
+    guide = spark.read.text(str(tmp_path / "out" / "agent_guide")).withColumnRenamed("value", "line")
+    assert lines(guide) == lines(made["agent_guide"])
+    best = [r["line"] for r in guide.filter("line LIKE '| [%'").collect()]
+    assert len(best) == 50 and "- Records: 70" in lines(guide) and "- Leaves: 3" in lines(guide) and "- Parents: 2" in lines(guide)
+    stored = spark.read.parquet(str(tmp_path / "out" / "daily_entries")).drop("date")
+    assert sorted(map(str, stored.collect())) == sorted(map(str, made["entries"].select(*stored.columns).collect()))
+
+
 def test_broken_documents_and_feeds_become_messages(spark, tmp_path):
     from shelfmark.plans import maintain
 
