@@ -30,14 +30,15 @@ def latest_per_key(df: DataFrame, keys, order: str = "seq") -> DataFrame:
     return top_per_key(df, keys, [F.col(order).desc_nulls_last()], 1)
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys, order: str = "seq") -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, keys, order: str = "seq", once: bool = False) -> DataFrame:
     """Whole-row replacement by key; among incoming rows the highest ``order`` wins.
 
-    Only the incoming rows are ranked. The existing ones, unique by key, pass an anti join with the incoming keys,
-    which Spark broadcasts where they are few; they are neither sorted nor windowed.
+    Only the incoming rows are ranked, or not even these where each key is known to come ``once``. The existing ones, unique
+    by key, pass an anti join with the incoming keys as they come, which Spark broadcasts where they are few; they are
+    neither sorted nor windowed.
     """
-    new = latest_per_key(incoming, keys, order).drop(order)
-    touched = new.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    new = (incoming if once else latest_per_key(incoming, keys, order)).drop(order)
+    touched = incoming.select(*[F.col(k).alias(f"__{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
     kept = existing.drop(order).join(touched, same, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)

@@ -58,7 +58,11 @@ def save(spark: SparkSession, made: dict[str, DataFrame], new_path: str, old_pat
     if "seq" not in incoming.columns:
         incoming = incoming.withColumn("seq", F.lit(0).cast("bigint"))
     stored = lambda name: spark.read.parquet(f"{old_path}/{name}")
-    merged = upsert(stored("records"), incoming, ["id"]) if old_path else incoming.drop("seq")
+    if old_path:  # ids alone are counted, so that whole rows are ranked only where an id repeats
+        once = incoming.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+        merged = upsert(stored("records"), incoming, ["id"], once=once)
+    else:
+        merged = incoming.drop("seq")
     merged.write.mode("errorifexists").parquet(f"{new_path}/records")
     for name, keys in _KEYS.items():
         rows = insert_absent(stored(name), made[name], keys) if old_path else made[name].dropDuplicates(keys)

@@ -65,6 +65,15 @@ def test_parents_are_looked_up_by_leaf(spark):
     assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_upsert_ranks_nothing_for_the_keys(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], "id string, v int")
+    new = spark.createDataFrame([("a", 2, 1), ("a", 3, 2), ("c", 4, 1), (None, 5, 1)], "id string, v int, seq bigint")
+    merged = keyed.upsert(old, new, ["id"])
+    assert {tuple(r) for r in merged.collect()} == {("a", 3), ("b", 1), ("c", 4), (None, 5)} and merged.count() == 4
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    assert "Window" not in keyed.upsert(old, new, ["id"], once=True)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_hot_key_ships_one_row_per_task(spark):
     plan = keyed.first_per_key(spark.range(10).withColumn("k", F.col("id") % 2), ["k"], [F.asc("id")])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
@@ -362,6 +371,9 @@ def test_narrow_rows_are_ranked_without_a_join(spark):
     order = [F.desc("v"), F.asc("id")]
     ranked = ranking.position_by_id(df, ["g"], ["id"], order, ["v"], "pos")
     assert sorted(map(str, ranked.collect())) == sorted(map(str, ranking.position_in_group(df, ["g"], order, "pos").collect()))
+    twice = df.unionByName(df.filter("id < 3"))  # an identity that repeats meets each of its positions, as wide rows do
+    wide = ranking.position_by_id(twice.withColumn("body", F.lit("b")), ["g"], ["id"], order, ["v"], "pos").drop("body")
+    assert wide.count() == 209 and sorted(map(str, wide.collect())) == sorted(map(str, ranking.position_by_id(twice, ["g"], ["id"], order, ["v"], "pos").collect()))
     assert "SortMergeJoin" not in (plan := ranked._jdf.queryExecution().executedPlan().toString()) and "hashpartitioning(g" not in plan.split("BroadcastExchange")[0]
 
 
