@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import catalog, diff, reports
 from ..operators.ranking import trending
+from ..session import drop_checkpoints, shuffles_dropped
 from ..sources import tables
 from .. import constants as K
 
@@ -24,22 +25,30 @@ def generate(flat: DataFrame, bridge: DataFrame, categories: DataFrame, generate
 
 
 def publish(flat: DataFrame, bridge: DataFrame, categories: DataFrame, path: str, date: str,
-            generated_at: str | None = None) -> bool:
+            generated_at: str | None = None, text_codec: str | None = None) -> bool:
     """Write all datasets; without records existing output is left alone.
 
     The placed entries are made once, into the snapshot of the date; everything else takes the columns it needs from there.
-    They are sorted once; the texts and the id lists of the leaves are read off that order.
+    They are sorted once; the texts and the id lists of the leaves are read off that order. Shuffles and sorted rows go as soon as their
+    step is stored, and what needs most room beside its output comes first. The texts of a large catalog outweigh all else;
+    ``text_codec``, such as ``gzip``, compresses them.
     """
     if flat.isEmpty():
         return False
-    tables.write_snapshot(reports.tree_entries(catalog.placed(flat, bridge, categories)), f"{path}/daily_entries", date)
-    entries = tables.read_snapshot(flat.sparkSession, f"{path}/daily_entries", date).drop("date")
-    layout = reports.ordered_layout(entries, generated_at)
-    for name in ("sitemap", "index_text", "category_index"):
-        reports.layout_lines(layout, name).write.mode("overwrite").text(f"{path}/{name}")
-    reports.write_lines(reports.agent_guide_lines(entries, catalog.stats(flat)), f"{path}/agent_guide")
-    tables.write_index(entries, flat, f"{path}/index", layout)
-    tables.write_snapshot(diff.with_digest(flat), f"{path}/daily", date)
+    spark = flat.sparkSession
+    with shuffles_dropped(spark):
+        tables.write_snapshot(reports.tree_entries(catalog.placed(flat, bridge, categories)), f"{path}/daily_entries", date)
+        entries = tables.read_snapshot(spark, f"{path}/daily_entries", date).drop("date")
+        tables.write_parents(entries, f"{path}/index")
+        layout = reports.ordered_layout(entries, generated_at)
+        tables.write_members(layout, f"{path}/index")
+        for name in ("sitemap", "index_text", "category_index"):
+            lines = reports.layout_lines(layout, name).write.mode("overwrite")
+            (lines.option("compression", text_codec) if text_codec else lines).text(f"{path}/{name}")
+        drop_checkpoints(layout)
+        reports.write_lines(reports.agent_guide_lines(entries, catalog.stats(flat)), f"{path}/agent_guide")
+        tables.write_slim(flat, f"{path}/index")
+        tables.write_snapshot(diff.with_digest(flat), f"{path}/daily", date)
     return True
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +67,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Inside, the shuffle files of a query go when it ends, and not when the driver's JVM next collects garbage: a job of many
+    steps then holds those of one step. Each step should store its rows, as a frame that is run again shuffles again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def drop_checkpoints(df: DataFrame) -> None:
+    """Delete the checkpoints that ``df`` reads, once nothing needs them any more. Spark does so only where it is told to, and
+    then when the driver's JVM collects garbage."""
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        file = leaf.rdd().getCheckpointFile() if leaf.getClass().getSimpleName() == "LogicalRDD" else None
+        if file is not None and file.isDefined():
+            name = spark._jvm.org.apache.hadoop.fs.Path(file.get())
+            name.getFileSystem(spark._jsc.hadoopConfiguration()).delete(name, True)

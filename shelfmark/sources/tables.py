@@ -10,9 +10,10 @@ from ..operators.ranking import best_first, numbered, position_in_group, slices_
 from ..operators.records import complete
 from ..operators.reports import layout_entries
 from ..schemas import FINDING, REPOSITORY
-from ..session import ensure_checkpoint_dir, staged
+from ..session import drop_checkpoints, ensure_checkpoint_dir, staged
 
 CONTENT_BUCKETS, FINDING_BUCKETS = 256, 64  # defaults; a store keeps the number it was written with
+DENSE = "zstd"  # codec of snapshots and index: ids and urls take about half of what they take under the default one
 
 
 def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -48,7 +49,8 @@ def write_partitions(df: DataFrame, path: str, column: str, order: tuple[str, ..
 
 
 def write_snapshot(df: DataFrame, path: str, date: str) -> None:
-    df.withColumn("date", F.lit(date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    dated = df.withColumn("date", F.lit(date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", DENSE)
+    dated.partitionBy("date").parquet(path)
 
 
 def _snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -192,14 +194,34 @@ def layout_positions(layout: DataFrame) -> DataFrame:
     return numbered(layout_entries(layout), ["parent", "leaf"], "position", few=True, row="row", part="slice").select("parent", "leaf", "position", "id")
 
 
-def write_index(entries: DataFrame, flat: DataFrame, path: str, layout: DataFrame | None = None) -> None:
-    """Id lists are written in the partitions they were sorted in, by range down to the single row, so a parent of any size
-    is written by many tasks and nothing is dealt again. Entries that come with a layout are stored ones and are not staged again."""
-    rows = _index_rows(entries) if layout is None else entries.select("parent", F.col("category").alias("leaf"), "id", "score", "stars")
-    members = layout_positions(layout) if layout is not None else _staged_lists(rows)
-    members.write.mode("overwrite").partitionBy("parent").parquet(f"{path}/members")
-    _staged_parents(rows).write.mode("overwrite").partitionBy("parent").parquet(f"{path}/parents")
-    slim_records(flat).write.mode("overwrite").parquet(f"{path}/repositories")
+def write_index(entries: DataFrame, flat: DataFrame, path: str) -> None:
+    """All of the index. Id lists are written in the partitions they were sorted in, by range down to the single row, so a parent
+    of any size is written by many tasks and nothing is dealt again."""
+    rows = _index_rows(entries)
+    _write_lists(_staged_lists(rows), f"{path}/members")
+    write_parents(rows, path)
+    write_slim(flat, path)
+
+
+def write_members(layout: DataFrame, path: str) -> None:
+    """The id lists of the leaves, off an ordered layout."""
+    layout_positions(layout).write.mode("overwrite").option("compression", DENSE).partitionBy("parent").parquet(f"{path}/members")
+
+
+def write_parents(entries: DataFrame, path: str) -> None:
+    """The id lists of the parents; ``entries`` are read several times, so they should be stored ones."""
+    _write_lists(_staged_parents(entries.select("parent", "id", "score", "stars")), f"{path}/parents")
+
+
+def _write_lists(lists: DataFrame, path: str) -> None:
+    """The sorted rows behind the lists are of no use after that and go."""
+    lists.write.mode("overwrite").option("compression", DENSE).partitionBy("parent").parquet(path)
+    drop_checkpoints(lists)
+
+
+def write_slim(flat: DataFrame, path: str) -> None:
+    """The records of the index and their number."""
+    slim_records(flat).write.mode("overwrite").option("compression", DENSE).parquet(f"{path}/repositories")
     flat.agg(F.count("*").alias("total")).write.mode("overwrite").json(f"{path}/totals")
 
 

@@ -1,5 +1,7 @@
 """Ledger of the ingest, bucketed findings and clustered content: what is read, written and left alone."""
 
+import gzip
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -158,6 +160,64 @@ def test_published_entries_are_made_once_and_the_layout_is_narrow(spark, tmp_pat
     assert sorted(map(str, stored.collect())) == sorted(map(str, made["entries"].select(*stored.columns).collect()))
 
 
+def _catalog(spark, n=300):
+    rows = [(f"github:o/{i}", "o", str(i), "u", None if i % 5 else " about ", i % 3 * 10, None, float(i % 4), None) for i in range(n)]
+    flat = spark.createDataFrame(rows, "id string, owner string, name string, url string, description string, stars bigint, language string, score_overall double, health_status string")
+    bridge = spark.createDataFrame([(f"github:o/{i}", c) for i in range(n - 10) for c in (["Leaf"] if i % 3 else ["Other", "Top"])], "repository_id string, category string")
+    return flat, bridge, spark.createDataFrame([("Leaf", "Top"), ("Other", "Top"), ("Top", "Top")], "name string, parent string")
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_publish_leaves_no_shuffles_and_no_checkpoints(spark, tmp_path):
+    from shelfmark.plans import publish
+    from shelfmark.session import ensure_checkpoint_dir
+
+    kept = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    flat, bridge, cats = _catalog(spark)
+    checkpoints, setting, shuffles = set(kept.glob("rdd-*")), spark.conf.get(key), _shuffle_files(spark)
+    assert publish.publish(flat, bridge, cats, str(tmp_path / "out"), "2026-01-01", "now")
+    assert set(kept.glob("rdd-*")) <= checkpoints and spark.conf.get(key) == setting
+    for _ in range(50):  # the files go in the background
+        left = _shuffle_files(spark) - shuffles
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_dropped_checkpoints_are_only_those_read(spark):
+    from shelfmark.session import drop_checkpoints, ensure_checkpoint_dir
+
+    kept = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(kept.glob("rdd-*"))
+    first, second = spark.range(10).checkpoint(), spark.range(20).checkpoint()
+    drop_checkpoints(first.alias("a").join(first.alias("b"), "id").join(spark.range(5), "id").select("id"))
+    assert len(set(kept.glob("rdd-*")) - before) == 1 and second.count() == 20
+    drop_checkpoints(spark.range(3))
+
+
+def test_published_texts_may_be_compressed(spark, tmp_path):
+    from shelfmark.plans import publish
+
+    flat, bridge, cats = _catalog(spark)
+    plain, packed = tmp_path / "plain", tmp_path / "packed"
+    publish.publish(flat, bridge, cats, str(plain), "2026-01-01", "now")
+    publish.publish(flat, bridge, cats, str(packed), "2026-01-01", "now", text_codec="gzip")
+    for name in ("sitemap", "index_text", "category_index"):
+        text = "".join(f.read_text() for f in sorted((plain / name).glob("part-*")))
+        assert "".join(gzip.open(f, "rt").read() for f in sorted((packed / name).glob("part-*.gz"))) == text
+        assert sorted(r["value"] for r in spark.read.text(str(packed / name)).collect()) == sorted(text.splitlines())
+    members = lambda path: sorted(map(str, spark.read.parquet(str(path / "index" / "members")).collect()))
+    assert len(members(plain)) == 397 and members(plain) == members(packed)
+    assert spark.read.parquet(str(plain / "index" / "repositories")).count() == 300
+
+
 def test_broken_documents_and_feeds_become_messages(spark, tmp_path):
     from shelfmark.plans import maintain
 

@@ -368,7 +368,7 @@ def layout_lines(t):
     """All lines of the three reports that are read off one ordered layout, as published."""
     flat = t("repos")
     spark, path = flat.sparkSession, scratch(flat.sparkSession, "w06")
-    publish.publish(flat, t("bridge"), t("categories"), path, "2001-08-02")
+    publish.publish(flat, t("bridge"), t("categories"), path, "2001-08-02", text_codec="gzip")
     out = None
     for name in ("sitemap", "index_text", "category_index"):
         lines = spark.read.text(f"{path}/{name}").select(F.lit(name).alias("report"), F.col("value").alias("line"))
