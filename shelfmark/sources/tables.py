@@ -10,10 +10,9 @@ from ..operators.ranking import best_first, numbered, position_in_group, slices_
 from ..operators.records import complete
 from ..operators.reports import layout_entries
 from ..schemas import FINDING, REPOSITORY
-from ..session import drop_checkpoints, ensure_checkpoint_dir, staged
+from ..session import DENSE, drop_checkpoints, ensure_checkpoint_dir, staged
 
 CONTENT_BUCKETS, FINDING_BUCKETS = 256, 64  # defaults; a store keeps the number it was written with
-DENSE = "zstd"  # codec of snapshots and index: ids and urls take about half of what they take under the default one
 
 
 def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -218,6 +218,29 @@ def test_published_texts_may_be_compressed(spark, tmp_path):
     assert spark.read.parquet(str(plain / "index" / "repositories")).count() == 300
 
 
+def test_published_lines_are_counted_report_by_report(spark):
+    from workload import q_reports
+
+    flat, bridge, cats = _catalog(spark)
+    views = {"repos": flat.withColumns({"created_at": F.lit(None).cast("timestamp")}), "bridge": bridge, "categories": cats}
+    seen, grouped = [], type(flat).groupBy
+
+    def watched(df, *cols):
+        if cols == ("report", "line"):
+            seen.append({f.split("/")[-2] for f in df.inputFiles()})
+        return grouped(df, *cols)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(flat), "groupBy", watched)
+        patch.setattr("shelfmark.plans.publish.diff.with_digest", lambda rows: rows)  # these rows lack its fields
+        lines = q_reports.layout_lines(lambda name: views[name])
+    assert seen == [{"sitemap"}, {"index_text"}, {"category_index"}]
+    counts = {(r["report"], r["line"]): r["n"] for r in lines.collect()}
+    assert sum(n for (report, _), n in counts.items() if report == "category_index") == 1 + 2 + 397
+    assert counts["category_index", "- github:o/3"] == 2 and counts["sitemap", "## Top"] == 1
+    assert "Exchange" not in lines._jdf.queryExecution().executedPlan().toString()
+
+
 def test_broken_documents_and_feeds_become_messages(spark, tmp_path):
     from shelfmark.plans import maintain
 
