@@ -52,10 +52,16 @@ def curated_lists(hits: DataFrame, prefix: str = "repository.") -> DataFrame:
     return hits.filter(is_list_hit(f"{prefix}name", f"{prefix}description", f"{prefix}topics"))
 
 
-def dedupe_hits(hits: DataFrame, owner: str = "repository.owner.login", name: str = "repository.name") -> DataFrame:
-    """First hit per repository; hits without owner or name are dropped."""
+def dedupe_hits(
+    hits: DataFrame, owner: str = "repository.owner.login", name: str = "repository.name", ident: str | None = None,
+) -> DataFrame:
+    """First hit per repository; hits without owner or name are dropped.
+
+    With ``ident`` the id stays, under that name: the rows are partitioned and sorted by it, so joins on it move only the other side.
+    """
     usable = hits.filter(is_set(owner) & is_set(name)).withColumn("__id", repository_id(owner, name))
-    return first_per_key(usable, ["__id"], [F.col("seq").asc()]).drop("__id")
+    first = first_per_key(usable, ["__id"], [F.col("seq").asc()])
+    return first.withColumnRenamed("__id", ident) if ident else first.drop("__id")
 
 
 def list_records(hits: DataFrame, collected_at) -> DataFrame:

@@ -43,14 +43,16 @@ def collect(
 
     Hits are de-duplicated on the id that records get, so the records need no second pass and no
     duplicate groups remain. ``facts`` are tables of topics, licenses and contributor counts by id.
+    The id is the one the hits were de-duplicated on, so facts meet them where they are and nothing is computed to match it.
     The category filter limits what is saved, not what is counted. Provenance is one row per edge.
     The classified records are written once, into the ``staging`` folder or the shared one, and every output reads them.
     With ``staging=False`` nothing is written and each output runs the whole chain, for readers of a single output.
     """
-    raw = records.normalize(records.from_payload(discover.dedupe_hits(hits), collected_at))
+    first = discover.dedupe_hits(hits, ident="hit_id")
+    raw = records.normalize(records.from_payload(first, collected_at)).withColumn("id", F.col("hit_id"))
     if facts:
         raw = records.attach_facts(raw, *facts)
-    survivors = _staged(classified(raw, taxonomy), staging)
+    survivors = _staged(classified(raw, taxonomy).select(*REPOSITORY.fieldNames(), "seq", "categories"), staging)
     saved = catalog.in_categories(survivors, taxonomy, category)
     edges = keyed.source_edges(saved)
     assigned = assigned_categories(saved, taxonomy)

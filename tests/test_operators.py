@@ -288,6 +288,28 @@ def test_collect_filter_limits_saved_rows_only(spark):
     assert {(r["name"], r["parent"]) for r in made["categories"].collect()} == {("Stores", "Data Systems"), ("Data Systems", None)}
 
 
+def test_facts_meet_hits_where_they_were_deduplicated(spark, tmp_path):
+    hit = lambda seq, owner, name, license: (seq, "s", "q", (name, (owner,), "elsewhere", None, 1, None, 2, 3, None, ["own"], (license,), None, None, None, None))
+    hits = spark.createDataFrame([
+        hit(2, "O", "N", "late"), hit(1, " o ", "n", "mit"), hit(3, "o/p", "q", None), hit(4, "o", "p/q", None), hit(5, None, "x", None), hit(6, "x", "", None), hit(7, "o", "z", None)], SEARCH_HIT)
+    topics = spark.createDataFrame([("github:o/n", ["a"]), ("github:o/n", ["b"]), (None, ["c"]), ("github:gone/g", ["d"])], "id string, topics array<string>")
+    licenses = spark.createDataFrame([("github:o/p/q", None, "spdx"), ("github:o/n", None, None)], "id string, key string, spdx_id string")
+    counts = spark.createDataFrame([("github:o/z", 4)], "id string, contributors bigint")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        made = collect.collect(hits, EXAMPLE, "2026-01-01", facts=(topics, licenses, counts), staging=False)["records"]
+        plan = made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert plan.count("SortMergeJoin") == 3 and plan.count("Exchange hashpartitioning") == 4  # hits once, and each table of facts
+    assert sorted((r["id"], r["seq"], r["owner"], r["name"], r["url"], r["topics"], r["license"]) for r in made.collect()) == [
+        ("github:o/n", 1, "o", "n", "https://github.com/o/n", ["a"], "mit"), ("github:o/n", 1, "o", "n", "https://github.com/o/n", ["b"], "mit"),
+        ("github:o/p/q", 3, "o/p", "q", "https://github.com/o/p/q", ["own"], "spdx"), ("github:o/z", 7, "o", "z", "https://github.com/o/z", ["own"], None)]
+    collect.collect(hits, EXAMPLE, "2026-01-01", facts=(topics, licenses, counts), staging=str(tmp_path / "kept"))
+    assert spark.read.parquet(str(tmp_path / "kept")).columns == [*REPOSITORY.fieldNames(), "seq", "categories"]  # no output reads source and query
+
+
 def test_index_of_a_large_parent_is_written_by_many_tasks(spark, tmp_path):
     from pathlib import Path
 
