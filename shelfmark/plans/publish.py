@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import catalog, diff, reports
 from ..operators.ranking import trending
-from ..session import drop_checkpoints, shuffles_dropped
+from ..session import drop_checkpoints, shuffles_dropped, staged
 from ..sources import tables
 from .. import constants as K
 
 
 def generate(flat: DataFrame, bridge: DataFrame, categories: DataFrame, generated_at: str | None = None) -> dict[str, DataFrame]:
-    entries = reports.tree_entries(catalog.placed(flat, bridge, categories))
+    entries = staged(reports.tree_entries(catalog.placed(flat, bridge, categories)), "entries")
     statistics = catalog.stats(flat)
     return {
         "entries": entries,

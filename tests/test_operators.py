@@ -246,6 +246,34 @@ def test_report_files_are_ordered(spark, tmp_path):
     assert keys == sorted(keys)
 
 
+def _odd_placed(spark):
+    """Placed records: one comes twice, one is in two leaves, one in a leaf of no known category; null and empty fields, no id."""
+    flat = spark.createDataFrame([
+        ("github:o/a", "o", "a", "u", "  some text ", 1234567, None, 1.5, None), ("github:o/a", "o", "a", "u", "  some text ", 1234567, None, 1.5, None),
+        ("github:o/b", "o", "b", "u", "", None, "Go", None, "ACTIVE"), ("github:o/c", None, "c", "u", None, 1, None, 0.0, None), (None, "o", "d", "u", None, 5, None, 10.0, None),
+    ], "id string, owner string, name string, url string, description string, stars bigint, language string, score_overall double, health_status string")
+    bridge = spark.createDataFrame([("github:o/a", "Leaf"), ("github:o/b", "Leaf"), ("github:o/b", "Top"), ("github:o/c", "Gone"), (None, "Leaf"), ("github:o/b", None)], "repository_id string, category string")
+    cats = spark.createDataFrame([("Leaf", "Top"), ("Top", "Top"), ("Unused", "Top")], "name string, parent string")
+    return reports.tree_entries(catalog.placed(flat, bridge, cats))
+
+
+def test_sitemap_places_its_entries_once(spark):
+    entries = _odd_placed(spark)
+    lines = reports.sitemap_lines(entries, "now")
+    assert "Join" not in lines._jdf.queryExecution().executedPlan().toString()  # headings and entries are read from the store
+    assert "Join" in entries._jdf.queryExecution().executedPlan().toString()
+    a, b = "- [o/a](u) - 1,234,567 stargazers, points 1.5", "- [o/b](u) - 0 stargazers, points 0"
+    none = "- [o/d](u) - 5 stargazers, points 10.0"
+    got = [tuple(r) for r in lines.select("block", "parent", "leaf", "slot", "neg_score", "neg_stars", "id", "line").collect()]
+    assert sorted(got, key=str) == sorted([
+        (0, "", "", 0, 0.0, 0, "", "# Catalog tree"), (0, "", "", 1, 0.0, 0, "", "Generated: now"), (0, "", "", 2, 0.0, 0, "", "Records: 3"),
+        (1, "Top", "", 0, 0.0, 0, "", "## Top"), (1, "Uncategorized", "", 0, 0.0, 0, "", "## Uncategorized"), (1, "Top", "Leaf", 1, 0.0, 0, "", "### Leaf"),
+        *[(1, "Top", "Leaf", 2, -1.5, -1234567, "github:o/a", a)] * 2, (1, "Top", "Leaf", 2, 0.0, 0, "github:o/b", b), (1, "Top", "Top", 2, 0.0, 0, "github:o/b", b),
+        (1, "Uncategorized", "Uncategorized", 2, 0.0, -1, "github:o/c", None), (1, "Uncategorized", "Uncategorized", 2, -10.0, -5, None, none)], key=str)
+    empty = reports.sitemap_lines(entries.filter("false")).select("line").collect()
+    assert [r["line"] for r in empty] == ["# Catalog tree", "Records: 0"]
+
+
 def test_publish_keeps_output_without_records(spark, tmp_path):
     flat = spark.createDataFrame([], "id string, owner string, name string, url string, description string, stars bigint, language string, score_overall double, health_status string")
     bridge = spark.createDataFrame([], "repository_id string, category string")
