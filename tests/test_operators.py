@@ -274,6 +274,28 @@ def test_sitemap_places_its_entries_once(spark):
     assert [r["line"] for r in empty] == ["# Catalog tree", "Records: 0"]
 
 
+def test_index_text_shuffles_its_entries_once(spark):
+    entries = _odd_placed(spark)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        lines = reports.index_text_lines(entries)
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    moved = [line.split("hashpartitioning(")[1].split(", ")[:-2] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    keys = sorted(",".join(k.split("#")[0] for k in by if "#" in k) for by in moved)
+    assert keys == ["id", "parent", "parent,category"]  # the total by id; headings are reduced to a row for each group before they move
+    text = lambda name, about: f"- [o/{name}](u): {about}"
+    assert sorted((r["parent"], r["leaf"], r["id"], r["line"]) for r in lines.filter("slot = 2 AND block = 1").collect() if r["id"] and r["line"]) == [
+        ("Top", "Leaf", "github:o/a", text("a", "some text")), ("Top", "Leaf", "github:o/a", text("a", "some text")),
+        ("Top", "Leaf", "github:o/b", text("b", "(no text)")), ("Top", "Top", "github:o/b", text("b", "(no text)"))]
+    rest = [tuple(r) for r in lines.filter("slot < 2 OR block = 0 OR id IS NULL OR line IS NULL").select("parent", "leaf", "line").collect()]
+    assert sorted(rest, key=str) == sorted([
+        ("", "", "# Catalog lines"), ("", "", "> One line for each record."), ("", "", "Records: 3"), ("Top", "", "## Top"), ("Top", "Leaf", "### Leaf"),
+        ("Uncategorized", "", "## Uncategorized"), ("Uncategorized", "Uncategorized", None), ("Uncategorized", "Uncategorized", text("d", "(no text)"))], key=str)
+
+
 def test_publish_keeps_output_without_records(spark, tmp_path):
     flat = spark.createDataFrame([], "id string, owner string, name string, url string, description string, stars bigint, language string, score_overall double, health_status string")
     bridge = spark.createDataFrame([], "repository_id string, category string")
